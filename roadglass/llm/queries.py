@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, token_counts
-from .common import table
+from . import bpe, language, packing, secrets, token_counts, toxicity
+from .common import held_out, table
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
 COUNT_VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.fit_profiles(docs, ~held_out(docs["doc_id"])))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BPE_VOCABULARY)
 
@@ -21,9 +31,21 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), COUNT_VOCABULARY)
 
 
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan(table(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.assign(table(spark, sf_dir, "documents"), shards=8)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_language_id": op1_language_id,
+    "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
     "op8_token_counts": op8_token_counts,
+    "op9_secrets": op9_secrets,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
