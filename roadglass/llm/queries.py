@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, language, packing, secrets, token_counts, toxicity
+from . import bpe, decontaminate, html_text, language, packing, quality, secrets, token_counts, toxicity
 from .common import held_out, table
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -18,6 +18,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.fit_profiles(docs, ~held_out(docs["doc_id"])))
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.verdicts(table(spark, sf_dir, "documents"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -27,6 +31,14 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BPE_VOCABULARY)
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), COUNT_VOCABULARY)
 
@@ -41,11 +53,14 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
+    "op6_html_text": op6_html_text,
+    "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality.ORACLE}
