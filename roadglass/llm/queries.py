@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html_text, language, packing, quality, secrets, token_counts, toxicity
+from . import bpe, decontaminate, html_text, jaccard_join, language, packing, quality, secrets, token_counts, toxicity
 from .common import held_out, table
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -31,6 +31,10 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), BPE_VOCABULARY)
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join_components(table(spark, sf_dir, "documents"), percent=85)
+
+
 def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_toxicity": op3_toxicity,
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_jaccard_join": op5_jaccard_join,
     "op6_html_text": op6_html_text,
     "op7_decontamination": op7_decontamination,
     "op8_token_counts": op8_token_counts,
