@@ -93,9 +93,12 @@ def verdicts(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: s
     out = counted.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")), "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     removed = F.coalesce(F.col("n_removed"), F.lit(0).cast("long"))
+    # one predicate over both sides of the join: a filter on it stays above the join, where the counts
+    # are columns; below, each use of a count would compute its arrays again
+    kept = F.greatest(failed.cast("int"), (2 * removed > F.col("n_words")).cast("int")) == 0
     return out.select(
         "doc_id", *(extra or []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), removed.alias("n_removed"), (~failed & (2 * removed <= F.col("n_words"))).alias("kept"),
+        failed.alias("base_failed"), removed.alias("n_removed"), kept.alias("kept"),
     )
 
 
