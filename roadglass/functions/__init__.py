@@ -1 +1 @@
-"""See the package README."""
+"""Column functions: angles, quaternions, rotations, map projections, cameras, packed keys, text."""

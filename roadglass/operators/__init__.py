@@ -1 +1 @@
-"""See the package README."""
+"""Operators on DataFrames: time series, spatial, relational, reports, solver."""

@@ -1 +1 @@
-"""See the package README."""
+"""Sources and sinks: message logs, point clouds, annotation tables, shards, reports."""
