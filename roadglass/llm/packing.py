@@ -30,11 +30,16 @@ PARTS = 4096
 
 
 def pack(sizes: np.ndarray, shards: int) -> np.ndarray:
-    """Shard of each item; sizes are shares of the totals, one column a dimension."""
+    """Shard of each item; sizes are shares of the totals, one column a dimension, bytes first.
+
+    Of the shards with room for the item's bytes the one with the highest dot
+    product; where none has room, the one with most room.
+    """
     residual = np.full((shards, sizes.shape[1]), 1.0 / shards)
     out = np.zeros(len(sizes), dtype=np.int64)
     for i in np.lexsort((np.arange(len(sizes)), -sizes.max(axis=1))) if len(sizes) else []:
-        out[i] = shard = int(np.argmax(residual @ sizes[i]))
+        room = residual[:, 0] >= sizes[i, 0]
+        out[i] = shard = int(np.argmax(np.where(room, residual @ sizes[i], -np.inf)) if room.any() else np.argmax(residual[:, 0]))
         residual[shard] -= sizes[i]
     return out
 
