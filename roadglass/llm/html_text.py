@@ -56,7 +56,8 @@ MARKED = 6.0
 #: Weights without labelled pages: of a word by place, and of a tag.
 DEFAULT_WORDS = {"p": 2.0, "h1": 2.0, "h2": 1.5, "h3": 1.5, "blockquote": 1.5, "pre": 1.5, "td": 0.5, "div": 0.5, "section": 0.5, "li": 0.5}
 DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 0.3, -2.0, -0.4
-TAG_RANGE = (-2.0, -0.05)
+#: Bounds of the log odds of words and tags.
+WORD_RANGE, TAG_RANGE = (-3.0, 3.0), (-2.0, -0.05)
 
 
 def _skipped(tag: str, attributes: str, inside: bool) -> bool:
@@ -177,10 +178,10 @@ def fit_weights(df: DataFrame, pages: int = 4000, html_col: str = "html", id_col
     weights: dict[str, dict[str, float]] = {"w": {}, "t": {}}
     for what in weights:
         n = {(r["item"], r["inside"]): r["n"] for r in rows if r["what"] == what}
-        total = {side: 1 + sum(v for k, v in n.items() if k[1] == side) for side in (True, False)}
+        low, high = TAG_RANGE if what == "t" else WORD_RANGE
         for item in {k[0] for k in n}:
-            odds = math.log((n.get((item, True), 0) + 0.5) / total[True]) - math.log((n.get((item, False), 0) + 0.5) / total[False])
-            weights[what][item] = min(TAG_RANGE[1], max(TAG_RANGE[0], odds)) if what == "t" else odds
+            odds = math.log((n.get((item, True), 0) + 1) / (n.get((item, False), 0) + 1))
+            weights[what][item] = min(high, max(low, odds))
     return weights["w"], weights["t"]
 
 
