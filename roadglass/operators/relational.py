@@ -80,13 +80,15 @@ def replace_payload(rows: DataFrame, templates: DataFrame, key: Sequence[str], p
     return found.withColumns({"replaced": F.col("_new").isNotNull(), payload: F.coalesce("_new", payload)}).drop("_new")
 
 
-def chain(rows: DataFrame, group: Sequence[str], token: str, following: str, rounds: int = 32) -> DataFrame:
+def chain(rows: DataFrame, group: Sequence[str], token: str, following: str) -> DataFrame:
     """Adds ``position``, from 0, along the links of each group, by pointer doubling.
 
     A chain that branches, breaks or cycles leaves rows that its start doesn't
     reach; a group with any gets null positions, and callers fall back to another
-    order. Log2 of the longest chain joins; stops when no pointer is left.
+    order. As many joins as the largest group's size has binary digits; fewer if
+    no pointer is left before. Needs a checkpoint folder.
     """
+    rounds = int(rows.groupBy(*group).count().agg(F.max("count")).first()[0] or 0).bit_length() + 1
     links = rows.select(*group, F.col(token).alias("_t"), F.col(following).alias("_next"))
     back = links.where(F.col("_next").isNotNull() & (F.col("_next") != "")).select(*group, F.col("_next").alias("_t"), F.col("_t").alias("_prev"))
     back = back.groupBy(*group, "_t").agg(F.min("_prev").alias("_up"), F.count(F.lit(1)).alias("_ways"))

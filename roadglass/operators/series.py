@@ -201,15 +201,15 @@ def pulses(rows: DataFrame, by: Sequence[str], value: str, enter: float, leave:
     inside = marked.withColumn("_start", start).where(F.col("_at") >= F.col("_start"))
     keep = F.struct(F.col(t).alias("t"), *[F.col(c) for c in carry])
     out = inside.groupBy(*by, "_island").agg(
-        F.min_by(keep, "_at").alias("s"),
-        F.max_by(keep, "_at").alias("e"),
-        F.max_by(F.struct(F.col(t).alias("t"), F.col(value).alias("v")), F.struct(size, -F.col("_at"))).alias("p"),
-        F.max_by(low, "_at").alias("closed"),
+        F.min_by(keep, "_at").alias("_s"),
+        F.max_by(keep, "_at").alias("_e"),
+        F.max_by(F.struct(F.col(t).alias("t"), F.col(value).alias("v")), F.struct(size, -F.col("_at"))).alias("_p"),
+        F.max_by(low, "_at").alias("_closed"),
     )
-    seconds = (F.col("e.t") - F.col("s.t")) / unit
-    return out.where(F.col("closed") & (seconds >= least_s) & (seconds <= most_s)).select(
-        *by, F.col("s.t").alias("t_start"), F.col("p.t").alias("t_peak"), F.col("e.t").alias("t_end"), F.col("p.v").alias("peak"),
-        *[F.col(f"{side}.{c}").alias(f"{c}_{name}") for c in carry for side, name in (("s", "start"), ("e", "end"))],
+    seconds = (F.col("_e.t") - F.col("_s.t")) / unit
+    return out.where(F.col("_closed") & (seconds >= least_s) & (seconds <= most_s)).select(
+        *by, F.col("_s.t").alias("t_start"), F.col("_p.t").alias("t_peak"), F.col("_e.t").alias("t_end"), F.col("_p.v").alias("peak"),
+        *[F.col(f"{side}.{c}").alias(f"{c}_{name}") for c in carry for side, name in (("_s", "start"), ("_e", "end"))],
     )
 
 
@@ -235,8 +235,8 @@ def merge_opposite(events: DataFrame, by: Sequence[str], gap: int) -> DataFrame:
         front = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
         return F.when(near, F.concat(front, F.array(joined))).otherwise(F.concat(done, F.array(e)))
 
-    folded = listed.select(*by, F.explode(F.aggregate("_e", F.array().cast(f"array<{event}>"), step)).alias("e"))
-    return folded.select(*by, *[F.col(f"e.{f}").alias(f) for f in fields])
+    folded = listed.select(*by, F.explode(F.aggregate("_e", F.array().cast(f"array<{event}>"), step)).alias("_e"))
+    return folded.select(*by, *[F.col(f"_e.{f}").alias(f) for f in fields])
 
 
 def drop_drifting(events: DataFrame, rows: DataFrame, by: Sequence[str], heading: str, wait: int, limit: float, t: str = "t") -> DataFrame:
@@ -272,8 +272,8 @@ def stops(rows: DataFrame, by: Sequence[str], x: str, y: str, below: float, leas
 def slow_episodes(rows: DataFrame, by: Sequence[str], speed: str, limit: float, least_s: float, unit: int, t: str = "t", seq: str | None = None) -> DataFrame:
     """Stretches of rows with speed <= limit that last long enough, each with its slowest row (the first of equals)."""
     found = islands(rows.withColumn("_slow", F.coalesce(F.col(speed) <= limit, F.lit(False))), by, "_slow", t, seq)
-    spans = found.groupBy(*by, "island").agg(F.min(t).alias("t_start"), F.max(t).alias("t_end"), F.min_by(F.struct(F.col(t).alias("t"), F.col(speed).alias("v")), F.struct(F.col(speed), F.col("at"))).alias("m"))
-    return spans.where((F.col("t_end") - F.col("t_start")) / unit >= least_s).select(*by, "t_start", "t_end", F.col("m.t").alias("t_slowest"), F.col("m.v").alias("slowest"))
+    spans = found.groupBy(*by, "island").agg(F.min(t).alias("t_start"), F.max(t).alias("t_end"), F.min_by(F.struct(F.col(t).alias("t"), F.col(speed).alias("v")), F.struct(F.col(speed), F.col("at"))).alias("_m"))
+    return spans.where((F.col("t_end") - F.col("t_start")) / unit >= least_s).select(*by, "t_start", "t_end", F.col("_m.t").alias("t_slowest"), F.col("_m.v").alias("slowest"))
 
 
 def corridor(rows: DataFrame, by: Sequence[str], east: str, north: str, spread: str, sigma: float, t: str = "t", seq: str | None = None) -> DataFrame:
