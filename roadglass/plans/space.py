@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import geo
-from ..operators import solve, spatial
+from ..operators import camera, solve, spatial
 from ..sources import messages
 from .base import EMB, SIG, emb, query, sig
 from .relations import _checkpoints
@@ -167,3 +167,46 @@ def deskew(spark, sf_dir):
     points = emb(spark, sf_dir).select("vec_id", *XYZ, F.lit(7).cast("long").alias("series")).join(start, "series").withColumn("t", F.col("t0") + F.col("vec_id") * 3_000_000_000)
     return messages.deskew(points, poses, ["series"]).select("vec_id", *[(F.round(c, 5) + 0.0).alias(c) for c in ("dx", "dy", "dz")])
 
+
+
+PIX = "(vec_id % 37) * 0.61 - 1 AS u, (vec_id % 23) * 0.83 - 1 AS v"
+
+
+@query("frustum_crop", f"""WITH {EMB}, p AS (SELECT vec_id, x / z * 300 + 320 AS u, y / z * 300 + 240 AS v FROM emb WHERE z > 0.02) SELECT vec_id, round(u, 5) AS u, round(v, 5) AS v FROM p WHERE u BETWEEN -20 AND 660 AND v BETWEEN -20 AND 500""")
+def frustum_crop(spark, sf_dir):
+    out = camera.frustum_crop(emb(spark, sf_dir), (300.0, 300.0, 320.0, 240.0), 640, 480, 20.0, 0.02)
+    return out.select("vec_id", F.round("u", 5).alias("u"), F.round("v", 5).alias("v"))
+
+
+@query("bilinear_sample", f"""WITH i AS (SELECT u, v, (u * 7 + v * 13) % 17 * 1.0 AS value FROM (SELECT unnest(range(20)) AS u), (SELECT unnest(range(16)) AS v)),
+p AS (SELECT vec_id, greatest(0, least(u, 19)) AS u, greatest(0, least(v, 15)) AS v FROM (SELECT vec_id, {PIX} FROM embeddings)), c AS (SELECT *, CAST(least(floor(u), 18) AS INTEGER) AS u0, CAST(least(floor(v), 14) AS INTEGER) AS v0 FROM p)
+SELECT vec_id, round(sum(i.value * (CASE WHEN i.u = u0 THEN 1 - (c.u - u0) ELSE c.u - u0 END) * (CASE WHEN i.v = v0 THEN 1 - (c.v - v0) ELSE c.v - v0 END)), 6) AS sampled FROM c JOIN i ON i.u IN (u0, u0 + 1) AND i.v IN (v0, v0 + 1) GROUP BY vec_id""")
+def bilinear_sample(spark, sf_dir):
+    image = spark.range(320).select((F.col("id") % 20).cast("int").alias("u"), F.floor(F.col("id") / 20).cast("int").alias("v")).withColumn("value", ((F.col("u") * 7 + F.col("v") * 13) % 17).cast("double"))
+    points = emb(spark, sf_dir).select("vec_id", ((F.col("vec_id") % 37) * 0.61 - 1).alias("u"), ((F.col("vec_id") % 23) * 0.83 - 1).alias("v"))
+    return camera.bilinear(points, image, 20, 16, ["vec_id"]).withColumn("sampled", F.round("sampled", 6))
+
+
+@query("image_costs", f"""WITH {EMB} SELECT scan, round(sum(coalesce(CASE WHEN x > 0 THEN y END, 3.0)) / count(*), 6) + 0.0 AS capped, round(sum(coalesce(CASE WHEN x > 0 THEN y END, 0.0) * abs(z)) / sum(abs(z)), 6) + 0.0 AS weighted,
+ round(coalesce(median(CASE WHEN x > 0 THEN y END), 'infinity'::DOUBLE), 6) + 0.0 AS middle FROM emb GROUP BY scan""")
+def image_costs(spark, sf_dir):
+    seen = F.when(F.col("x") > 0, F.col("y"))
+    costs = {"capped": camera.capped_mean(seen, 3.0), "weighted": camera.weighted_mean(seen, F.abs("z")), "middle": camera.median_or_inf(seen)}
+    return emb(spark, sf_dir).groupBy("scan").agg(*[(F.round(c, 6) + 0.0).alias(n) for n, c in costs.items()])
+
+
+@query("edge_scores", f"""WITH {EMB}, e AS (SELECT scan, quantile_cont(x, 0.05) AS lo, quantile_cont(x, 0.95) AS hi FROM emb GROUP BY scan), s AS (SELECT vec_id, scan, greatest(0, least(1, (x - lo) / (hi - lo))) AS score FROM emb JOIN e USING (scan)),
+t AS (SELECT scan, quantile_cont(score, 0.75) AS cut FROM s GROUP BY scan) SELECT vec_id, scan, round(score, 6) AS score FROM s JOIN t USING (scan) WHERE score >= cut""")
+def edge_scores(spark, sf_dir):
+    return camera.top_share(camera.clipped(emb(spark, sf_dir), "x", ["scan"]), "score", ["scan"], 0.25).select("vec_id", "scan", F.round("score", 6).alias("score"))
+
+
+@query("sweep_grid", "SELECT CAST(a AS INTEGER) AS axis, CAST(i AS INTEGER) AS step, round(-0.5 + i * 0.1, 9) + 0.0 AS \"offset\" FROM (SELECT unnest(range(6)) AS a), (SELECT unnest(range(11)) AS i)")
+def sweep_grid(spark, sf_dir):
+    return camera.sweep_grid(spark, 6, 0.5, 11).select("axis", "step", (F.round("offset", 9) + 0.0).alias("offset"))
+
+
+@query("reprojection", f"""WITH {EMB} SELECT vec_id, round(CASE WHEN z > 0.02 THEN x / z * 300 + 320 - vec_id ELSE 50.0 END, 5) AS du, round(CASE WHEN z > 0.02 THEN y / z * 300 + 240 - vec_id ELSE 50.0 END, 5) AS dv FROM emb""")
+def reprojection(spark, sf_dir):
+    seen = emb(spark, sf_dir).withColumns({"u": F.col("vec_id").cast("double"), "v": F.col("vec_id").cast("double")})
+    return camera.reprojection(seen, (300.0, 300.0, 320.0, 240.0), nearest=0.02).select("vec_id", F.round("du", 5).alias("du"), F.round("dv", 5).alias("dv"))

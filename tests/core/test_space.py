@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from roadglass.functions import geo
-from roadglass.operators import solve, spatial
+from roadglass.operators import camera, solve, spatial
 from roadglass.sources import messages, pcd
 
 
@@ -85,3 +85,48 @@ def test_points_from_packed_bytes(spark):
     df = spark.createDataFrame([(1, cloud.tobytes(), 20, layout), (2, None, 20, layout)], "scan int, data binary, point_step int, fields array<struct<name:string,offset:int,datatype:int>>")
     got = [(r["scan"], r["point"], r["x"], r["intensity"], r["time"]) for r in messages.points(df, ["scan"]).orderBy("point").collect()]
     assert got == [(1, 0, 1.0, 0.0, 10.0), (1, 2, 3.0, 0.0, 30.0)]
+
+
+def encode_rle(runs):
+    import base64
+
+    out = bytearray()
+    for i, n in enumerate(runs):
+        x, more = n - (runs[i - 2] if i > 2 else 0), True
+        while more:
+            c = x & 0x1F
+            x >>= 5
+            more = x != (-1 if c & 0x10 else 0)
+            out.append((c | (0x20 if more else 0)) + 48)
+    return base64.b64encode(bytes(out)).decode()
+
+
+def test_rle_mask(spark):
+    height, width = 6, 9
+    mask = np.zeros((height, width), int)
+    mask[1:4, 2:7] = 1
+    flat, runs, value = mask.T.ravel(), [], 0
+    for bit in flat:
+        if bit != value:
+            value = bit
+            runs.append(0)
+        if not runs:
+            runs.append(0)
+        runs[-1] += 1
+    rows = spark.createDataFrame([(1, ([height, width], encode_rle(runs))), (2, None)], "k int, rle struct<size:array<int>,counts:string>")
+    got = [r["pixel"] for r in camera.mask_pixels(rows, ["k"], "rle").collect()]
+    assert sorted(got) == np.flatnonzero(mask.ravel()).tolist()
+
+
+def test_unproject_undoes_project(spark):
+    k, d = (500.0, 510.0, 320.0, 240.0), (0.05, -0.02, 0.001, -0.001, 0.003)
+    points = spark.createDataFrame([(0.1, 0.2), (-0.4, 0.3), (0.0, 0.0)], "p double, q double")
+    u, v, _ = geo.project([F.col("p"), F.col("q"), F.lit(1.0)], k, d)
+    for r in camera.unproject_table(points.withColumns({"u": u, "v": v}), k, d).collect():
+        assert math.isclose(r["a"], r["p"], abs_tol=1e-9) and math.isclose(r["b"], r["q"], abs_tol=1e-9)
+
+
+def test_tracks_round_trip(spark):
+    flat = spark.createDataFrame([(1, 0, 5, 1.0, 2.0), (1, 1, 6, 3.0, 4.0), (2, 0, 7, 0.0, 0.0)], "track int, seq int, t_ns long, u double, v double")
+    back = camera.observations(camera.tracks(flat, "track", "seq", ["t_ns", "u", "v"]), "track", "points")
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, flat.collect()))
