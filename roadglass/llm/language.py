@@ -11,7 +11,8 @@ word boundary, and boundaries take part in n-grams at either end. Three code
 points of 21 bits fill one 64-bit integer, so n-grams are exact integers.
 
 Profiles are learned from a bounded sample: about ``rows_per_language`` labelled
-rows of each language, chosen by a hash of the id. Prediction reads every text
+rows of each of the 1000 commonest languages at most, chosen by a hash of the
+id. Prediction reads every text
 whole.
 
 Results by case: a null text, or one without letters, is ``und`` with score 0,
@@ -58,12 +59,11 @@ def top(codes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return codes[np.argsort(-counts, kind="stable")[:size]]
 
 
-def fit_profiles(df: DataFrame, train: Column, size: int = 400, rows_per_language: int = 3000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
+def fit_profiles(df: DataFrame, train: Column, size: int = 400, rows_per_language: int = 3000, most_languages: int = 1000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> dict[str, list[int]]:
     """N-gram codes by rank for each language; the driver gets languages x size rows."""
     rows = df.where(train & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.col(id_col).alias("id"))
-    counted = rows.groupBy("lang").count()
+    counted = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(most_languages)
     share = F.pmod(F.xxhash64("id"), F.lit(1 << 20)) / (1 << 20)
-    # one row a language
     chosen = rows.join(F.broadcast(counted), "lang").where(share * F.col("count") < rows_per_language)
 
     def make():
