@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from . import common
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<([!?][^>]*)(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?>"[^"]*"|'[^']*'|[^>])*+)(?:>|\Z)|([^<]+|<)""", re.DOTALL)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|\Z)""", re.IGNORECASE)
+ATTRIBUTE = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 #: Fixed values of HTML.
@@ -46,9 +46,12 @@ SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search di
 SKIPPED_PARTS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar footer masthead topbar "
     "cookie cookies consent gdpr notice notices notification banner popup modal overlay newsletter subscribe subscription signup login paywall comment comments commentlist disqus reply replies respond "
-    "share sharing social related recommended recommendations pagination pager widget widgets toc toolbar skip disclaimer".split()
+    "share sharing social related recommended recommendations pagination pager widget widgets toc toolbar skip disclaimer "
+    "alert alerts announcement copyright search searchform aside rail sidenav adslot adbox adunit discussion".split()
 )
 SKIPPED_ARTICLES = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo related teaser".split())
+#: Whole class names of page headers; "article-header" and the like hold titles.
+SKIPPED_CLASSES = frozenset("header site-header page-header main-header global-header top-header".split())
 #: What may stand before a part in a class name without making it one ("no-sidebar").
 MODIFIERS = frozenset("has with without no not is show hide hidden js".split())
 #: Weight of standing inside the marked main part, or outside it on a page that has one.
@@ -57,7 +60,9 @@ MARKED = 6.0
 DEFAULT_WORDS = {"p": 2.0, "h1": 2.0, "h2": 1.5, "h3": 1.5, "blockquote": 1.5, "pre": 1.5, "td": 0.5, "div": 0.5, "section": 0.5, "li": 0.5}
 DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 0.3, -2.0, -0.4
 #: Bounds of the log odds of words and tags.
-WORD_RANGE, TAG_RANGE = (-3.0, 3.0), (-2.0, -0.05)
+WORD_RANGE, TAG_RANGE = (-3.0, 3.0), (-0.6, -0.05)
+#: Observations that a default weighs as much as.
+PRIOR = 50
 
 
 def _skipped(tag: str, attributes: str, inside: bool) -> bool:
@@ -82,6 +87,8 @@ def _skipped(tag: str, attributes: str, inside: bool) -> bool:
                     if word.lower() in SKIPPED_ARTICLES:
                         return True
                     continue
+                if word.lower() in SKIPPED_CLASSES and not inside:
+                    return True
                 parts = [p.lower() for p in PART.findall(word)]
                 if parts and parts[0] not in MODIFIERS and any(p in SKIPPED_PARTS for p in parts):
                     return True
@@ -139,6 +146,10 @@ def place(block: str, link: bool) -> str:
     return f"{block}:a" if link else block
 
 
+def default_word(where: str) -> float:
+    return DEFAULT_LINK if where.endswith(":a") else DEFAULT_WORDS.get(where, DEFAULT_WORD)
+
+
 def count_places(page: str) -> Counter:
     """(what, where, inside the marked part) -> number, for a page that has such a part; else nothing."""
     found = units(page)
@@ -180,8 +191,10 @@ def fit_weights(df: DataFrame, pages: int = 4000, html_col: str = "html", id_col
         n = {(r["item"], r["inside"]): r["n"] for r in rows if r["what"] == what}
         low, high = TAG_RANGE if what == "t" else WORD_RANGE
         for item in {k[0] for k in n}:
-            odds = math.log((n.get((item, True), 0) + 1) / (n.get((item, False), 0) + 1))
-            weights[what][item] = min(high, max(low, odds))
+            inside, outside = n.get((item, True), 0), n.get((item, False), 0)
+            odds = min(high, max(low, math.log((inside + 1) / (outside + 1))))
+            default = DEFAULT_TAG if what == "t" else default_word(item)
+            weights[what][item] = (odds * (inside + outside) + default * PRIOR) / (inside + outside + PRIOR)
     return weights["w"], weights["t"]
 
 
@@ -193,8 +206,8 @@ def main_text(page: str | None, words: dict[str, float], tags: dict[str, float])
     start, span = 0, (0, 0)
     for i, (kind, text, block, link, marked) in enumerate(found):
         if kind == "w":
-            default = DEFAULT_LINK if link else DEFAULT_WORDS.get(block, DEFAULT_WORD)
-            each = words.get(place(block, link), default)
+            where = place(block, link)
+            each = words.get(where, default_word(where))
             if has_marked:
                 each += MARKED if marked else -MARKED
                 each = max(each, 0.5) if marked else min(each, -0.5)

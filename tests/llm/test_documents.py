@@ -278,6 +278,7 @@ PAGES = [
     ("<html><head><title>T</title><script>x='</p>'</script></head><body><nav><ul><li><a href='/a'>Home</a></li></ul></nav><div class='ad'>Buy a lot of things now</div><article><h1>One</h1><p>First &amp; <b>bo</b>ld&nbsp;text<br>here<p>Second</article><footer>&copy; me and all of the others</footer>", "One First & bold text here Second"),
     ("<body><div id=cookie-notice>We use cookies for many good reasons</div><div class=main><h1>Title</h1><p>Some words that make a text.</p><form><p>Subscribe to it</p></form><p>More words at the end.</p></div><div class='comments'><p>I like this very much indeed</p></div><aside>Read also this long piece</aside></body>", "Title Some words that make a text. More words at the end."),
     ("just plain  text", "just plain text"), ("", ""), (None, ""), ("<p", ""), ("<!-- only --><br/>", ""), ("<article><p>cut off &am", "cut off &am"),
+    ("<div class=site-header><p>The name of the whole site</p></div><div class='article-header'><h1 title='the hidden style class=ad'>Head</h1></div><p data-style='display:none'>Words of the text are here.</p>", "Head Words of the text are here."),
     ("<main class='no-sidebar'><p hidden>secret words are not shown</p><p>Seen words are shown.</p></main><div role=dialog>Accept all of it now</div>", "Seen words are shown."),
 ]
 
