@@ -36,7 +36,7 @@ MASKS = ("1101101101", "1110010111", "1011101011", "1111001101")
 SPAN = 10
 SHORTEST = 8
 #: Tokens whose hash a worker remembers.
-REMEMBERED = 250_000
+REMEMBERED = 200_000
 FILTER_BITS = 22
 _NOISE = re.compile(r"[\W_]+")
 
