@@ -25,7 +25,7 @@ from . import common
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Pre-tokens that a worker remembers in each of two generations.
-REMEMBERED = 250_000
+REMEMBERED = 330_000
 #: Longer pre-tokens are encoded anew each time, so that the memory stays small.
 LONGEST_REMEMBERED = 64
 
@@ -112,33 +112,57 @@ class ByteBPE:
             return [ranks[piece]]
         after = list(range(1, n + 2))  # start of the next symbol; n ends the list
         before = list(range(-1, n))  # start of the previous symbol
-        get, push, pop = ranks.get, queue.push, queue.pop
+        # the queue's push and pop, in line: most of the time of short pre-tokens is theirs
+        get, buckets, low, bits_of, top = ranks.get, queue.buckets, queue.low, queue.BITS, 0
         pair = [get(piece[i : i + 2]) for i in range(n - 1)]  # rank of the pair that starts here, or None
         pair += (None, None)
-        for i, rank in enumerate(pair):
-            if rank is not None:
-                push(rank, i)
-        while queue.top:
-            rank, i = pop()
-            if pair[i] != rank:
-                continue  # stale: merged away, or with another neighbour now
+        fresh = list(enumerate(pair))
+        while True:
+            for i, rank in fresh:
+                if rank is not None:
+                    bucket = buckets.get(rank)
+                    if bucket is None:
+                        buckets[rank] = i
+                        word = rank >> 8
+                        top |= bits_of[word]
+                        low[word] |= bits_of[rank & 255]
+                    elif bucket.__class__ is int:
+                        buckets[rank] = [bucket, i] if bucket < i else [i, bucket]
+                    else:
+                        heappush(bucket, i)
+            while top:
+                word = (top & -top).bit_length() - 1
+                bits = low[word]
+                rank = (word << 8) + (bits & -bits).bit_length() - 1
+                bucket = buckets[rank]
+                if bucket.__class__ is int:
+                    i = bucket
+                    del buckets[rank]
+                    low[word] = bits = bits & (bits - 1)
+                    if not bits:
+                        top &= top - 1
+                else:
+                    i = heappop(bucket)
+                    if len(bucket) == 1:
+                        buckets[rank] = bucket[0]
+                if pair[i] == rank:
+                    break  # else stale: merged away, or with another neighbour now
+            else:
+                break
             j = after[i]
             k = after[i] = after[j]
-            pair[j] = None
+            pair[j] = found = None
             if k < n:
                 before[k] = i
-                pair[i] = found = get(piece[i : after[k]])
-                if found is not None:
-                    push(found, i)
-            else:
-                pair[i] = None
+                found = get(piece[i : after[k]])
+            pair[i] = found
+            fresh = [(i, found)]
             if i:
                 h = before[i]
                 found = get(piece[h:k])
                 if found != pair[h]:
                     pair[h] = found
-                    if found is not None:
-                        push(found, h)
+                    fresh.append((h, found))
         out, i = [], 0
         while i < n:
             j = after[i]
