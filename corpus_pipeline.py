@@ -5,8 +5,9 @@ last return the columns of documents:
 
 - quality rules reject documents that fail the base rules or are depleted once
   their host's common lines are removed;
-- the n-gram join keeps one document of each group of near copies, the one with
-  the smallest id (documents without words link with nothing and all stay);
+- the n-gram join keeps one document of each group of near copies (five-word
+  shingles, linked from a Jaccard similarity of 0.8 up), the one with the
+  smallest id (documents without words link with nothing and all stay);
 - decontamination drops documents that share a passage with the benchmark;
 - the secret scan keeps every document and masks secrets in its text;
 - the last stage encodes and decodes the texts and adds the digests.
@@ -29,7 +30,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.representatives(docs).select(*COLUMNS)
+    return jaccard_join.representatives(docs, percent=80, words=5).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
