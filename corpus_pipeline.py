@@ -4,7 +4,7 @@ Each stage reads all that the one before it kept, as Parquet, and all but the
 last return the columns of documents:
 
 - quality rules reject documents that fail the base rules or are depleted once
-  their host's common lines are removed;
+  their host's common lines are removed, and take these lines out of the others;
 - the n-gram join keeps one document of each group of near copies (five-word
   shingles, linked from a Jaccard similarity of 0.8 up), the one with the
   smallest id (documents without words link with nothing and all stay);

@@ -5,6 +5,7 @@ repeated windows of eight. The verdict looks across documents: lines are
 normalised (lower case, digits as one 0, single spaces) and hashed with their
 host; a line that more than ``limit`` different texts of a host have is removed,
 and a document of which more than half the words go is rejected as depleted.
+The verdicts count what goes; filter_documents returns the texts without it.
 Exact copies of a text count once, so that copies alone deplete nothing.
 
 Windows are compared by 64-bit hashes built from hashes of two, then four words,
@@ -73,7 +74,7 @@ def host_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
 
 
 def removed_words(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """(id, row, n_removed) of the rows that have lines above the limit."""
+    """(id, row, n_removed, removed) of the rows that have lines above the limit; ``removed`` are positions of lines."""
     if limit < SALTS:
         raise ValueError(f"limit must be {SALTS} or more")
     lines = host_lines(df, id_col, text_col, host_col)
@@ -82,11 +83,16 @@ def removed_words(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_c
     salted = lines.select("line", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"), "id", "row", "pos", "n")
     hit = salted.join(common, ["line", "salt"])
     copies = F.count(F.lit(1)) / F.size(F.collect_set("pos"))
-    return hit.groupBy("id", "row").agg((F.sum("n") / copies).cast("long").alias("n_removed"))
+    return hit.groupBy("id", "row").agg((F.sum("n") / copies).cast("long").alias("n_removed"), F.collect_set("pos").alias("removed"))
 
 
 def verdicts(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
     """Base counts, base_failed, n_removed and kept of every row; ``extra`` columns are carried along."""
+    return judged(df, limit, id_col, text_col, host_col, extra).drop("removed")
+
+
+def judged(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
+    """The verdicts, and the positions of the removed lines; null where none is."""
     counted = base_counts(df.select(F.col(id_col).alias("doc_id"), *[c for c in extra or []], F.xxhash64(host_col, text_col).alias("_row"), F.col(text_col).alias("_text")), "_text")
     counted = counted.drop("_text")
     gone = removed_words(df, limit, id_col, text_col, host_col)
@@ -98,14 +104,17 @@ def verdicts(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: s
     kept = F.greatest(failed.cast("int"), (2 * removed > F.col("n_words")).cast("int")) == 0
     return out.select(
         "doc_id", *(extra or []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
-        failed.alias("base_failed"), removed.alias("n_removed"), kept.alias("kept"),
+        failed.alias("base_failed"), removed.alias("n_removed"), kept.alias("kept"), "removed",
     )
 
 
 def filter_documents(df: DataFrame, limit: int = 30) -> DataFrame:
-    """The rows of documents that are kept, with the columns of documents."""
-    ok = verdicts(df, limit, extra=["text", "lang", "source", "n_chars"])
-    return ok.where("kept").select("doc_id", "text", "lang", "source", "n_chars")
+    """The rows of documents that are kept, with the columns of documents; texts are without their removed lines."""
+    ok = judged(df, limit, extra=["text", "lang", "source", "n_chars"]).where("kept")
+    some = F.col("removed").isNotNull()
+    left = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("removed", i)), "\n")
+    ok = ok.withColumn("text", F.when(some, left).otherwise(F.col("text")))
+    return ok.select("doc_id", "text", "lang", "source", F.when(some, F.char_length("text")).otherwise(F.col("n_chars")).cast("long").alias("n_chars"))
 
 
 ORACLE = r"""

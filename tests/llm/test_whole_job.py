@@ -4,6 +4,8 @@ import random
 
 from test_documents import SCHEMA, WORD, words
 
+from roadglass.llm import quality
+
 
 def similar(x, y, size):
     a, b = ({tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} for w in (WORD.findall(x.lower()), WORD.findall(y.lower())))
@@ -33,3 +35,18 @@ def test_pipeline_links_from_five_words_and_080(spark):
         assert 2 * i in kept and (2 * i + 1 in kept) == (similar(a, b, 5) < 0.8)
         looser += similar(a, b, 5) >= 0.8 and similar(a, b, 4) < 0.85
     assert looser >= 3 and 900 in kept and 901 not in kept and 902 in kept
+
+
+def test_common_lines_leave_the_text(spark):
+    rng = random.Random(5)
+    own = [[words(rng, 25, 5000), words(rng, 10, 5000), ""] for _ in range(40)]
+    texts = ["\n".join([o[0], "All rights reserved 2024", o[1], "  all RIGHTS reserved 7", o[2]]) for o in own]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)] + [(100, texts[0], "en", "other", 5), (101, texts[0], "en", None, None), (0, texts[0], "en", "s", len(texts[0]))]
+    got = quality.filter_documents(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()
+    assert len(got) == 43
+    for r in got:
+        if r["source"] == "s":
+            want = "\n".join(own[r["doc_id"]])
+            assert r["text"] == want and r["n_chars"] == len(want)
+        else:
+            assert r["text"] == texts[0] and r["n_chars"] == (5 if r["source"] else None)
