@@ -6,12 +6,14 @@ normalised (lower case, digits as one 0, single spaces) and hashed with their
 host; a line that more than ``limit`` different texts of a host have is removed,
 and a document of which more than half the words go is rejected as depleted.
 The verdicts count what goes; filter_documents returns the texts without it.
-Exact copies of a text count once, so that copies alone deplete nothing.
+Exact copies of a text count once, so that copies alone deplete nothing. The
+limit is a number, or without one goes by the host: a twentieth of its different
+texts, but 5 at least and 30 at most.
 
 Windows are compared by 64-bit hashes built from hashes of two, then four words,
 inside the row: nothing is exploded but lines. The removed lines join with a
-salt of 16; a removed line has more than 16 rows, so its copies for the salts
-are fewer than the rows they meet.
+salt of 16; a removed line gets a copy for each salt that its rows have, so
+there are no more copies than rows they meet, whatever the limit.
 
 Results by case: a null text is empty, has no words and fails the base rules; a
 null host is a host of its own; rows that repeat an id, host and text get the
@@ -27,6 +29,8 @@ from .common import JAVA_SPACE, JAVA_WORD, SPACE_CHARS, words_of
 
 WINDOW = 8
 SALTS = 16
+#: The limit of a host: its different texts over SHARE, within these bounds.
+SHARE, LEAST, MOST = 20, 5, 30
 
 
 def base_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
@@ -60,7 +64,7 @@ def base_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def host_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
-    """One row for each line with a word: (id, row, text_hash, line, pos, n)."""
+    """One row for each line with a word: (id, row, text_hash, host, line, pos, n); host and line are hashes."""
     lines = df.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("id"),
         F.col(host_col).alias("host"),
@@ -70,32 +74,49 @@ def host_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     )
     bare = F.btrim("raw", F.lit(SPACE_CHARS))
     norm = F.regexp_replace(F.regexp_replace(F.lower(bare), JAVA_SPACE, " "), "[0-9]+", "0")
-    return lines.where(bare != "").select("id", "row", "text_hash", "pos", F.xxhash64("host", norm).alias("line"), F.regexp_count(bare, F.lit(JAVA_WORD)).alias("n"))
+    return lines.where(bare != "").select("id", "row", "text_hash", F.xxhash64("host").alias("host"), "pos", F.xxhash64("host", norm).alias("line"), F.regexp_count(bare, F.lit(JAVA_WORD)).alias("n"))
 
 
-def removed_words(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def removed_lines(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(id, row, n_removed, removed) of the rows that have lines above the limit; ``removed`` are positions of lines."""
-    if limit < SALTS:
-        raise ValueError(f"limit must be {SALTS} or more")
     lines = host_lines(df, id_col, text_col, host_col)
-    common = lines.groupBy("line").agg(F.countDistinct("text_hash").alias("texts")).where(F.col("texts") > limit)
-    common = common.select("line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
-    salted = lines.select("line", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"), "id", "row", "pos", "n")
+    salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
+    texts, salts = F.countDistinct("text_hash").alias("texts"), F.bit_or(F.call_function("shiftleft", F.lit(1), salt)).alias("salts")
+    if limit is not None:
+        common = lines.groupBy("line").agg(texts, salts).where(F.col("texts") > limit)
+    else:
+        common = lines.groupBy("line").agg(texts, salts, F.min("host").alias("host")).where(F.col("texts") > LEAST)
+        hosts = df.where(F.col(text_col).isNotNull()).select(F.xxhash64(host_col).alias("host"), F.xxhash64(text_col).alias("text_hash"))
+        hosts = hosts.groupBy("host").agg(F.countDistinct("text_hash").alias("all"))
+        most = F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.floor(F.col("all") / SHARE)))
+        # lines above the highest limit are removed whatever their host, so a large host's don't meet in one task
+        near = common.where(F.col("texts") <= MOST).join(hosts, "host").where(F.col("texts") > most)
+        common = common.where(F.col("texts") > MOST).select("line", "salts").unionByName(near.select("line", "salts"))
+    used = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.get(F.lit([1 << k for k in range(SALTS)]), i).bitwiseAND(F.col("salts")) != 0)
+    common = common.select("line", F.explode(used).alias("salt"))
+    salted = lines.select("line", salt.alias("salt"), "id", "row", "pos", "n")
     hit = salted.join(common, ["line", "salt"])
     copies = F.count(F.lit(1)) / F.size(F.collect_set("pos"))
     return hit.groupBy("id", "row").agg((F.sum("n") / copies).cast("long").alias("n_removed"), F.collect_set("pos").alias("removed"))
 
 
-def verdicts(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
+def removed_words(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+    """(id, row, n_removed) of the rows that have lines above the limit, which must be SALTS or more here; removed_lines takes any."""
+    if limit < SALTS:
+        raise ValueError(f"limit must be {SALTS} or more")
+    return removed_lines(df, limit, id_col, text_col, host_col).drop("removed")
+
+
+def verdicts(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
     """Base counts, base_failed, n_removed and kept of every row; ``extra`` columns are carried along."""
     return judged(df, limit, id_col, text_col, host_col, extra).drop("removed")
 
 
-def judged(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
+def judged(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
     """The verdicts, and the positions of the removed lines; null where none is."""
     counted = base_counts(df.select(F.col(id_col).alias("doc_id"), *[c for c in extra or []], F.xxhash64(host_col, text_col).alias("_row"), F.col(text_col).alias("_text")), "_text")
     counted = counted.drop("_text")
-    gone = removed_words(df, limit, id_col, text_col, host_col)
+    gone = removed_lines(df, limit, id_col, text_col, host_col)
     out = counted.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")), "left")
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     removed = F.coalesce(F.col("n_removed"), F.lit(0).cast("long"))
@@ -108,7 +129,7 @@ def judged(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_col: str
     )
 
 
-def filter_documents(df: DataFrame, limit: int = 30) -> DataFrame:
+def filter_documents(df: DataFrame, limit: int | None = None) -> DataFrame:
     """The rows of documents that are kept, with the columns of documents; texts are without their removed lines."""
     ok = judged(df, limit, extra=["text", "lang", "source", "n_chars"]).where("kept")
     some = F.col("removed").isNotNull()

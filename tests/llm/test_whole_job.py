@@ -2,6 +2,8 @@
 
 import random
 
+import duckdb
+import pytest
 from test_documents import SCHEMA, WORD, words
 
 from roadglass.llm import quality
@@ -50,3 +52,30 @@ def test_common_lines_leave_the_text(spark):
             assert r["text"] == want and r["n_chars"] == len(want)
         else:
             assert r["text"] == texts[0] and r["n_chars"] == (5 if r["source"] else None)
+
+
+def test_lines_of_small_hosts(spark):
+    rng = random.Random(6)
+    line = "Licensed under some terms 4.0"
+    rows = [(i, f"{words(rng, 30, 5000)}\n{line}", "en", "small", 0) for i in range(6)]
+    rows += [(100 + i, f"{words(rng, 30, 5000)}\n{line}", "en", "five", 0) for i in range(5)]
+    rows += [(200 + i, words(rng, 30, 5000) + (f"\n{line}" if i < 9 else ""), "en", "large", 0) for i in range(180)]
+    rows += [(400 + i, words(rng, 30, 5000) + (f"\n{line}" if i < 10 else ""), "en", None, 0) for i in range(180)]
+    rows += [(600 + i, words(rng, 30, 5000) + (f"\n{line}" if i < 31 else ""), "en", "largest", 0) for i in range(700)]
+    got = {r["doc_id"]: r["text"] for r in quality.filter_documents(spark.createDataFrame(rows, SCHEMA).repartition(3)).collect()}
+    assert len(got) == len(rows)
+    gone = {i for i, t, *_ in rows if got[i] != t}
+    assert gone == {*range(6), *range(400, 410), *range(600, 631)} and all(line not in got[i] for i in gone)
+
+
+@pytest.mark.parametrize("limit", [1, 3, 30])
+def test_any_limit_against_sql(spark, limit):
+    rng = random.Random(7)
+    lines = [words(rng, 6, 50) for _ in range(30)]
+    rows = [(i, "\n".join([words(rng, 22, 5000)] + rng.choices(lines, range(1, 31), k=3)), "en", rng.choice(["a", "b", None]), 0) for i in range(150)]
+    frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    got = quality.verdicts(frame, limit).toPandas().sort_values("doc_id").reset_index(drop=True)
+    c = duckdb.connect()
+    c.register("documents", frame.toPandas())
+    want = c.sql(quality.ORACLE.replace("> 30),", f"> {limit}),")).df().sort_values("doc_id").reset_index(drop=True)[list(got.columns)]
+    assert (got == want).all().all() and (limit > 3 or got.n_removed.max() > 0)
