@@ -1,6 +1,9 @@
 """Secret scanning: three exact patterns, and a battery of randomness tests for what they miss.
 
-A candidate is a maximal run of 20 or more characters of the usual encodings.
+A candidate is a maximal run of 20 or more characters of the usual encodings;
+"=" ends a run, as padding or after a name. A run that mixes "+" or "/" with "-"
+or "_" fits no encoding: its parts between the ones, and between the others, are
+candidates, and of those that pass and overlap the least likely text is kept.
 The smallest encoding that has all its characters is inferred, and three tests
 of "each symbol is drawn evenly and independently" run over its symbol numbers:
 chi-squared uniformity over the alphabet, runs above and below its middle, and
@@ -34,7 +37,9 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_MARKS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # runs of 24 or more are the long ones of all maximal runs
-RUN = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}")
+RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}")
+#: Parts of a run that fits no encoding: without the signs of base64, and without those of base64url.
+PARTS = (re.compile(r"[A-Za-z0-9_-]{20,}"), re.compile(r"[A-Za-z0-9+/]{20,}"))
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from small to large alphabets; decimal runs are numbers, not secrets.
@@ -132,22 +137,31 @@ def candidates(text: str, base: list[tuple[int, int, int]] | None = None) -> lis
     """(start, end, length class, histogram bin) of the runs outside the base spans that pass the battery."""
     out = []
     for m in RUN.finditer(text):
-        start, end = m.span()
-        while end > start and text[end - 1] == "=":
-            end -= 1
-        run = text[start:end]
-        if len(run) < LENGTHS[0] or (encoding := infer(run)) in (None, "decimal"):
+        if (encoding := infer(m[0])) == "decimal":
             continue
         if base is None:
             base = base_spans(text)
-        if any(a < end and start < b for a, _, b in base):
+        if encoding:
+            out += _tested(text, *m.span(), encoding, base)
             continue
-        if random_chance(run, encoding) >= LEAST_RANDOM:
-            length = sum(len(run) >= x for x in LENGTHS) - 1
-            out.append((start, end, length, min(BINS - 1, int(-math.log10(text_chance(run, encoding)) * BINS_A_DECADE))))
+        parts = [x for pattern in PARTS for p in pattern.finditer(text, *m.span()) for e in [infer(p[0])] if e != "decimal" for x in _tested(text, *p.span(), e, base)]
+        chosen: list[tuple[int, int, int, int]] = []
+        for x in sorted(parts, key=lambda x: (-x[3], x[0] - x[1], x[0])):
+            if all(x[1] <= y[0] or y[1] <= x[0] for y in chosen):
+                chosen.append(x)
+        out += sorted(chosen)
     return out
 
 
+def _tested(text: str, start: int, end: int, encoding: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
+    """The candidate as a list, or an empty one where it meets a base span or fails the battery."""
+    run = text[start:end]
+    if any(a < end and start < b for a, _, b in base) or random_chance(run, encoding) < LEAST_RANDOM:
+        return []
+    length = sum(len(run) >= x for x in LENGTHS) - 1
+    return [(start, end, length, min(BINS - 1, int(-math.log10(text_chance(run, encoding)) * BINS_A_DECADE)))]
+
+
 def fit_limits(df: DataFrame, text_col: str = "text", rate: float = 0.01) -> dict[int, int]:
     """Smallest histogram bin to report, by length class: Benjamini-Hochberg over all candidates of the table.
 

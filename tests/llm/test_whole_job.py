@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from test_documents import SCHEMA, WORD, words
 
-from roadglass.llm import quality
+from roadglass.llm import quality, secrets
 
 
 def similar(x, y, size):
@@ -79,3 +79,29 @@ def test_any_limit_against_sql(spark, limit):
     c.register("documents", frame.toPandas())
     want = c.sql(quality.ORACLE.replace("> 30),", f"> {limit}),")).df().sort_values("doc_id").reset_index(drop=True)[list(got.columns)]
     assert (got == want).all().all() and (limit > 3 or got.n_removed.max() > 0)
+
+
+def test_secrets_glued_to_names_and_in_paths(spark):
+    rng = random.Random(9)
+    rows, keys = [], []
+    for i in range(40):
+        kind = "base64url" if i % 4 == 3 else "base64" if i % 4 == 2 else "base62"
+        key = "".join(rng.choice(secrets.ENCODINGS[kind]) for _ in range(48))
+        key = {"base64url": "x-Y", "base64": "x+Y"}.get(kind, "") + key
+        rows.append((i, [f"AWS_KEY={key} end", f"see /a-b/{key} here", f"at x-y_z/{key}== here", f"GET /some_page/{key}?a=b"][i % 4]))
+        keys.append(key)
+    rows += [(100 + i, f"https_//some-long_host/path/of-the/{w}?q=plain+words/and-more_words=internationalisationsmeasurement") for i, w in enumerate(["documentation-overview", "installation_guide"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    red = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
+    assert sum(keys[i] not in red[i] and "[random]" in red[i] for i in range(40)) >= 36
+    assert all(red[i] == t for i, t in rows[40:])
+    spans = secrets.scan(df, dict.fromkeys(range(5), 0)).collect()
+    assert all(r["n_random"] == len({x for x in r["spans"].split(",") if x}) for r in spans)
+    for i, (_, text) in enumerate(rows[:40]):
+        assert all(0 <= a < b <= len(text) for a, b, *_ in secrets.candidates(text))
+
+
+def test_padding_and_decimals_are_no_part_of_a_run():
+    key = "Zk3vQ9xLr7TbN2mWc8YhJ5pD"
+    assert [x[:2] for x in secrets.candidates(f"sig={key}== x")] == [(4, 28)]
+    assert secrets.candidates("n=123456789012345678901234567890") == []
