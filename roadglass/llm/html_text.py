@@ -2,8 +2,11 @@
 
 A page becomes a sequence of runs of words and of tags. Words score by where
 they stand (the innermost block element, in a link or not), tags cost something;
-both weights are log odds counted on labelled pages, those whose main part is
-marked up as ``article`` or ``main``. One linear scan (Kadane) finds the region
+both weights are log odds counted on labelled pages, those of whose words an
+``article`` or ``main`` element holds half or more. On such a page a word also
+gets up to ``MARKED`` more inside that element and as much less outside, by the
+share of words it holds; a teaser in an ``article`` beside a body in plain
+elements counts as any other text. One linear scan (Kadane) finds the region
 with the highest sum, and its words are the text. Parts that are never content,
 by element, role or class (menus, adverts, forms, comments and so on), score
 nothing and are left out even inside the region.
@@ -54,8 +57,8 @@ SKIPPED_ARTICLES = frozenset("comment comments reply replies ad ads advert adver
 SKIPPED_CLASSES = frozenset("header site-header page-header main-header global-header top-header".split())
 #: What may stand before a part in a class name without making it one ("no-sidebar").
 MODIFIERS = frozenset("has with without no not is show hide hidden js".split())
-#: Weight of standing inside the marked main part, or outside it on a page that has one.
-MARKED = 6.0
+#: Most that standing inside the marked main part adds, or outside it takes; the words' own weights reach further.
+MARKED = 2.0
 #: Weights without labelled pages: of a word by place, and of a tag.
 DEFAULT_WORDS = {"p": 2.0, "h1": 2.0, "h2": 1.5, "h3": 1.5, "blockquote": 1.5, "pre": 1.5, "td": 0.5, "div": 0.5, "section": 0.5, "li": 0.5}
 DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 0.3, -2.0, -0.4
@@ -150,10 +153,19 @@ def default_word(where: str) -> float:
     return DEFAULT_LINK if where.endswith(":a") else DEFAULT_WORDS.get(where, DEFAULT_WORD)
 
 
+def marked_share(found: list[tuple[str, str, str, bool, bool]]) -> float:
+    """Share of the words that the marked part holds."""
+    n = Counter()
+    for kind, text, _, _, marked in found:
+        if kind == "w":
+            n[marked] += len(text.split())
+    return n[True] / max(1, n.total())
+
+
 def count_places(page: str) -> Counter:
-    """(what, where, inside the marked part) -> number, for a page that has such a part; else nothing."""
+    """(what, where, inside the marked part) -> number, for a page of whose words such a part holds half or more; else nothing."""
     found = units(page)
-    if not any(kind == "w" and marked and text.strip() for kind, text, _, _, marked in found):
+    if marked_share(found) < 0.5:
         return Counter()
     out: Counter = Counter()
     for kind, text, block, link, marked in found:
@@ -201,16 +213,13 @@ def fit_weights(df: DataFrame, pages: int = 4000, html_col: str = "html", id_col
 def main_text(page: str | None, words: dict[str, float], tags: dict[str, float]) -> str:
     """Text of the best region."""
     found = units(page or "")
-    has_marked = any(kind == "w" and marked and text.strip() for kind, text, _, _, marked in found)
+    mark = MARKED * max(0.0, 2 * marked_share(found) - 1)
     best = total = 0.0
     start, span = 0, (0, 0)
     for i, (kind, text, block, link, marked) in enumerate(found):
         if kind == "w":
             where = place(block, link)
-            each = words.get(where, default_word(where))
-            if has_marked:
-                each += MARKED if marked else -MARKED
-                each = max(each, 0.5) if marked else min(each, -0.5)
+            each = words.get(where, default_word(where)) + (mark if marked else -mark)
             total += each * len(text.split())
         else:
             total += tags.get(text, DEFAULT_TAG)

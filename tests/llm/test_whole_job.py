@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from test_documents import SCHEMA, WORD, words
 
-from roadglass.llm import quality, secrets
+from roadglass.llm import html_text, quality, secrets
 
 
 def similar(x, y, size):
@@ -105,3 +105,19 @@ def test_padding_and_decimals_are_no_part_of_a_run():
     key = "Zk3vQ9xLr7TbN2mWc8YhJ5pD"
     assert [x[:2] for x in secrets.candidates(f"sig={key}== x")] == [(4, 28)]
     assert secrets.candidates("n=123456789012345678901234567890") == []
+
+
+def test_a_marked_teaser_does_not_hide_the_body():
+    body = " ".join(f"<div>Sentence {i} of the body has a few words.</div>" for i in range(20))
+    page = f"<body><div>{body}</div><article class=card><h3>More</h3><p>A teaser of another text.</p></article></body>"
+    for weights in (({}, {}), ({"p": 3.0, "h3": 3.0}, {"p": -0.05, "div": -0.59, "article": -0.05})):
+        text = html_text.main_text(page, *weights)
+        assert all(f"Sentence {i} of the body has a few words." in text for i in range(20))
+    assert not html_text.count_places(page)
+
+
+def test_learned_weights_can_outweigh_the_mark():
+    lead = "<p>" + "The lead stands before the marked part. " * 3 + "</p>"
+    page = f"<body>{lead}<main>{'<p>Words of the marked part are here.</p>' * 6}</main></body>"
+    assert html_text.main_text(page, {"p": 3.0}, {}).startswith("The lead")
+    assert html_text.main_text(page, {"p": 0.5}, {}).startswith("Words of")
