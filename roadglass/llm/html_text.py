@@ -8,8 +8,10 @@ gets up to ``MARKED`` more inside that element and as much less outside, by the
 share of words it holds; a teaser in an ``article`` beside a body in plain
 elements counts as any other text. One linear scan (Kadane) finds the region
 with the highest sum, and its words are the text. Parts that are never content,
-by element, role or class (menus, adverts, forms, comments and so on), score
-nothing and are left out even inside the region.
+by element, role or the whole name of a class or id (menus, adverts, comments
+and so on), score nothing and are left out even inside the region; headings and
+paragraphs are never left out by name. A class that such a word is only a part
+of makes a place of its own outside the mark, with a low weight in the scan.
 
 Inside a block white space becomes one space; blocks are joined by one space;
 character references are decoded.
@@ -52,6 +54,14 @@ SKIPPED_PARTS = frozenset(
     "share sharing social related recommended recommendations pagination pager widget widgets toc toolbar skip disclaimer "
     "alert alerts announcement copyright search searchform aside rail sidenav adslot adbox adunit discussion".split()
 )
+#: Those that also name parts of a text, and don't make a container by themselves.
+UNSURE_PARTS = frozenset("discussion notice notices alert alerts announcement search menu copyright disclaimer skip social rail respond recommended recommendation recommendations".split())
+#: What else the whole name of a container may have.
+CONTAINER_PARTS = frozenset("area bar block box button buttons container content desktop footer form global google group header icons inner item items left link links list mobile outer page panel post posts right section site slot story stories thread top bottom unit wrap wrapper".split())
+#: Ids of one part that aren't made from headings; others need two parts or more.
+SKIPPED_IDS = frozenset("adbox adslot adunit adsense ads breadcrumb breadcrumbs disqus footer masthead nav navbar pager paywall searchform sidebar sidenav topbar".split())
+#: Elements that no class or id leaves out.
+NAMED_FREELY = frozenset("p h1 h2 h3 h4 h5 h6".split())
 SKIPPED_ARTICLES = frozenset("comment comments reply replies ad ads advert advertisement sponsored promo related teaser".split())
 #: Whole class names of page headers; "article-header" and the like hold titles.
 SKIPPED_CLASSES = frozenset("header site-header page-header main-header global-header top-header".split())
@@ -61,41 +71,58 @@ MODIFIERS = frozenset("has with without no not is show hide hidden js".split())
 MARKED = 2.0
 #: Weights without labelled pages: of a word by place, and of a tag.
 DEFAULT_WORDS = {"p": 2.0, "h1": 2.0, "h2": 1.5, "h3": 1.5, "blockquote": 1.5, "pre": 1.5, "td": 0.5, "div": 0.5, "section": 0.5, "li": 0.5}
-DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 0.3, -2.0, -0.4
+DEFAULT_WORD, DEFAULT_LINK, DEFAULT_DOUBTED, DEFAULT_TAG = 0.3, -2.0, -0.5, -0.4
 #: Bounds of the log odds of words and tags.
 WORD_RANGE, TAG_RANGE = (-3.0, 3.0), (-0.6, -0.05)
 #: Observations that a default weighs as much as.
 PRIOR = 50
 
 
-def _skipped(tag: str, attributes: str, inside: bool) -> bool:
+#: What an element's name and attributes tell of it.
+KEPT, DOUBTED, GONE = 0, 1, 2
+
+
+def _container(parts: list[str]) -> bool:
+    """Whether the parts are the whole name of a container without main text."""
+    return all(p in SKIPPED_PARTS or p in CONTAINER_PARTS for p in parts) and any(p in SKIPPED_PARTS and p not in UNSURE_PARTS for p in parts)
+
+
+def _skipped(tag: str, attributes: str, inside: bool) -> int:
     """Whether an element holds no main text; ``inside`` a marked main part."""
     if tag in SKIPPED or tag == "header" and not inside:
-        return True
+        return GONE
     if not attributes or tag in ("html", "body"):
-        return False
+        return KEPT
+    out = KEPT
     for m in ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return GONE
         if name == "style":
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                return True
+                return GONE
         elif name == "role":
             if value.lower() in SKIPPED_ROLES:
-                return True
-        elif name in ("class", "id"):
+                return GONE
+        elif name in ("class", "id") and tag not in NAMED_FREELY:
             for word in value.split():
                 if tag in MAIN:
-                    if word.lower() in SKIPPED_ARTICLES:
-                        return True
+                    if name == "class" and word.lower() in SKIPPED_ARTICLES:
+                        return GONE
                     continue
-                if word.lower() in SKIPPED_CLASSES and not inside:
-                    return True
+                if name == "class" and word.lower() in SKIPPED_CLASSES and not inside:
+                    return GONE
                 parts = [p.lower() for p in PART.findall(word)]
-                if parts and parts[0] not in MODIFIERS and any(p in SKIPPED_PARTS for p in parts):
-                    return True
-    return False
+                if not parts or parts[0] in MODIFIERS:
+                    continue
+                if name == "id":
+                    if tag != "section" and (_container(parts) if len(parts) > 1 else parts[0] in SKIPPED_IDS):
+                        return GONE
+                elif _container(parts):
+                    return GONE
+                elif not inside and tag not in INLINE and any(p in SKIPPED_PARTS for p in parts):
+                    out = DOUBTED
+    return out
 
 
 def units(page: str) -> list[tuple[str, str, str, bool, bool]]:
@@ -104,17 +131,17 @@ def units(page: str) -> list[tuple[str, str, str, bool, bool]]:
     Kinds: ``w`` words, ``t`` a tag, ``s`` a break between blocks with no cost of its own.
     """
     out: list = []
-    stack: list[tuple[str, bool, bool]] = []  # tag, skipped, marked
+    stack: list[tuple[str, bool, bool, bool]] = []  # tag, skipped, marked, doubted
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.match(page, at)
         at = m.end()
         tag = m[3]
-        skipped, marked = stack[-1][1:] if stack else (False, False)
+        skipped, marked, doubted = stack[-1][1:] if stack else (False, False, False)
         if m[5] is not None:
             if not skipped:
-                block = next((t for t, _, _ in reversed(stack) if t not in INLINE), "body")
-                out.append(("w", m[5], block, any(t == "a" for t, _, _ in stack), marked))
+                block = next((t for t, *_ in reversed(stack) if t not in INLINE), "body")
+                out.append(("w", m[5], f"{block}?" if doubted else block, any(t == "a" for t, *_ in stack), marked))
             continue
         if tag is None:
             continue  # a comment or declaration
@@ -133,13 +160,15 @@ def units(page: str) -> list[tuple[str, str, str, bool, bool]]:
                         break
                     if t not in INLINE:
                         break
-                skipped, marked = stack[-1][1:] if stack else (False, False)
-            gone = skipped or _skipped(tag, m[4], marked)
+                skipped, marked, doubted = stack[-1][1:] if stack else (False, False, False)
+            told = _skipped(tag, m[4], marked)
+            gone = skipped or told == GONE
             if tag in RAW:
                 close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
                 at = close.end() if close else end
             elif tag not in VOID and not m[4].endswith("/"):
-                stack.append((tag, gone, marked or tag in MAIN and not gone))
+                main = marked or tag in MAIN and not gone
+                stack.append((tag, gone, main, not main and (doubted or told == DOUBTED)))
         if not skipped:
             out.append(("t", tag, "", False, marked))
     return out
@@ -150,7 +179,7 @@ def place(block: str, link: bool) -> str:
 
 
 def default_word(where: str) -> float:
-    return DEFAULT_LINK if where.endswith(":a") else DEFAULT_WORDS.get(where, DEFAULT_WORD)
+    return DEFAULT_LINK if where.endswith(":a") else DEFAULT_DOUBTED if where.endswith("?") else DEFAULT_WORDS.get(where, DEFAULT_WORD)
 
 
 def marked_share(found: list[tuple[str, str, str, bool, bool]]) -> float:

@@ -121,3 +121,21 @@ def test_learned_weights_can_outweigh_the_mark():
     page = f"<body>{lead}<main>{'<p>Words of the marked part are here.</p>' * 6}</main></body>"
     assert html_text.main_text(page, {"p": 3.0}, {}).startswith("The lead")
     assert html_text.main_text(page, {"p": 0.5}, {}).startswith("Words of")
+
+
+def test_names_made_from_headings_leave_nothing_out():
+    body = (
+        '<h2 id="related-work">Related work of others</h2><p>They did this before us.</p>'
+        '<p class="share-price">The share price rose again.</p><section id="discussion"><h2 class="search-title">Discussion</h2><p>We talk about results here.</p></section>'
+        '<div class="alert alert-note">Mind this detail of it.</div><div class="notice">And that one as well.</div><div id="search">Search trees are fast enough.</div>'
+        '<div class="menu-engineering"><p>Menus of restaurants are designed.</p></div><p>The last words stand here, and they go on as long as the paragraphs of a text do that has a good end.</p>'
+    )
+    want = "Related work of others They did this before us. The share price rose again. Discussion We talk about results here. Mind this detail of it. And that one as well. Search trees are fast enough. Menus of restaurants are designed. The last words stand here, and they go on as long as the paragraphs of a text do that has a good end."
+    boxes = "<div class='social-share'>Share it with all</div><div class='related-posts'>Read more of it</div><div class=comments>I like it</div><div id='cookie-banner'>We use cookies</div>"
+    for page in (f"<article>{body}{boxes}</article>", f"<body>{body}{boxes}</body>", f"<main><div>{boxes}{body}</div></main>"):
+        assert html_text.main_text(page, {}, {}) == want
+
+
+def test_doubtful_classes_are_trimmed_at_the_ends():
+    page = "<body><div class='post-widget-strip'>A strip of some other words</div><p>The text has its words here.</p><p>It ends here.</p><div class='search-hints'>Try other words too</div></body>"
+    assert html_text.main_text(page, {}, {}) == "The text has its words here. It ends here."
