@@ -90,8 +90,8 @@ def removed_lines(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id",
         hosts = hosts.groupBy("host").agg(F.countDistinct("text_hash").alias("all"))
         most = F.least(F.lit(MOST), F.greatest(F.lit(LEAST), F.floor(F.col("all") / SHARE)))
         # lines above the highest limit are removed whatever their host, so a large host's don't meet in one task
-        near = common.where(F.col("texts") <= MOST).join(hosts, "host").where(F.col("texts") > most)
-        common = common.where(F.col("texts") > MOST).select("line", "salts").unionByName(near.select("line", "salts"))
+        own = F.when(F.col("texts") > MOST, F.xxhash64("line")).otherwise(F.col("host"))
+        common = common.withColumn("host", own).join(hosts, "host", "left").where((F.col("texts") > MOST) | (F.col("texts") > most))
     used = F.filter(F.sequence(F.lit(0), F.lit(SALTS - 1)), lambda i: F.get(F.lit([1 << k for k in range(SALTS)]), i).bitwiseAND(F.col("salts")) != 0)
     common = common.select("line", F.explode(used).alias("salt"))
     salted = lines.select("line", salt.alias("salt"), "id", "row", "pos", "n")
