@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -20,6 +19,8 @@ JAVA_WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 #: Rows that a Python worker turns into str at a time; bounds its memory beside the Arrow batch.
 SLICE = 256
+#: Files of a kept table for each core.
+FILES = 8
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,18 +57,28 @@ def map_texts(df: DataFrame, columns: list[str], schema: str, make: Callable[[],
 def shared_dir(spark: SparkSession) -> str:
     """A new folder that the driver and every executor can reach.
 
-    That is spark.checkpoint.dir where it is set; else, as in local tests, a
-    folder of this machine becomes it.
+    That is spark.checkpoint.dir where it is set; else, with a local master, a
+    folder of this machine becomes it. On a cluster it has to be set: a folder
+    of one machine would lose what executors write.
     """
     top = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not top:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all machines of {master} share")
+        import tempfile
+
         top = Path(tempfile.mkdtemp(prefix="roadglass-")).as_uri()
         spark.conf.set("spark.checkpoint.dir", top)
     return f"{top.rstrip('/')}/roadglass-{uuid.uuid4().hex}"
 
 
 class Workspace:
-    """Tables written to the shared folder, which cut lineage and outlive executors."""
+    """Tables written to the shared folder, which cut lineage and outlive executors.
+
+    A table has as many files as ``FILES`` for each core at most: partitions
+    beyond that are written one after the other, without a shuffle.
+    """
 
     def __init__(self, spark: SparkSession):
         self.spark, self.top, self.n = spark, shared_dir(spark), 0
@@ -75,7 +86,7 @@ class Workspace:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
         path = f"{self.top}/{self.n:03d}-{name}"
-        df.write.parquet(path)
+        df.coalesce(FILES * self.spark.sparkContext.defaultParallelism).write.parquet(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._rg_path = path
         return out
