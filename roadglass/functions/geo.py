@@ -55,8 +55,9 @@ def quaternion_to_rpy(q: Columns) -> Columns:
 
 
 def normalise(q: Columns) -> Columns:
+    """Of length one; nulls for a quaternion without length."""
     norm = F.sqrt(sum((c * c for c in q[1:]), q[0] * q[0]))
-    return [c / norm for c in q]
+    return [F.try_divide(c, norm) for c in q]
 
 
 def multiply(p: Columns, q: Columns) -> Columns:
@@ -71,7 +72,8 @@ def conjugate(q: Columns) -> Columns:
 
 
 def slerp(p: Columns, q: Columns, fraction: Column) -> Columns:
-    """Along the shorter arc; nearly equal rotations are mixed linearly. xyzw in, normalised xyzw out."""
+    """Along the shorter arc; nearly equal rotations are mixed linearly. xyzw of any length in, normalised xyzw out."""
+    p, q = normalise(p), normalise(q)
     plain = sum((a * b for a, b in zip(p[1:], q[1:])), p[0] * q[0])
     sign = F.when(plain < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
     dot = F.least(F.lit(1.0), plain * sign)
@@ -84,7 +86,11 @@ def slerp(p: Columns, q: Columns, fraction: Column) -> Columns:
 
 
 def rotation_of_quaternion(q: Columns) -> Columns:
-    """xyzw to a rotation."""
+    """xyzw of any length to a rotation."""
+    return _rotation(normalise(q))
+
+
+def _rotation(q: Columns) -> Columns:
     x, y, z, w = q
     return [
         1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w),
@@ -97,7 +103,7 @@ def rotation_of_wxyz(q: Columns) -> Columns:
     """wxyz of any length to a rotation; zero length gives the identity."""
     norm = F.sqrt(sum((c * c for c in q[1:]), q[0] * q[0]))
     w, x, y, z = (F.when(norm == 0, F.lit(float(i == 0))).otherwise(c / F.when(norm == 0, 1.0).otherwise(norm)) for i, c in enumerate(q))
-    return rotation_of_quaternion([x, y, z, w])
+    return _rotation([x, y, z, w])
 
 
 def rotation_of_euler(roll: Column, pitch: Column, yaw: Column) -> Columns:
@@ -114,7 +120,7 @@ def euler_of_rotation(r: Columns) -> Columns:
 
 
 def quaternion_of_rotation(r: Columns) -> Columns:
-    """xyzw by the largest of the four squared components."""
+    """xyzw of length one, by the largest of the four squared components."""
     trace = r[0] + r[4] + r[8]
     branches = []
     for i in range(4):
@@ -126,7 +132,7 @@ def quaternion_of_rotation(r: Columns) -> Columns:
     first = trace > 0
     second = (r[0] > r[4]) & (r[0] > r[8])
     third = r[4] > r[8]
-    return [F.when(first, b[0]).when(second, b[1]).when(third, b[2]).otherwise(b[3]) for b in zip(*branches)]
+    return normalise([F.when(first, b[0]).when(second, b[1]).when(third, b[2]).otherwise(b[3]) for b in zip(*branches)])
 
 
 def rotate(r: Columns, p: Columns) -> Columns:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,27 +40,28 @@ def channel_of(rest: Column) -> Column:
 def tags(chain: Column) -> Column:
     """Array of (kind, value) of an underscore-joined chain of augmentation tags.
 
-    ``flicker`` stands alone; ``whole``, a colour and ``degN`` are one tag if all
-    three are there; ``ph``, ``rcn``, ``rcw`` and ``lr`` carry two digits.
-    Anything else is unknown, with its text. One fold, with a count of parts to skip.
+    ``flicker`` stands alone; ``whole`` and the two parts after it, a colour and
+    an angle, written ``degN`` or bare, are one tag; ``ph``, ``rcn``, ``rcw`` and
+    ``lr`` carry two digits. Anything else is unknown, with its text, also an
+    empty part. One fold, with a count of parts to skip.
     """
-    parts = F.filter(F.split(chain, "_"), lambda p: p != "")
+    parts = F.split(chain, "_")
     tag = "struct<kind:string,value:string>"
     start = F.struct(F.lit(0).alias("at"), F.lit(0).alias("skip"), F.array().cast(f"array<{tag}>").alias("out"))
 
     def step(a: Column, p: Column) -> Column:
         colour, degrees = F.get(parts, a["at"] + 1), F.get(parts, a["at"] + 2)
-        whole = (p == "whole") & degrees.rlike(r"^deg\d+$")
+        whole = (p == "whole") & degrees.isNotNull()
         found = (
             F.when(p == "flicker", F.struct(p.alias("kind"), F.lit(None).cast("string").alias("value")))
-            .when(F.coalesce(whole, F.lit(False)), F.struct(F.lit("whole").alias("kind"), F.concat(colour, F.lit(":"), F.regexp_extract(degrees, r"(\d+)", 1)).alias("value")))
+            .when(whole, F.struct(F.lit("whole").alias("kind"), F.concat(colour, F.lit(":"), F.regexp_replace(degrees, "^deg", "")).alias("value")))
             .when(p.rlike(r"^(ph|rcn|rcw|lr)\d{2}$"), F.struct(F.regexp_extract(p, r"^([a-z]+)", 1).alias("kind"), F.regexp_extract(p, r"(\d{2})$", 1).alias("value")))
             .otherwise(F.struct(F.lit("unknown").alias("kind"), p.alias("value")))
         )
         skipping = a["skip"] > 0
         return F.struct(
             (a["at"] + 1).alias("at"),
-            F.when(skipping, a["skip"] - 1).when(F.coalesce(whole, F.lit(False)), 2).otherwise(0).alias("skip"),
+            F.when(skipping, a["skip"] - 1).when(whole, 2).otherwise(0).alias("skip"),
             F.when(skipping, a["out"]).otherwise(F.concat(a["out"], F.array(found))).alias("out"),
         )
 
@@ -79,21 +82,18 @@ def strip_fences(text: Column) -> Column:
     return F.btrim(F.regexp_replace(F.regexp_replace(text, r"(?is)<think>.*?</think>", ""), r"(?m)^```(?:json)?\s*$", ""), F.lit(" \t\r\n"))
 
 
+#: String literals, also one that the text cuts off, and braces outside of them.
+JSON_MARK = re.compile(r'"(?:[^"\\]|\\.)*+(?:"|\\?\Z)|[{}]', re.DOTALL)
+
+
 def _balanced(text: str | None) -> str | None:
-    start = -1 if text is None else text.find("{")
-    depth, quoted, escaped = 0, False, False
-    for i in range(start, len(text or "")) if start >= 0 else ():
-        c = text[i]
-        if quoted:
-            escaped, quoted = c == "\\" and not escaped, c != '"' or escaped
-        elif c == '"':
-            quoted = True
-        elif c == "{":
-            depth += 1
-        elif c == "}":
-            depth -= 1
-            if depth == 0:
-                return text[start : i + 1]
+    if text is None or (start := text.find("{")) < 0:
+        return None
+    depth = 0
+    for mark in JSON_MARK.finditer(text, start):
+        depth += {"{": 1, "}": -1}.get(mark[0], 0)
+        if not depth:
+            return text[start : mark.end()]
     return None
 
 

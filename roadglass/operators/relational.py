@@ -110,18 +110,23 @@ def frame_key(position: Column, n: Column) -> Column:
     return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), width - F.length(text))), text)
 
 
-def round_robin(rows: DataFrame, key: str, endpoints: int) -> DataFrame:
+def round_robin(rows: DataFrame, key: str, endpoints: int, block: int = 4096) -> DataFrame:
     """Adds ``endpoint``, (number in order of an integer key) mod ``endpoints``.
 
-    Keys are numbered within blocks of 4096 and the blocks start at the running
-    total of their sizes, so no task orders all rows, only the block sizes.
+    Keys are numbered within blocks of ``block``; blocks start at the running
+    total of the sizes in front of them, counted in the same way within blocks of
+    blocks. So no task orders more than a block of either, but the last, which
+    orders one row for ``block`` x ``block`` keys.
     """
-    blocks = rows.withColumn("_b", F.floor(F.col(key) / 4096))
-    sizes = blocks.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    blocks = rows.withColumn("_b", F.floor(F.col(key) / block)).withColumn("_bb", F.floor(F.col("_b") / block))
+    sizes = blocks.groupBy("_bb", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.withColumn("_in", F.coalesce(F.sum("_n").over(before(Window.partitionBy("_bb").orderBy("_b"))), F.lit(0)))
+    tops = sizes.groupBy("_bb").agg(F.sum("_n").alias("_m"))
+    tops = tops.select("_bb", F.coalesce(F.sum("_m").over(before(Window.orderBy("_bb"))), F.lit(0)).alias("_top"))
+    starts = sizes.join(tops, "_bb").select("_b", (F.col("_top") + F.col("_in")).alias("_start"))
     number = F.col("_start") + F.row_number().over(Window.partitionBy("_b").orderBy(key)) - 1
-    return blocks.join(starts, "_b").withColumn("endpoint", F.pmod(number, F.lit(endpoints)).cast("int")).drop("_b", "_start")
+    return blocks.join(starts, "_b").withColumn("endpoint", F.pmod(number, F.lit(endpoints)).cast("int")).drop("_b", "_bb", "_start")
 
 
 def missing(required: DataFrame, present: DataFrame, key: Sequence[str]) -> DataFrame:

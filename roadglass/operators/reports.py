@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -20,6 +22,43 @@ def percentiles(value: str, shares: Sequence[float]) -> list[Column]:
     return [F.percentile(value, F.lit(p)).alias(f"p{p * 100:g}".replace(".", "_")) for p in shares]
 
 
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left rows with the other columns of the right row of equal keys; nulls are equal. Without keys the right side is one row."""
+    if not keys:
+        return left.crossJoin(F.broadcast(right))
+    right = right.withColumnsRenamed({c: f"_key_{c}" for c in keys})
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_key_{c}")) for c in keys])
+    return left.join(right, same).drop(*[f"_key_{c}" for c in keys])
+
+
+def exact_percentiles(rows: DataFrame, by: Sequence[str], value: str, shares: Sequence[float], pieces: int = 256) -> DataFrame:
+    """(by, p50, p95 and so on) of groups too large for one buffer, interpolated linearly, and exact.
+
+    A sketch of each group cuts its values into ``pieces``; the pieces' counts
+    tell in which of them the wanted ranks lie, and only these are put in order,
+    each by itself, over distinct values. For many small groups use percentiles.
+    """
+    kept = rows.where(F.col(value).isNotNull() & ~F.isnan(value)).select(*by, F.col(value).cast("double").alias("_v"))
+    cuts = kept.groupBy(*by).agg(F.percentile_approx("_v", [i / pieces for i in range(1, pieces)], 40 * pieces).alias("_cuts"))
+    piece = F.aggregate("_cuts", F.lit(0), lambda n, c: n + (c < F.col("_v")).cast("int"))
+    sized = kept.groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    values = _beside(sized, cuts, by)
+    values = values.select(*by, "_v", "_n", piece.alias("_piece"))
+    counts = values.groupBy(*by, "_piece").agg(F.sum("_n").alias("_m"))
+    whole, before = Window.partitionBy(*by), Window.partitionBy(*by).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    spans = counts.select(*by, "_piece", "_m", F.sum("_m").over(whole).alias("_all"), F.coalesce(F.sum("_m").over(before), F.lit(0)).alias("_from"))
+    ranks = [(F.lit(p) * (F.col("_all") - 1)) for p in shares]
+    wanted = [f(r) for r in ranks for f in (F.floor, F.ceil)]
+    hit = spans.where(F.exists(F.array(*[w.cast("long") for w in wanted]), lambda w: (w >= F.col("_from")) & (w < F.col("_from") + F.col("_m"))))
+    inside = _beside(values, hit, [*by, "_piece"])
+    first = F.col("_from") + F.coalesce(F.sum("_n").over(Window.partitionBy(*by, "_piece").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = inside.select(*by, "_v", "_n", "_all", first.alias("_first"))
+    at = lambda w: F.max(F.when((w >= F.col("_first")) & (w < F.col("_first") + F.col("_n")), F.col("_v")))
+    out = placed.groupBy(*by, "_all").agg(*[at(w).alias(f"_w{i}") for i, w in enumerate(wanted)])
+    mixed = [F.col(f"_w{2 * i}") + (F.col(f"_w{2 * i + 1}") - F.col(f"_w{2 * i}")) * (r - F.floor(r)) for i, r in enumerate(ranks)]
+    return out.select(*by, *[m.alias(f"p{p * 100:g}".replace(".", "_")) for m, p in zip(mixed, shares)])
+
+
 def speed_gate(rows: DataFrame, by: Sequence[str], x: str, y: str, unit: int, fastest: float, widest_gap: float, t: str = "t", seq: str | None = None) -> DataFrame:
     """For each series: rows, share of steps above ``fastest``, median and p95 speed, widest gap in seconds, and the verdict on it."""
     w = S.order(by, t, seq)

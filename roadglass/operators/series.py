@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +32,16 @@ def _merged(left: DataFrame, right: DataFrame, by: Sequence[str], t: str, values
     return lefts.unionByName(rights)
 
 
+def _around(by: Sequence[str], t: str) -> tuple[Column, Column]:
+    """The latest right row up to each row of both sides, and the earliest from it on.
+
+    The second runs over the order turned round: frames that only grow are kept
+    up row by row, those that look ahead to the end are computed anew for each row.
+    """
+    grow = lambda *o: Window.partitionBy(*by).orderBy(*o).rowsBetween(Window.unboundedPreceding, 0)
+    return F.last("_ref", ignorenulls=True).over(grow(F.asc(t), F.asc("_side"))), F.last("_ref", ignorenulls=True).over(grow(F.desc(t), F.desc("_side")))
+
+
 def asof(left: DataFrame, right: DataFrame, by: Sequence[str], values: Sequence[str], t: str = "t", direction: str = "backward", clamp: bool = False, tolerance: int | None = None) -> DataFrame:
     """Every left row with ``ref_t`` and the values of one right row of its series, or nulls.
 
@@ -39,10 +50,8 @@ def asof(left: DataFrame, right: DataFrame, by: Sequence[str], values: Sequence[
     the other side where there is none. ``tolerance``: farther rows are nulls.
     Right rows of equal time: backward takes the last, forward the first.
     """
-    past = Window.partitionBy(*by).orderBy(t, "_side")
     merged_back = _merged(left, right, by, t, values, True)
-    back = F.last("_ref", ignorenulls=True).over(past.rowsBetween(Window.unboundedPreceding, 0))
-    ahead = F.first("_ref", ignorenulls=True).over(past.rowsBetween(0, Window.unboundedFollowing))
+    back, ahead = _around(by, t)
     if direction == "backward":
         found = merged_back.withColumn("_p", back)
         found = found.withColumn("_n", ahead) if clamp else found.withColumn("_n", F.lit(None).cast(found.schema["_ref"].dataType))
@@ -72,13 +81,8 @@ def bracket(left: DataFrame, right: DataFrame, by: Sequence[str], values: Sequen
 
     Times outside the span are clamped to it; a span of no width has fraction 0.
     """
-    past = Window.partitionBy(*by).orderBy(t, "_side")
-    rows = _merged(left, right, by, t, values, True).withColumns(
-        {
-            "_p": F.last("_ref", ignorenulls=True).over(past.rowsBetween(Window.unboundedPreceding, 0)),
-            "_n": F.first("_ref", ignorenulls=True).over(past.rowsBetween(1, Window.unboundedFollowing)),
-        }
-    )
+    back, ahead = _around(by, t)
+    rows = _merged(left, right, by, t, values, True).withColumns({"_p": back, "_n": ahead})
     rows = rows.where(F.col("_left").isNotNull()).withColumns({"a": F.coalesce("_p", "_n"), "b": F.coalesce("_n", "_p")})
     width = F.col("b.t") - F.col("a.t")
     inside = F.greatest(F.lit(0), F.least(width, F.col(t) - F.col("a.t")))
@@ -135,11 +139,18 @@ def yaw_rate(rows: DataFrame, by: Sequence[str], east: str, north: str, unit: in
     return out.withColumns({"yaw_rate": F.when(short, 0.0).otherwise(rate), "heading": F.when(short, 0.0).otherwise(F.col("heading"))}).drop("_n", "_dt")
 
 
-def acceleration(rows: DataFrame, by: Sequence[str], distance: str, unit: int, t: str = "t", seq: str | None = None) -> DataFrame:
-    """Adds ``speed`` and ``acceleration``, gradients of distance and of speed over time; 0 where time stands still."""
+def acceleration(rows: DataFrame, by: Sequence[str], east: str, north: str, unit: int, t: str = "t", seq: str | None = None) -> DataFrame:
+    """Adds ``speed``, the length of the gradients of both positions over that of time, and ``acceleration``, its gradient over time.
+
+    Where time stands still the speed is not a number, and neither are the
+    accelerations it enters; all such are 0, as all are in a series of fewer than three rows.
+    """
     dt = gradient(F.col(t).cast("double"), by, t, seq) / unit
-    out = rows.withColumn("speed", F.coalesce(F.try_divide(gradient(F.col(distance), by, t, seq), dt), F.lit(0.0)))
-    return out.withColumn("acceleration", F.coalesce(F.try_divide(gradient(F.col("speed"), by, t, seq), dt), F.lit(0.0)))
+    way = F.hypot(gradient(F.col(east), by, t, seq), gradient(F.col(north), by, t, seq))
+    out = rows.withColumns({"_n": F.count(F.lit(1)).over(Window.partitionBy(*by)), "_dt": dt, "_way": way})
+    out = out.withColumn("speed", F.coalesce(F.try_divide("_way", "_dt"), F.lit(float("nan"))))
+    rate = F.coalesce(F.try_divide(gradient(F.col("speed"), by, t, seq), F.col("_dt")), F.lit(0.0))
+    return out.withColumn("acceleration", F.when((F.col("_n") < 3) | F.isnan(rate) | (F.abs(rate) == INF), 0.0).otherwise(rate)).drop("_n", "_dt", "_way")
 
 
 def step_speed(x: str, y: str, by: Sequence[str], unit: int, t: str = "t", seq: str | None = None) -> Column:
@@ -216,27 +227,28 @@ def pulses(rows: DataFrame, by: Sequence[str], value: str, enter: float, leave:
 def merge_opposite(events: DataFrame, by: Sequence[str], gap: int) -> DataFrame:
     """Fold events in order of start: one of the other sign within ``gap`` of the last end joins it, the larger peak stays.
 
-    The state is the merged event, so this is a fold and not a window. It holds
-    the events of one series in a row, not its samples.
+    The state is the merged event, so this is a fold and not a window: one pass
+    over the events of a series, which are far fewer than its samples.
     """
     fields = ("t_start", "t_peak", "t_end", "peak")
-    listed = events.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("_e"))
-    event = listed.schema["_e"].dataType.elementType.simpleString()
-
-    def step(done: Column, e: Column) -> Column:
-        last = F.element_at(done, -1)
-        near = (F.size(done) > 0) & (e["t_start"] - F.try_element_at(done, F.lit(-1))["t_end"] <= gap) & ((F.try_element_at(done, F.lit(-1))["peak"] > 0) != (e["peak"] > 0))
-        last = F.try_element_at(done, F.lit(-1))
-        larger = F.abs(e["peak"]) > F.abs(last["peak"])
-        joined = F.struct(
-            last["t_start"].alias("t_start"), F.when(larger, e["t_peak"]).otherwise(last["t_peak"]).alias("t_peak"),
-            e["t_end"].alias("t_end"), F.when(larger, e["peak"]).otherwise(last["peak"]).alias("peak"),
-        )
-        front = F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0)))
-        return F.when(near, F.concat(front, F.array(joined))).otherwise(F.concat(done, F.array(e)))
-
-    folded = listed.select(*by, F.explode(F.aggregate("_e", F.array().cast(f"array<{event}>"), step)).alias("_e"))
-    return folded.select(*by, *[F.col(f"_e.{f}").alias(f) for f in fields])
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema}
+
+    def fold(table: pa.Table) -> pa.Table:
+        table = table.sort_by([(f, "ascending") for f in fields])
+        done: list[list] = []
+        for event in zip(*(table[f].to_pylist() for f in fields)):
+            if done and event[0] - done[-1][2] <= gap and (done[-1][3] > 0) != (event[3] > 0):
+                last = done[-1]
+                last[2] = event[2]
+                if abs(event[3]) > abs(last[3]):
+                    last[1], last[3] = event[1], event[3]
+            else:
+                done.append(list(event))
+        key = table.select(list(by)).slice(0, 1)
+        columns = [pa.concat_arrays([pa.repeat(key[c][0], len(done))]) for c in by] + [pa.array([e[i] for e in done], table.schema.field(f).type) for i, f in enumerate(fields)]
+        return pa.Table.from_arrays(columns, names=[*by, *fields])
+
+    return events.groupBy(*by).applyInArrow(fold, ", ".join(f"`{c}` {kinds[c]}" for c in (*by, *fields)))
 
 
 def drop_drifting(events: DataFrame, rows: DataFrame, by: Sequence[str], heading: str, wait: int, limit: float, t: str = "t") -> DataFrame:
@@ -261,11 +273,12 @@ def stops(rows: DataFrame, by: Sequence[str], x: str, y: str, below: float, leas
     w = order(by, t, seq)
     steps = rows.withColumn("_speed", step_speed(x, y, by, unit, t, seq)).withColumn("_next", F.lead(t).over(w)).withColumn("_slow", F.coalesce(F.col("_speed") < below, F.lit(False)))
     slow = islands(steps, by, "_slow", t, seq)
-    mid = F.floor((F.min("at") + F.max("at") + 1) / 2)
-    spans = slow.groupBy(*by, "island").agg(F.min(t).alias("t_start"), F.max("_next").alias("t_end"), F.collect_list(F.struct("at", F.col(t).alias("t"))).alias("_rows"), mid.alias("_mid"))
-    at_mid = F.filter("_rows", lambda r: r["at"] == F.col("_mid"))
+    # the rows of an island have neighbouring numbers, so its size tells which of them is the middle one
+    island = Window.partitionBy(*by, "island")
+    placed = slow.withColumns({"_size": F.count(F.lit(1)).over(island), "_at": F.row_number().over(island.orderBy("at"))})
+    middle = F.max(F.when(F.col("_at") == F.floor(F.col("_size") / 2) + 1, F.col(t)))
+    spans = placed.groupBy(*by, "island").agg(F.min(t).alias("t_start"), F.max("_next").alias("t_end"), middle.alias("t_mid"))
     seconds = (F.col("t_end") - F.col("t_start")) / unit
-    spans = spans.withColumn("t_mid", F.coalesce(F.get(at_mid, 0)["t"], F.col("t_end")))
     return spans.where(seconds >= least_s).select(*by, "t_start", "t_mid", "t_end", seconds.alias("seconds"))
 
 

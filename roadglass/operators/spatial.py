@@ -116,14 +116,25 @@ def nearest_k(left: DataFrame, right: DataFrame, gate: float, k: int, left_id: s
     return within(left, right, gate, left_id, right_id).withColumn("k", F.row_number().over(order)).where(F.col("k") <= k).select("left_id", "right_id", "d", "k")
 
 
-def nearest_any(left: DataFrame, right: DataFrame, gate: float, left_id: str, right_id: str, rounds: int = 40) -> DataFrame:
-    """The nearest right point however far: the gate doubles for the rows that have found none."""
-    out, rest = None, left
-    for _ in range(rounds):
+def nearest_any(left: DataFrame, right: DataFrame, gate: float, left_id: str, right_id: str) -> DataFrame:
+    """The nearest right point however far: the gate doubles for the rows that have found none.
+
+    It doubles until it spans both tables, when every row has found one. Rows and
+    points with a coordinate that is null or not finite find none and are none.
+    Needs a checkpoint folder.
+    """
+    finite = " AND ".join(f"abs({c}) < double('infinity')" for c in XYZ)
+    rest, right = left.where(finite), right.where(finite)
+    ends = [f.agg(*[g(c).alias(f"{n}_{c}") for c in XYZ for n, g in (("a", F.min), ("b", F.max))]).first() for f in (rest, right)]
+    if any(e["a_x"] is None for e in ends):
+        return nearest(rest, right, gate, left_id, right_id)
+    span = sum((max(e[f"b_{c}"] for e in ends) - min(e[f"a_{c}"] for e in ends)) ** 2 for c in XYZ) ** 0.5
+    out = None
+    while True:
         found = nearest(rest, right, gate, left_id, right_id).checkpoint()
         out = found if out is None else out.unionByName(found)
         rest = rest.join(found.select(F.col("left_id").alias(left_id)), left_id, "left_anti").checkpoint()
-        if not rest.limit(1).count():
+        if gate > span or not rest.limit(1).count():
             break
         gate *= 2
     return out

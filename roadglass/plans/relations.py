@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..operators import relational as R
 from ..operators import reports
-from ..sources import dataset
+from ..sources import dataset, messages
 from .base import SIG, query, sig, table
 
 
 @query("topic_discovery", "SELECT DISTINCT event_type AS topic FROM events WHERE regexp_matches(event_type, '^(click|view|purchase)$')")
 def topic_discovery(spark, sf_dir):
-    return table(spark, sf_dir, "events").where(F.col("event_type").rlike("^(click|view|purchase)$")).select(F.col("event_type").alias("topic")).distinct()
+    log = table(spark, sf_dir, "events").select(F.col("event_type").alias("topic"), F.when(F.col("event_type").rlike("^(click|view|purchase)$"), "sensor_msgs/msg/Imu").otherwise("other").alias("schema_name"))
+    return messages.topics_by_schema(log, "sensor_msgs/msg/Imu")
 
 
 @query("bag_topic_stats", f"""WITH {SIG} SELECT event_type AS topic, count(*) AS n, first('schema_' || k ORDER BY t DESC, event_id DESC) AS schema, min(t) AS t_start, max(t) AS t_end, (max(t) - min(t)) / 1e6 AS seconds,
@@ -26,8 +27,10 @@ def bag_topic_stats(spark, sf_dir):
 @query("distribution_stats", """SELECT l_returnflag, round(quantile_cont(l_extendedprice, 0.1), 6) AS p10, round(quantile_cont(l_extendedprice, 0.5), 6) AS p50, round(quantile_cont(l_extendedprice, 0.95), 6) AS p95,
  max(l_extendedprice) AS largest FROM lineitem GROUP BY l_returnflag""")
 def distribution_stats(spark, sf_dir):
-    p = [F.round(F.percentile("l_extendedprice", F.lit(q)), 6).alias(f"p{int(q * 100)}") for q in (0.1, 0.5, 0.95)]
-    return table(spark, sf_dir, "lineitem").groupBy("l_returnflag").agg(*p, F.max("l_extendedprice").alias("largest"))
+    items = table(spark, sf_dir, "lineitem")
+    found = reports.exact_percentiles(items, ["l_returnflag"], "l_extendedprice", [0.1, 0.5, 0.95])
+    largest = items.groupBy("l_returnflag").agg(F.max("l_extendedprice").alias("largest"))
+    return found.join(largest, "l_returnflag").select("l_returnflag", *[F.round(c, 6).alias(c) for c in ("p10", "p50", "p95")], "largest")
 
 
 @query("sequence_chain", """WITH n AS (SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS position, count(*) OVER (PARTITION BY conv_id) AS n FROM (SELECT DISTINCT conv_id, turn FROM conversations))
@@ -49,12 +52,18 @@ def sequence_chain(spark, sf_dir):
 
 
 def _checkpoints(spark) -> None:
-    """The shared folder of the cluster; in tests one of this machine."""
-    if not spark.sparkContext.getCheckpointDir():
+    """The shared folder of the cluster; with a local master, as in tests, one of this machine."""
+    if spark.sparkContext.getCheckpointDir():
+        return
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all machines share")
         import tempfile
         from pathlib import Path
 
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or Path(tempfile.mkdtemp(prefix="roadglass-")).as_uri())
+        top = Path(tempfile.mkdtemp(prefix="roadglass-")).as_uri()
+    spark.sparkContext.setCheckpointDir(top)
 
 
 @query("frame_denormalise", """WITH s AS (SELECT s_suppkey, n_name, r_name FROM supplier JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey)

@@ -89,18 +89,22 @@ z AS (SELECT event_id, a * s0 + b * s1 AS qz, a * c0 + b * c1 AS qw FROM w)
 SELECT event_id, round(qz / sqrt(qz * qz + qw * qw), 6) + 0.0 AS qz, round(qw / sqrt(qz * qz + qw * qw), 6) + 0.0 AS qw FROM z""")
 def slerp_poses(spark, sf_dir):
     zero = F.lit(0.0)
-    p = [zero, zero, F.sin(F.col("value") / 200), F.cos(F.col("value") / 200)]
-    q = [zero, zero, F.sin(F.col("sv") / 100), F.cos(F.col("sv") / 100)]
+    p = [zero, zero, 3 * F.sin(F.col("value") / 200), 3 * F.cos(F.col("value") / 200)]  # of any length
+    q = [zero, zero, F.sin(F.col("sv") / 100) / 2, F.cos(F.col("sv") / 100) / 2]
     out = geo.slerp(p, q, (F.col("k") % 10) / 10.0)
     return sig(spark, sf_dir).select("event_id", (F.round(out[2], 6) + 0.0).alias("qz"), (F.round(out[3], 6) + 0.0).alias("qw"))
 
 
-@query("series_gradient", f"""WITH {SIG}, g AS (SELECT event_id, t, sv, lag(sv) OVER w AS p, lead(sv) OVER w AS n, lag(t) OVER w AS tp, lead(t) OVER w AS tn FROM sig WINDOW w AS (PARTITION BY series ORDER BY t, event_id))
-SELECT event_id, round(coalesce((n - p) / 2, n - sv, sv - p, 0), 6) AS slope, round(coalesce(coalesce((n - p) / 2, n - sv, sv - p, 0) / nullif(coalesce((tn - tp) / 2, tn - t, t - tp, 0) / 1e6, 0), 0), 6) AS speed FROM g""")
+@query("series_gradient", f"""WITH {SIG}, g AS (SELECT event_id, series, t, sv, value, count(*) OVER (PARTITION BY series) AS n, lag(sv) OVER w AS sp, lead(sv) OVER w AS sn, lag(value) OVER w AS vp, lead(value) OVER w AS vn, lag(t) OVER w AS tp, lead(t) OVER w AS tn FROM sig WINDOW w AS (PARTITION BY series ORDER BY t, event_id)),
+d AS (SELECT *, coalesce((sn - sp) / 2, sn - sv, sv - sp, 0) AS de, coalesce((vn - vp) / 2, vn - value, value - vp, 0) AS dn, coalesce((tn - tp) / 2, tn - t, t - tp, 0) / 1e6 AS dt FROM g),
+s AS (SELECT *, CASE WHEN dt = 0 THEN 'nan'::DOUBLE ELSE sqrt(de * de + dn * dn) / dt END AS v FROM d),
+a AS (SELECT *, CASE WHEN lag(v) OVER w IS NULL AND lead(v) OVER w IS NULL THEN 0 WHEN lag(v) OVER w IS NULL THEN lead(v) OVER w - v WHEN lead(v) OVER w IS NULL THEN v - lag(v) OVER w ELSE (lead(v) OVER w - lag(v) OVER w) / 2 END AS dv FROM s WINDOW w AS (PARTITION BY series ORDER BY t, event_id))
+SELECT event_id, round(de, 6) AS slope, round(CASE WHEN isnan(v) THEN -1 ELSE v END, 6) AS speed, round(CASE WHEN n < 3 OR dt = 0 OR isnan(dv) THEN 0 ELSE dv / dt END, 6) AS acceleration FROM a""")
 def series_gradient(spark, sf_dir):
     s = sig(spark, sf_dir)
     slope = S.gradient(F.col("sv"), BY, "t", "event_id")
-    return S.acceleration(s.withColumn("slope", F.round(slope, 6)), BY, "sv", US, "t", "event_id").select("event_id", "slope", F.round("speed", 6).alias("speed"))
+    out = S.acceleration(s.withColumn("slope", F.round(slope, 6)), BY, "sv", "value", US, "t", "event_id")
+    return out.select("event_id", "slope", F.round(F.when(F.isnan("speed"), -1.0).otherwise(F.col("speed")), 6).alias("speed"), F.round("acceleration", 6).alias("acceleration"))
 
 
 STEP = """st AS (SELECT *, CASE WHEN lead(t) OVER w IS NULL THEN NULL WHEN lead(t) OVER w > t THEN abs(lead(sv) OVER w - sv) / ((lead(t) OVER w - t) / 1e6) ELSE 'infinity'::DOUBLE END AS o
@@ -288,7 +292,7 @@ def rpy_quat_roundtrip(spark, sf_dir):
     """Euler angles to a quaternion, a rotation, a quaternion again and back."""
     q = geo.rpy_to_quaternion(F.col("sv") / 500, F.col("value") / 500, (F.col("sv") - F.col("value")) / 400)
     s = sig(spark, sf_dir).select("event_id", *[c.alias(f"q{i}") for i, c in enumerate(q)])
-    s = s.select("event_id", "q0", *[c.alias(f"r{i}") for i, c in enumerate(geo.rotation_of_quaternion([F.col(f"q{i}") for i in range(4)]))])
+    s = s.select("event_id", "q0", *[c.alias(f"r{i}") for i, c in enumerate(geo.rotation_of_quaternion([1.5 * F.col(f"q{i}") for i in range(4)]))])
     s = s.select("event_id", "q0", *[c.alias(f"p{i}") for i, c in enumerate(geo.quaternion_of_rotation([F.col(f"r{i}") for i in range(9)]))])
     angles = geo.quaternion_to_rpy([F.col(f"p{i}") for i in range(4)])
     return s.select("event_id", *[(F.round(a, 6) + 0.0).alias(n) for a, n in zip(angles, ("roll", "pitch", "yaw"))], (F.round("q0", 6) + 0.0).alias("qx"))

@@ -8,15 +8,16 @@ from ..functions import text
 from .base import SIG, query, sig, table
 
 
-@query("tag_parse", """WITH RECURSIVE b AS (SELECT doc_id, string_split('flicker_whole_' || lang || '_deg' || (doc_id % 180) || '_ph' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || '_whole_' || source, '_') AS p FROM documents),
+@query("tag_parse", """WITH RECURSIVE b AS (SELECT doc_id, string_split('flicker_whole_' || lang || '_deg' || (doc_id % 180) || '_ph' || lpad(CAST(doc_id % 100 AS VARCHAR), 2, '0') || '__whole_red_' || (doc_id % 7) || '_lr1_whole_' || source, '_') AS p FROM documents),
 r AS (SELECT doc_id, p, 1 AS i, 0 AS pos, NULL::VARCHAR AS kind, NULL::VARCHAR AS value FROM b UNION ALL
- SELECT doc_id, p, i + CASE WHEN p[i] = 'whole' AND regexp_matches(coalesce(p[i+2], ''), '^deg[0-9]+$') THEN 3 ELSE 1 END, pos + 1,
-  CASE WHEN p[i] = 'flicker' THEN 'flicker' WHEN p[i] = 'whole' AND regexp_matches(coalesce(p[i+2], ''), '^deg[0-9]+$') THEN 'whole' WHEN regexp_matches(p[i], '^(ph|rcn|rcw|lr)[0-9]{2}$') THEN regexp_extract(p[i], '^([a-z]+)', 1) ELSE 'unknown' END,
-  CASE WHEN p[i] = 'flicker' THEN NULL WHEN p[i] = 'whole' AND regexp_matches(coalesce(p[i+2], ''), '^deg[0-9]+$') THEN p[i+1] || ':' || substr(p[i+2], 4) WHEN regexp_matches(p[i], '^(ph|rcn|rcw|lr)[0-9]{2}$') THEN right(p[i], 2) ELSE p[i] END
+ SELECT doc_id, p, i + CASE WHEN p[i] = 'whole' AND i + 2 <= len(p) THEN 3 ELSE 1 END, pos + 1,
+  CASE WHEN p[i] = 'flicker' THEN 'flicker' WHEN p[i] = 'whole' AND i + 2 <= len(p) THEN 'whole' WHEN regexp_matches(p[i], '^(ph|rcn|rcw|lr)[0-9]{2}$') THEN regexp_extract(p[i], '^([a-z]+)', 1) ELSE 'unknown' END,
+  CASE WHEN p[i] = 'flicker' THEN NULL WHEN p[i] = 'whole' AND i + 2 <= len(p) THEN p[i+1] || ':' || CASE WHEN starts_with(p[i+2], 'deg') THEN substr(p[i+2], 4) ELSE p[i+2] END WHEN regexp_matches(p[i], '^(ph|rcn|rcw|lr)[0-9]{2}$') THEN right(p[i], 2) ELSE p[i] END
  FROM r WHERE i <= len(p))
 SELECT doc_id, CAST(pos - 1 AS INTEGER) AS pos, kind, value FROM r WHERE pos > 0""")
 def tag_parse(spark, sf_dir):
-    chain = F.concat(F.lit("flicker_whole_"), F.col("lang"), F.lit("_deg"), (F.col("doc_id") % 180).cast("string"), F.lit("_ph"), F.lpad((F.col("doc_id") % 100).cast("string"), 2, "0"), F.lit("_whole_"), F.col("source"))
+    number = lambda n: (F.col("doc_id") % n).cast("string")
+    chain = F.concat(F.lit("flicker_whole_"), F.col("lang"), F.lit("_deg"), number(180), F.lit("_ph"), F.lpad(number(100), 2, "0"), F.lit("__whole_red_"), number(7), F.lit("_lr1_whole_"), F.col("source"))
     return table(spark, sf_dir, "documents").select("doc_id", F.posexplode(text.tags(chain)).alias("pos", "tag")).select("doc_id", "pos", "tag.kind", "tag.value")
 
 

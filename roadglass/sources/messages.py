@@ -164,7 +164,9 @@ def deskew(points_: DataFrame, poses: DataFrame, by: list[str], t: str = "t", st
         out = series.interpolate(rows.withColumn("_t", F.col(time)), named.withColumnRenamed("t", "_t"), by, [f"p_{c}" for c in p], "_t", [f"p_{c}" for c in q])
         return out.drop("_t").withColumnsRenamed({f"p_{c}": f"{mark}_{c}" for c in (*p, *q)})
 
-    rows = at(at(points_, t, "now"), start, "then")
+    # one pose for each scan, not for each of its points; both are by series and start
+    starts = at(points_.select(*by, start).distinct(), start, "then")
+    rows = at(points_, t, "now").join(starts, [*by, start])
     pose = {m: (geo.rotation_of_quaternion([F.col(f"{m}_{c}") for c in q]), [F.col(f"{m}_{c}") for c in p]) for m in ("now", "then")}
     world = geo.apply_transform(*pose["now"], [F.col(c) for c in p])
     rows = rows.withColumns({f"w{c}": v for c, v in zip(p, world)})

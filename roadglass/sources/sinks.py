@@ -13,8 +13,8 @@ EVENT_COLUMNS = ("t_ns", "lat", "lon", "maneuver_type", "magnitude")
 
 
 def write_events(events: DataFrame, path: str) -> None:
-    """One CSV file with a header, also without events. Events are few: they leave as one part."""
-    events.select(*EVENT_COLUMNS).coalesce(1).write.mode("overwrite").csv(path, header=True)
+    """One CSV file with a header, also without events. Events are few: they are computed in parallel and meet in one task to be written."""
+    events.select(*EVENT_COLUMNS).repartition(1).sortWithinPartitions(*EVENT_COLUMNS).write.mode("overwrite").csv(path, header=True)
 
 
 def write_report(rows: DataFrame, path: str, ok: str = "frame_ok", issues: str = "issues") -> DataFrame:
