@@ -1,25 +1,34 @@
 """Main text of web pages by the maximum-scoring contiguous region.
 
-A page becomes a sequence of runs of words and of tags. Words score by where
-they stand (the innermost block element, in a link or not), tags cost something;
-both weights are log odds counted on labelled pages, those of whose words an
-``article`` or ``main`` element holds half or more. On such a page a word also
-gets up to ``MARKED`` more inside that element and as much less outside, by the
-share of words it holds; a teaser in an ``article`` beside a body in plain
-elements counts as any other text. One linear scan (Kadane) finds the region
-with the highest sum, and its words are the text. Parts that are never content,
-by element, role or the whole name of a class or id (menus, adverts, comments
-and so on), score nothing and are left out even inside the region; headings and
-paragraphs are never left out by name. A class that such a word is only a part
-of makes a place of its own outside the mark, with a low weight in the scan.
+A page becomes a sequence of runs of words and of tags. A word scores by where
+it stands: the innermost block element and whether in a link (its place), and
+the names that the elements around it have (classes, ids, roles). Tags cost
+something. All these weights are log odds counted on labelled pages, those of
+whose words an ``article`` or ``main`` element holds half or more: first of the
+names, then of the places and tags over what the names leave. The page's own
+mark is one more feature: on a page marked so a word gets up to ``MARKED`` more
+inside that element and as much less outside, by the share of words it holds. One
+linear scan (Kadane) finds the region with the highest sum, and its words are
+the text.
+
+A region is contiguous, but adverts and comments also stand in the middle of
+texts. So what an element's names weigh ``DROPPED`` or less scores nothing and
+is left out, inside the region as well. Names that no labelled page has shown
+have a weight to begin with: that of the fixed list below for names of menus,
+adverts, comments and the like, else 0. Labels can't raise those of the list,
+since adverts inside an article are labelled as text. Fixed, by element, is what
+never is text: scripts, styles, navigation, headers, footers, asides, forms, and
+what a page hides. Headings and paragraphs are never weighed by name.
 
 Inside a block white space becomes one space; blocks are joined by one space;
 character references are decoded.
 
 Results by case: a null, empty or markup-only page has an empty text; broken
 markup is read to its end, a tag cut off by the end of the page is dropped;
-without labelled pages the default weights hold; page texts of any length are
-read whole.
+without labelled pages the default weights hold; page texts of any length and
+any depth of nesting are read whole, in linear time; of regions with equal sums
+the one that ends first counts; repeated rows give repeated results; an empty
+table gives none; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -28,6 +37,7 @@ import html
 import math
 import re
 from collections import Counter
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -71,15 +81,16 @@ MODIFIERS = frozenset("has with without no not is show hide hidden js".split())
 MARKED = 2.0
 #: Weights without labelled pages: of a word by place, and of a tag.
 DEFAULT_WORDS = {"p": 2.0, "h1": 2.0, "h2": 1.5, "h3": 1.5, "blockquote": 1.5, "pre": 1.5, "td": 0.5, "div": 0.5, "section": 0.5, "li": 0.5}
-DEFAULT_WORD, DEFAULT_LINK, DEFAULT_DOUBTED, DEFAULT_TAG = 0.3, -2.0, -0.5, -0.4
+DEFAULT_WORD, DEFAULT_LINK, DEFAULT_TAG = 0.3, -2.0, -0.4
+#: Of a name in the list, and of one of which only a part is.
+LISTED, DOUBTED = -3.0, -2.5
+#: An element whose names weigh this or less is left out.
+DROPPED = -2.75
 #: Bounds of the log odds of words and tags.
 WORD_RANGE, TAG_RANGE = (-3.0, 3.0), (-0.6, -0.05)
-#: Observations that a default weighs as much as.
-PRIOR = 50
-
-
-#: What an element's name and attributes tell of it.
-KEPT, DOUBTED, GONE = 0, 1, 2
+#: Observations that a default weighs as much as, and pages that must show a name before it counts.
+PRIOR, LEAST_PAGES = 50, 5
+HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.IGNORECASE)
 
 
 def _container(parts: list[str]) -> bool:
@@ -87,90 +98,123 @@ def _container(parts: list[str]) -> bool:
     return all(p in SKIPPED_PARTS or p in CONTAINER_PARTS for p in parts) and any(p in SKIPPED_PARTS and p not in UNSURE_PARTS for p in parts)
 
 
-def _skipped(tag: str, attributes: str, inside: bool) -> int:
-    """Whether an element holds no main text; ``inside`` a marked main part."""
+def _listed(kind: str, word: str, tag: str, inside: bool) -> float:
+    """Weight of a name before any is learned; ``inside`` a marked main part."""
+    if kind == "role":
+        return LISTED if word.lower() in SKIPPED_ROLES else 0.0
+    if tag in MAIN:
+        return LISTED if kind == "class" and word.lower() in SKIPPED_ARTICLES else 0.0
+    if kind == "class" and word.lower() in SKIPPED_CLASSES and not inside:
+        return LISTED
+    parts = [p.lower() for p in PART.findall(word)]
+    if not parts or parts[0] in MODIFIERS:
+        return 0.0
+    if kind == "id":
+        return LISTED if tag != "section" and (_container(parts) if len(parts) > 1 else parts[0] in SKIPPED_IDS) else 0.0
+    if _container(parts):
+        return LISTED
+    return DOUBTED if not inside and tag not in INLINE and any(p in SKIPPED_PARTS for p in parts) else 0.0
+
+
+def _named(tag: str, attributes: str, inside: bool) -> tuple[bool, list[tuple[str, float]]]:
+    """Whether an element is left out whatever the weights, and its names with their listed weights."""
     if tag in SKIPPED or tag == "header" and not inside:
-        return GONE
+        return True, []
+    names: list[tuple[str, float]] = []
     if not attributes or tag in ("html", "body"):
-        return KEPT
-    out = KEPT
+        return False, names
     for m in ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return GONE
-        if name == "style":
-            if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.IGNORECASE):
-                return GONE
-        elif name == "role":
-            if value.lower() in SKIPPED_ROLES:
-                return GONE
-        elif name in ("class", "id") and tag not in NAMED_FREELY:
-            for word in value.split():
-                if tag in MAIN:
-                    if name == "class" and word.lower() in SKIPPED_ARTICLES:
-                        return GONE
-                    continue
-                if name == "class" and word.lower() in SKIPPED_CLASSES and not inside:
-                    return GONE
-                parts = [p.lower() for p in PART.findall(word)]
-                if not parts or parts[0] in MODIFIERS:
-                    continue
-                if name == "id":
-                    if tag != "section" and (_container(parts) if len(parts) > 1 else parts[0] in SKIPPED_IDS):
-                        return GONE
-                elif _container(parts):
-                    return GONE
-                elif not inside and tag not in INLINE and any(p in SKIPPED_PARTS for p in parts):
-                    out = DOUBTED
-    return out
+        kind, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if kind == "hidden" or kind == "aria-hidden" and value.lower() == "true" or kind == "style" and HIDDEN.search(value):
+            return True, []
+        if kind == "role" or kind in ("class", "id") and tag not in NAMED_FREELY:
+            names += [(f"{kind}={word.lower()}", _listed(kind, word, tag, inside)) for word in value.split()]
+    return False, names
+
+
+class _Open:
+    """An open element: its tag, and what holds for the words inside it."""
+
+    __slots__ = ("tag", "gone", "marked", "block", "block_at", "link", "low", "high", "names", "words")
+
+    def __init__(self, tag: str, up: _Open | None, at: int):
+        self.tag, self.names, self.words = tag, (), [0, 0]
+        self.gone, self.marked, self.link, self.low, self.high = (up.gone, up.marked, up.link, up.low, up.high) if up else (False, False, False, 0.0, 0.0)
+        self.block, self.block_at = (tag, at) if tag not in INLINE else (up.block, up.block_at) if up else ("body", -1)
 
 
-def units(page: str) -> list[tuple[str, str, str, bool, bool]]:
-    """(kind, text or tag, block, link, marked) in page order.
+def units(page: str, words: dict[str, float], tally: Counter | None = None) -> list[tuple[str, str, str, float, bool]]:
+    """(kind, text or tag, place, weight of the names, marked) in page order, without what is left out.
 
-    Kinds: ``w`` words, ``t`` a tag, ``s`` a break between blocks with no cost of its own.
+    Kinds: ``w`` words, ``t`` a tag. ``words`` are weights of names. With a
+    ``tally`` no name leaves anything out, and the words under each name are counted in it, by mark.
     """
     out: list = []
-    stack: list[tuple[str, bool, bool, bool]] = []  # tag, skipped, marked, doubted
+    stack: list[_Open] = []
+    count: Counter = Counter()  # open elements by tag
+
+    def close(to: int) -> None:
+        while len(stack) > to:
+            e = stack.pop()
+            count[e.tag] -= 1
+            if tally is not None:
+                for name in e.names:
+                    for inside in (False, True):
+                        tally["n", name, inside] += e.words[inside]
+                if stack:
+                    stack[-1].words[0] += e.words[0]
+                    stack[-1].words[1] += e.words[1]
+
     at, end = 0, len(page)
     while at < end:
         m = TOKEN.match(page, at)
         at = m.end()
-        tag = m[3]
-        skipped, marked, doubted = stack[-1][1:] if stack else (False, False, False)
+        tag, top = m[3], stack[-1] if stack else None
         if m[5] is not None:
-            if not skipped:
-                block = next((t for t, *_ in reversed(stack) if t not in INLINE), "body")
-                out.append(("w", m[5], f"{block}?" if doubted else block, any(t == "a" for t, *_ in stack), marked))
+            if top is None:
+                out.append(("w", m[5], "body", 0.0, False))
+            elif not top.gone:
+                out.append(("w", m[5], place(top.block, top.link), top.low if top.low < 0 else top.high, top.marked))
+                if tally is not None:
+                    top.words[top.marked] += len(m[5].split())
             continue
         if tag is None:
             continue  # a comment or declaration
-        tag = tag.lower()
+        tag, gone = tag.lower(), top is not None and top.gone
         if m[2]:
-            if tag not in VOID:
-                k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), -1)
-                if k >= 0:
-                    del stack[k:]
+            if tag not in VOID and count[tag]:
+                k = len(stack) - 1
+                while stack[k].tag != tag:
+                    k -= 1
+                close(k)
         else:
-            if tag in CLOSES_P or tag in ALONE:
-                for i in range(len(stack) - 1, -1, -1):
-                    t = stack[i][0]
-                    if t == "p" and tag in CLOSES_P or t == tag and tag in ALONE:
-                        del stack[i:]
-                        break
-                    if t not in INLINE:
-                        break
-                skipped, marked, doubted = stack[-1][1:] if stack else (False, False, False)
-            told = _skipped(tag, m[4], marked)
-            gone = skipped or told == GONE
+            if top is not None and top.block_at >= 0 and (tag in CLOSES_P and top.block == "p" or tag in ALONE and top.block == tag):
+                close(top.block_at)
+                top = stack[-1] if stack else None
+                gone = top is not None and top.gone
+            here = _Open(tag, top, len(stack))
+            left_out, names = _named(tag, m[4], here.marked)
+            if tally is None:
+                for name, listed in names:
+                    weight = listed if listed <= DROPPED else words.get(name, listed)
+                    here.low, here.high = min(here.low, weight), max(here.high, weight)
+                left_out |= here.low <= DROPPED
+            here.names = tuple({name for name, _ in names})
+            here.gone = gone or left_out
             if tag in RAW:
-                close = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
-                at = close.end() if close else end
+                closing = re.compile(rf"</{re.escape(tag)}\b[^>]*(?:>|\Z)", re.IGNORECASE).search(page, at)
+                at = closing.end() if closing else end
             elif tag not in VOID and not m[4].endswith("/"):
-                main = marked or tag in MAIN and not gone
-                stack.append((tag, gone, main, not main and (doubted or told == DOUBTED)))
-        if not skipped:
-            out.append(("t", tag, "", False, marked))
+                if tag in MAIN and not here.gone:
+                    here.marked = True
+                if here.marked and here.low == DOUBTED:
+                    here.low = 0.0
+                here.link |= tag == "a"
+                stack.append(here)
+                count[tag] += 1
+        if not gone:
+            out.append(("t", tag, "", 0.0, top is not None and top.marked))
+    close(0)
     return out
 
 
@@ -179,10 +223,10 @@ def place(block: str, link: bool) -> str:
 
 
 def default_word(where: str) -> float:
-    return DEFAULT_LINK if where.endswith(":a") else DEFAULT_DOUBTED if where.endswith("?") else DEFAULT_WORDS.get(where, DEFAULT_WORD)
+    return DEFAULT_LINK if where.endswith(":a") else DEFAULT_WORDS.get(where, DEFAULT_WORD)
 
 
-def marked_share(found: list[tuple[str, str, str, bool, bool]]) -> float:
+def marked_share(found: list[tuple[str, str, str, float, bool]]) -> float:
     """Share of the words that the marked part holds."""
     n = Counter()
     for kind, text, _, _, marked in found:
@@ -191,65 +235,79 @@ def marked_share(found: list[tuple[str, str, str, bool, bool]]) -> float:
     return n[True] / max(1, n.total())
 
 
-def count_places(page: str) -> Counter:
-    """(what, where, inside the marked part) -> number, for a page of whose words such a part holds half or more; else nothing."""
-    found = units(page)
+def count_names(page: str) -> Counter:
+    """(``n``, name, inside the marked part) -> words, for a page of whose words such a part holds half or more; else nothing."""
+    tally: Counter = Counter()
+    return tally if marked_share(units(page, {}, tally)) >= 0.5 else Counter()
+
+
+def count_places(page: str, names: dict[str, float] | None = None) -> Counter:
+    """(``w``, place, inside) -> words and (``t``, tag, inside) -> tags, for the same pages, without what names leave out."""
+    found = units(page, names or {})
     if marked_share(found) < 0.5:
         return Counter()
     out: Counter = Counter()
-    for kind, text, block, link, marked in found:
+    for kind, text, where, _, marked in found:
         if kind == "w":
-            out["w", place(block, link), marked] += len(text.split())
+            out["w", where, marked] += len(text.split())
         else:
             out["t", text, marked] += 1
     return out
 
 
-def fit_weights(df: DataFrame, pages: int = 4000, html_col: str = "html", id_col: str = "page_id") -> tuple[dict[str, float], dict[str, float]]:
-    """Weights of words and tags from about ``pages`` labelled pages, chosen by a hash of the id.
-
-    The driver gets a count for each kind of element. A page is labelled if it has an article or main element.
-    """
-    labelled = df.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s>]"))
-    share = min(1.0, pages / max(1, labelled.count()))
-    sample = labelled.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / (1 << 30) < share)
+def _counted(sample: DataFrame, html_col: str, count: Callable[[str], Counter], least_pages: int) -> dict[tuple[str, str], list[int]]:
+    """(what, item) -> [number outside, inside] over the sample, of items on ``least_pages`` pages or more."""
 
     def make():
         def work(rows):
             total: Counter = Counter()
+            pages: Counter = Counter()
             for page in rows[html_col]:
-                total.update(count_places(page))
-            total = {k: n for k, n in total.items() if len(k[1]) <= 24}
-            return {"what": [k[0] for k in total], "item": [k[1] for k in total], "inside": [k[2] for k in total], "n": list(total.values())}
+                found = count(page)
+                total.update(found)
+                pages.update({k[:2] for k in found})
+            keys = sorted({k[:2] for k in total})
+            return {"what": [k[0] for k in keys], "item": [k[1] for k in keys], "outside": [total[(*k, False)] for k in keys], "inside": [total[(*k, True)] for k in keys], "pages": [pages[k] for k in keys]}
 
         return work
 
-    counted = common.map_texts(sample, [html_col], "what string, item string, inside boolean, n long", make)
-    # kinds of elements: the commonest two thousand rows hold all that HTML has
-    rows = counted.groupBy("what", "item", "inside").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "what", "item", "inside").limit(2000).collect()
-    weights: dict[str, dict[str, float]] = {"w": {}, "t": {}}
-    for what in weights:
-        n = {(r["item"], r["inside"]): r["n"] for r in rows if r["what"] == what}
-        low, high = TAG_RANGE if what == "t" else WORD_RANGE
-        for item in {k[0] for k in n}:
-            inside, outside = n.get((item, True), 0), n.get((item, False), 0)
-            odds = min(high, max(low, math.log((inside + 1) / (outside + 1))))
-            default = DEFAULT_TAG if what == "t" else default_word(item)
-            weights[what][item] = (odds * (inside + outside) + default * PRIOR) / (inside + outside + PRIOR)
-    return weights["w"], weights["t"]
+    counted = common.map_texts(sample, [html_col], "what string, item string, outside long, inside long, pages long", make)
+    rows = counted.groupBy("what", "item").agg(*[F.sum(c).alias(c) for c in ("outside", "inside", "pages")]).where(F.col("pages") >= least_pages)
+    return {(r["what"], r["item"]): [r["outside"], r["inside"]] for r in rows.collect()}
+
+
+def _odds(outside: int, inside: int, default: float, span: tuple[float, float]) -> float:
+    odds = min(span[1], max(span[0], math.log((inside + 1) / (outside + 1))))
+    return (odds * (inside + outside) + default * PRIOR) / (inside + outside + PRIOR)
+
+
+def fit_weights(df: DataFrame, pages: int = 4000, html_col: str = "html", id_col: str = "page_id") -> tuple[dict[str, float], dict[str, float]]:
+    """Weights of places and names, and of tags, from about ``pages`` labelled pages, chosen by a hash of the id.
+
+    The driver gets the counts of what these pages show on LEAST_PAGES of them or more. A page is labelled if it has an article or main element.
+    """
+    labelled = df.where(F.col(html_col).rlike(r"(?i)<(article|main)[\s>]"))
+    share = min(1.0, pages / max(1, labelled.count()))
+    sample = labelled.where(F.pmod(F.xxhash64(id_col), F.lit(1 << 30)) / (1 << 30) < share)
+    words = {item: _odds(*n, 0.0, WORD_RANGE) for (_, item), n in _counted(sample, html_col, count_names, LEAST_PAGES).items() if sum(n)}
+    tags = {}
+    for (what, item), n in _counted(sample, html_col, lambda page: count_places(page, words), LEAST_PAGES).items():
+        if what == "w":
+            words[item] = _odds(*n, default_word(item), WORD_RANGE)
+        else:
+            tags[item] = _odds(*n, DEFAULT_TAG, TAG_RANGE)
+    return words, tags
 
 
 def main_text(page: str | None, words: dict[str, float], tags: dict[str, float]) -> str:
     """Text of the best region."""
-    found = units(page or "")
+    found = units(page or "", words)
     mark = MARKED * max(0.0, 2 * marked_share(found) - 1)
     best = total = 0.0
     start, span = 0, (0, 0)
-    for i, (kind, text, block, link, marked) in enumerate(found):
+    for i, (kind, text, where, names, marked) in enumerate(found):
         if kind == "w":
-            where = place(block, link)
-            each = words.get(where, default_word(where)) + (mark if marked else -mark)
-            total += each * len(text.split())
+            total += (words.get(where, default_word(where)) + names + (mark if marked else -mark)) * len(text.split())
         else:
             total += tags.get(text, DEFAULT_TAG)
         if total <= 0:
