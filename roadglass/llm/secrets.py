@@ -1,22 +1,37 @@
 """Secret scanning: three exact patterns, and a battery of randomness tests for what they miss.
 
 A candidate is a maximal run of 20 or more characters of the usual encodings;
-"=" ends a run, as padding or after a name. A run that mixes "+" or "/" with "-"
-or "_" fits no encoding: its parts between the ones, and between the others, are
-candidates, and of those that pass and overlap the least likely text is kept.
-The smallest encoding that has all its characters is inferred, and three tests
-of "each symbol is drawn evenly and independently" run over its symbol numbers:
-chi-squared uniformity over the alphabet, runs above and below its middle, and
-serial correlation at lag one. Fisher's method combines them; strings that fail
-are words, counters or repeats. Passing says little for a short string, so each
-survivor also gets the chance that ordinary text, over the same alphabet and of
-the same length, repeats its symbols as rarely as this string does. Within each
-class of lengths these chances go through Benjamini-Hochberg over the whole
-corpus: a histogram of fixed size carries them to the driver, which returns one
-limit for each class.
+"=" ends a run, as padding or after a name. Where a run holds "+", "/", "-" or
+"_", words at its ends that "/", "-" or "_" set apart (of paths and prefixes: a
+word or number no longer than 19) are cut off, and its parts between all these
+signs, and between those of either base64, are candidates too; of those that are
+found random and overlap one is kept (below).
+The smallest encoding that has all characters is inferred; runs of digits alone
+are numbers and never candidates. Three tests of "each symbol is drawn evenly
+and independently" run over the symbol numbers: chi-squared uniformity over the
+alphabet, runs above and below its middle, and serial correlation at lag one.
+Fisher's method combines their p-values.
+
+False discoveries are controlled twice, by Benjamini-Hochberg within each class
+of encoding and length, over all candidates of the corpus:
+
+- the battery's combined p-values: where they are small enough for the class,
+  the candidate is not random (a word, counter or repeat). Of those rejected so
+  at most ``rate`` are random strings in truth.
+- passing says little for a short string, so the chi-squared statistic of what
+  passes is also held against ordinary text: the chance that text of this
+  length, over the same alphabet, repeats its symbols as rarely. Of those
+  reported at most ``rate`` are such text. Letters have their shares in the
+  corpus outside of runs (blended with LETTERS letters of English).
+
+One pass counts the letters, the next a histogram of fixed size, from which the
+driver takes two limits for each class.
 
 Results by case: a null or empty text has no spans; repeated rows give repeated
-results; an empty table gives none; a text of any length is scanned whole.
+results and each of them counts; an empty table gives none; a text of any length
+is scanned whole, in linear time; of overlapping candidates the one with the
+lowest text chance is kept, of equals the longer, then the first; other columns,
+whatever their names, are not read (``redact`` carries them along).
 """
 
 from __future__ import annotations
@@ -24,7 +39,10 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from itertools import accumulate
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +56,13 @@ ASSIGN_MARKS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{24,}")  # runs of 24 or more are the long ones of all maximal runs
 RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}")
-#: Parts of a run that fits no encoding: without the signs of base64, and without those of base64url.
-PARTS = (re.compile(r"[A-Za-z0-9_-]{20,}"), re.compile(r"[A-Za-z0-9+/]{20,}"))
+SIGN = re.compile(r"[+/_-]")
+#: What stands at the ends of a run as a word of its own: names of paths, prefixes of keys.
+PLAIN = r"(?:[a-z]{1,19}|[A-Z]{2,19}|[A-Z][a-z]{1,18}|[a-z]{1,3}[0-9]{1,2}|[0-9]{1,4})"
+PLAIN_START, PLAIN_END = re.compile(rf"[/_-]?(?:{PLAIN}[/_-])+"), re.compile(rf"(?:[/_-]{PLAIN})+[/_-]?\Z")
+
+#: Parts of a run: without the signs of base64, without those of base64url, and without any.
+PARTS = (re.compile(r"[A-Za-z0-9_-]{20,}"), re.compile(r"[A-Za-z0-9+/]{20,}"), re.compile(r"[A-Za-z0-9]{20,}"))
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 #: Encodings from small to large alphabets; decimal runs are numbers, not secrets.
@@ -58,18 +81,29 @@ ENCODINGS = {
 }
 #: Per cent of each letter in English prose, a to z.
 LETTER_SHARES = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
-#: Lower ends of the length classes, each with its own false-discovery limit.
+#: Letters of English that the corpus's own are blended with.
+LETTERS = 20_000
+#: Lower ends of the length classes.
 LENGTHS = (20, 24, 32, 48, 80)
-#: Histogram bins a power of ten, and bins in all.
-BINS_A_DECADE, BINS = 4, 161
-#: Below this combined chance a string is not random.
-LEAST_RANDOM = 1e-3
+#: Histogram bins a power of ten, and bins in all, of the battery's p-value and of the text chance.
+BINS_A_DECADE, RANDOM_BINS, BINS = 4, 49, 161
+
+
+class Limits(NamedTuple):
+    """What a corpus tells: letter counts a to z, and for each class (encoding, length class) the bins from which on a candidate is not random, and is not text."""
+
+    letters: tuple[int, ...]
+    classes: dict[tuple[str, int], tuple[int, int]]
 
 
 def _tail(z: float) -> float:
     return 0.5 * math.erfc(z / math.sqrt(2))
 
 
+def _bin(p: float, bins: int) -> int:
+    return min(bins - 1, int(-math.log10(max(p, 1e-300)) * BINS_A_DECADE))
+
+
 def infer(run: str) -> str | None:
     found = set(run)
     return next((name for name, alphabet in _SETS.items() if found <= alphabet), None)
@@ -100,23 +134,29 @@ def random_chance(run: str, encoding: str) -> float:
     return math.exp(-x) * (1 + x + x * x / 2)  # chi-squared with six degrees of freedom, at 2x
 
 
-def _text_moments(encoding: str) -> tuple[float, float]:
+def _text_moments(encoding: str, letters: tuple[int, ...]) -> tuple[float, float]:
     """Chances that two, and three, symbols of ordinary text over this alphabet are equal."""
-    weights = [LETTER_SHARES[ord(c.lower()) - 97] for c in dict.fromkeys(x.lower() for x in ENCODINGS[encoding]) if c.isalpha()]
+    english = sum(LETTER_SHARES)
+    shares = [n + LETTERS * x / english for n, x in zip(letters, LETTER_SHARES)]
+    weights = [shares[ord(c) - 97] for c in dict.fromkeys(x.lower() for x in ENCODINGS[encoding]) if c.isalpha()]
     total = sum(weights)
     return sum((w / total) ** 2 for w in weights), sum((w / total) ** 3 for w in weights)
 
 
-_MOMENTS = {k: _text_moments(k) for k in ENCODINGS if k != "decimal"}
+def moments(letters: tuple[int, ...] = (0,) * 26) -> dict[str, tuple[float, float]]:
+    return {k: _text_moments(k, letters) for k in ENCODINGS if k != "decimal"}
 
 
-def text_chance(run: str, encoding: str) -> float:
-    """Chance that ordinary text of this length repeats its symbols as rarely."""
+ENGLISH = moments()
+
+
+def text_chance(run: str, encoding: str, of: dict[str, tuple[float, float]] = ENGLISH) -> float:
+    """Chance that ordinary text of this length has as low a chi-squared statistic, that is, repeats its symbols as rarely."""
     n = len(run)
-    two, three = _MOMENTS[encoding]
+    two, three = of[encoding]
     pairs = sum(c * (c - 1) for c in Counter(run).values())
     mean = n * (n - 1) * two
-    spread = math.sqrt(4 * n * (n - 1) * (n - 2) * (three - two * two) + 2 * n * (n - 1) * two * (1 - two))
+    spread = math.sqrt(max(4 * n * (n - 1) * (n - 2) * (three - two * two), 0.0) + 2 * n * (n - 1) * two * (1 - two))
     return max(_tail((mean - pairs) / spread), 1e-40)
 
 
@@ -133,64 +173,112 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def candidates(text: str, base: list[tuple[int, int, int]] | None = None) -> list[tuple[int, int, int, int]]:
-    """(start, end, length class, histogram bin) of the runs outside the base spans that pass the battery."""
-    out = []
+class Candidate(NamedTuple):
+    start: int
+    end: int
+    kind: tuple[str, int]  # class: encoding and length class
+    random: int  # bins of the battery's p-value and of the text chance
+    text: int
+
+
+def candidates(text: str, base: list[tuple[int, int, int]] | None = None, of: dict[str, tuple[float, float]] = ENGLISH) -> list[Candidate]:
+    """Runs and their parts outside the base spans, by start; parts overlap the runs they are of."""
+    out: list[Candidate] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for m in RUN.finditer(text):
-        if (encoding := infer(m[0])) == "decimal":
-            continue
         if base is None:
             base = base_spans(text)
-        if encoding:
-            out += _tested(text, *m.span(), encoding, base)
-            continue
-        parts = [x for pattern in PARTS for p in pattern.finditer(text, *m.span()) for e in [infer(p[0])] if e != "decimal" for x in _tested(text, *p.span(), e, base)]
-        chosen: list[tuple[int, int, int, int]] = []
-        for x in sorted(parts, key=lambda x: (-x[3], x[0] - x[1], x[0])):
-            if all(x[1] <= y[0] or y[1] <= x[0] for y in chosen):
-                chosen.append(x)
-        out += sorted(chosen)
+        if base and not starts:
+            starts, ends = [a for a, _, _ in base], list(accumulate((b for _, _, b in base), max))
+        spans = {m.span()}
+        if SIGN.search(m[0]):
+            first, last = m.span()
+            if plain := PLAIN_START.match(text, first, last):
+                first = plain.end()
+            if plain := PLAIN_END.search(text, first, last):
+                last = plain.start()
+            spans = {(first, last)} if last - first >= LENGTHS[0] else set()
+            spans.update(p.span() for pattern in PARTS for p in pattern.finditer(text, first, last))
+        for start, end in sorted(spans):
+            run = text[start:end]
+            encoding = infer(run)
+            if encoding in (None, "decimal") or (k := bisect_left(starts, end)) and ends[k - 1] > start:
+                continue
+            length = sum(len(run) >= x for x in LENGTHS) - 1
+            out.append(Candidate(start, end, (encoding, length), _bin(random_chance(run, encoding), RANDOM_BINS), _bin(text_chance(run, encoding, of), BINS)))
     return out
 
 
-def _tested(text: str, start: int, end: int, encoding: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int]]:
-    """The candidate as a list, or an empty one where it meets a base span or fails the battery."""
-    run = text[start:end]
-    if any(a < end and start < b for a, _, b in base) or random_chance(run, encoding) < LEAST_RANDOM:
-        return []
-    length = sum(len(run) >= x for x in LENGTHS) - 1
-    return [(start, end, length, min(BINS - 1, int(-math.log10(text_chance(run, encoding)) * BINS_A_DECADE)))]
+def letter_counts(df: DataFrame, text_col: str = "text") -> tuple[int, ...]:
+    """How often each letter a to z occurs in the corpus, in either case, outside of runs."""
+
+    def make():
+        def work(rows):
+            texts = "\n".join(RUN.sub(" ", t) for t in rows[text_col] if t).lower()
+            return {f"c{i}": [texts.count(chr(97 + i))] for i in range(26)}
+
+        return work
+
+    found = common.map_texts(df, [text_col], ", ".join(f"c{i} long" for i in range(26)), make).agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(26)]).first()
+    return tuple(int(n or 0) for n in found)
 
 
-def fit_limits(df: DataFrame, text_col: str = "text", rate: float = 0.01) -> dict[int, int]:
-    """Smallest histogram bin to report, by length class: Benjamini-Hochberg over all candidates of the table.
+def controlled(counts: Counter, rate: float) -> int | None:
+    """Benjamini-Hochberg over a histogram of p-values: the smallest bin whose members and all beyond count as discoveries."""
+    total, beyond, found = sum(counts.values()), 0, None
+    for b in sorted(counts, reverse=True):
+        beyond += counts[b]
+        if 10 ** (-b / BINS_A_DECADE) * total / beyond <= rate:
+            found = b
+    return found
 
-    At most len(LENGTHS) x BINS counts reach the driver.
-    """
+
+def fit_limits(df: DataFrame, text_col: str = "text", rate: float = 0.01) -> Limits:
+    """Letters and limits over all rows. At most len(ENCODINGS) x len(LENGTHS) x RANDOM_BINS x BINS counts reach the driver."""
+    letters = letter_counts(df, text_col)
+    of = moments(letters)
 
     def make():
         def work(rows):
-            count = Counter((x[2], x[3]) for text in rows[text_col] if text for x in candidates(text))
-            return {"length": [k[0] for k in count], "bin": [k[1] for k in count], "n": list(count.values())}
+            count = Counter((*x.kind, x.random, x.text) for text in rows[text_col] if text for x in candidates(text, None, of))
+            return {c: [k[i] for k in count] for i, c in enumerate(("encoding", "length", "random", "text"))} | {"n": list(count.values())}
 
         return work
 
-    found = common.map_texts(df, [text_col], "length int, bin int, n long", make)
-    counts = {(r["length"], r["bin"]): r["n"] for r in found.groupBy("length", "bin").agg(F.sum("n").alias("n")).collect()}
+    found = common.map_texts(df, [text_col], "encoding string, length int, random int, text int, n long", make)
+    by_class: dict[tuple[str, int], Counter] = {}
+    for r in found.groupBy("encoding", "length", "random", "text").agg(F.sum("n").alias("n")).collect():
+        by_class.setdefault((r["encoding"], r["length"]), Counter())[r["random"], r["text"]] += r["n"]
     limits = {}
-    for length in range(len(LENGTHS)):
-        total, above = sum(n for (k, _), n in counts.items() if k == length), 0
-        for b in reversed(range(BINS)):
-            above += counts.get((length, b), 0)
-            if above and 10 ** (-b / BINS_A_DECADE) * total / above <= rate:
-                limits[length] = b
-    return limits
-
-
-def all_spans(text: str, limits: dict[int, int]) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+    for kind, counts in by_class.items():
+        battery: Counter = Counter()
+        for (random, _), n in counts.items():
+            battery[random] += n
+        not_random = controlled(battery, rate)
+        not_random = RANDOM_BINS if not_random is None else not_random
+        passed: Counter = Counter()
+        for (random, level), n in counts.items():
+            if random < not_random:
+                passed[level] += n
+        if (not_text := controlled(passed, rate)) is not None:
+            limits[kind] = (not_random, not_text)
+    return Limits(letters, limits)
+
+
+def all_spans(text: str, limits: Limits, of: dict[str, tuple[float, float]] | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans, as (start, kind number, end)."""
     base = base_spans(text)
-    more = [(a, 3, b) for a, b, length, level in candidates(text, base) if level >= limits.get(length, BINS)]
+    found = []
+    for x in candidates(text, base, moments(limits.letters) if of is None else of):
+        not_random, not_text = limits.classes.get(x.kind, (0, 0))
+        if x.random < not_random and x.text >= not_text:
+            found.append(x)
+    more: list[tuple[int, int, int]] = []
+    for x in sorted(found, key=lambda x: (-x.text, x.start - x.end, x.start)) if len(found) > 1 else found:
+        k = bisect_left(more, (x.start, 0, 0))
+        if (k == 0 or more[k - 1][2] <= x.start) and (k == len(more) or x.end <= more[k][0]):
+            more.insert(k, (x.start, 3, x.end))
     return base, sorted(base + more)
 
 
@@ -198,16 +286,18 @@ def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for a, k, b in spans)
 
 
-def scan(df: DataFrame, limits: dict[int, int] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan(df: DataFrame, limits: Limits | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts and spans of every row."""
     if limits is None:
         limits = fit_limits(df, text_col)
 
     def make():
+        of = moments(limits.letters)
+
         def work(rows):
             out = {c: [] for c in ("n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")}
             for text in rows[text_col]:
-                base, every = all_spans(text or "", limits)
+                base, every = all_spans(text or "", limits, of)
                 kinds = Counter(k for _, k, _ in every)
                 for k, c in enumerate(("n_assign", "n_access", "n_hex", "n_random")):
                     out[c].append(kinds[k])
@@ -230,14 +320,16 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join([*out, text[at:]])
 
 
-def redact(df: DataFrame, limits: dict[int, int] | None = None, text_col: str = "text") -> DataFrame:
+def redact(df: DataFrame, limits: Limits | None = None, text_col: str = "text") -> DataFrame:
     """The same columns and rows, with secrets masked in the text; a null text stays null."""
     if limits is None:
         limits = fit_limits(df, text_col)
 
     def make():
+        of = moments(limits.letters)
+
         def work(rows):
-            return rows | {text_col: [masked(t, all_spans(t, limits)[1]) if t else t for t in rows[text_col]]}
+            return rows | {text_col: [masked(t, all_spans(t, limits, of)[1]) if t else t for t in rows[text_col]]}
 
         return work
 

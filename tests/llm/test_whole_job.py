@@ -95,7 +95,8 @@ def test_secrets_glued_to_names_and_in_paths(spark):
     red = {r["doc_id"]: r["text"] for r in secrets.redact(df).collect()}
     assert sum(keys[i] not in red[i] and "[random]" in red[i] for i in range(40)) >= 36
     assert all(red[i] == t for i, t in rows[40:])
-    spans = secrets.scan(df, dict.fromkeys(range(5), 0)).collect()
+    everything = secrets.Limits((0,) * 26, {(e, k): (secrets.RANDOM_BINS, 0) for e in secrets.ENCODINGS for k in range(5)})
+    spans = secrets.scan(df, everything).collect()
     assert all(r["n_random"] == len({x for x in r["spans"].split(",") if x}) for r in spans)
     for i, (_, text) in enumerate(rows[:40]):
         assert all(0 <= a < b <= len(text) for a, b, *_ in secrets.candidates(text))
