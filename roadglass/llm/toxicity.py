@@ -5,14 +5,18 @@ hashed to 2^20 numbers. FTRL-proximal keeps a learning rate for each coordinate
 and sets small weights to exactly zero (L1), so the model that reaches the
 executors is a short list of (number, weight).
 
-Training takes a bounded sample of labelled rows, at most about ``positives``
-and ``negatives`` of them, chosen by a hash of the id; the intercept is then
-corrected for the shares that were chosen. One task sees the sample's features
-in the order of that hash, ``epochs`` times, positives with ``weight``. Scoring reads every text whole.
+Training takes a bounded sample of labelled rows, about ``positives`` and
+``negatives`` of them at most and no more than ``sample_bytes`` of their texts,
+chosen by a hash of the id; the intercept is then corrected for the shares. One
+task sees the sample's features in the order of that hash, ``epochs`` times,
+positives with ``weight``. Scoring reads every text whole.
 
 Results by case: a null text is empty and gets the intercept's score; without
-labels the score is 0; of several labels for an id the largest counts; a null
-label teaches nothing.
+labels the score is 0; of several labels for an id the largest counts, of several
+texts the smallest, so that repeated rows teach once (each gets a score); a null
+label teaches nothing; rows whose ids have equal hashes are learned by label,
+then by features; an empty table gives none; texts of any length are scored
+whole; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -90,7 +94,10 @@ class FTRL:
         return at.tolist(), w[at].tolist()
 
 
-def fit(docs: DataFrame, labels: DataFrame, positives: int = 8000, negatives: int = 12000, epochs: int = 4, weight: float = 4.0, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> dict[int, float]:
+def fit(
+    docs: DataFrame, labels: DataFrame, positives: int = 8000, negatives: int = 12000, sample_bytes: int = 128_000_000, epochs: int = 4, weight: float = 4.0,
+    id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
+) -> dict[int, float]:
     """Weights by feature number from rows that are not held out; empty without labels."""
     marked = labels.where(~common.held_out(F.col(id_col)) & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.max(label_col).alias("y"))
     n = {r["y"]: r["n"] for r in marked.groupBy((F.col("y") > 0).cast("int").alias("y")).agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -99,10 +106,19 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 8000, negatives: in
     # ids of the sample: about positives + negatives of them at most
     sample = marked.where(mixed / (1 << 30) < F.when(F.col("y") > 0, share[1]).otherwise(share[0])).withColumn("rank", mixed)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
+    rows = rows.groupBy("id", "rank", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    # the first ids by hash whose texts fit the bound, counted in 1024 steps of the hash
+    size, least = 0, 1 << 30
+    for r in sorted(rows.groupBy(F.shiftright("rank", 20).alias("step")).agg(F.sum(F.octet_length("text")).alias("size")).collect()):
+        size += r["size"]
+        if size > sample_bytes:
+            least = r["step"] << 20
+            break
+    rows = rows.where(F.col("rank") < least)
 
     def make():
         def work(part):
-            doc, found = feature_rows([t or "" for t in part["text"]])
+            doc, found = feature_rows(part["text"])
             keys = np.unique((doc << BITS) | found)
             cuts = np.searchsorted(keys >> BITS, np.arange(len(part["text"]) + 1))
             return {"rank": part["rank"], "y": [int(y > 0) for y in part["y"]], "at": [(keys[a:b] & ((1 << BITS) - 1)).tolist() for a, b in zip(cuts, cuts[1:])]}
@@ -110,8 +126,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 8000, negatives: in
         return work
 
     def train(batches):
-        seen = [x for b in batches for x in zip(b["rank"].to_pylist(), b["y"].to_pylist(), (np.append(np.asarray(a.values, dtype=np.int64), 1 << BITS) for a in b["at"]))]
-        seen.sort(key=lambda x: (x[0], x[1], len(x[2])))
+        seen = [x for b in batches for x in zip(b["rank"].to_pylist(), b["y"].to_pylist(), (np.append(np.asarray(a.values, dtype=np.int32), np.int32(1 << BITS)) for a in b["at"]))]
+        seen.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
         model = FTRL()
         for _ in range(epochs):
             for _, y, at in seen:
