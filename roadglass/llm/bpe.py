@@ -2,14 +2,16 @@
 
 Merging one pre-token takes pairs in order of rank, leftmost first. A queue of
 ranks gives that order: each rank has a bucket of positions in a doubly linked
-list of symbols, and a bitmap in three levels says which buckets have entries,
-so the next rank is three find-first-set steps away however long the pre-token
-is. Merges leave entries behind that no longer hold; they are recognised when
+list of symbols, and a bitmap in two levels of 256-bit words says which buckets
+have entries, so the next rank is two find-first-set steps away however long the
+pre-token is. Merges leave entries behind that no longer hold; they are recognised when
 they come up, because the pair at that position has another rank by then.
 A text of n bytes takes O(n log b), b the largest bucket, and never O(n^2).
 
 Results by case: a null text is the empty text, with no token, the hashes of
-empty strings; repeated rows give repeated results; an empty table gives none.
+empty strings; repeated rows give repeated results; an empty table gives none;
+pre-tokens of any length are merged whole; equal ranks merge from the left;
+columns are carried along under any name but those of results, which are refused.
 """
 
 from __future__ import annotations
@@ -217,6 +219,8 @@ def _locate(vocabulary: str, pattern: str | None) -> tuple[str, str]:
 
 def encode(df: DataFrame, vocabulary: str, pattern: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) of every row; a null text gives an empty array."""
+    if id_col == "ids":
+        raise ValueError("the id column can't be named ids")
 
     def make():
         codec = loaded(*_locate(vocabulary, pattern))
@@ -228,6 +232,8 @@ def encode(df: DataFrame, vocabulary: str, pattern: str | None = None, id_col: s
 
 def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """(id, text) of every row of ids; bytes that are not UTF-8 become U+FFFD; null ids give an empty text."""
+    if id_col == "text":
+        raise ValueError("the id column can't be named text")
 
     def make():
         codec = loaded(*_locate(vocabulary, None))
@@ -243,6 +249,8 @@ def digests(df: DataFrame, vocabulary: str, pattern: str | None = None, extra: l
     ``extra`` columns of the input are carried along.
     """
     extra = extra or []
+    if clash := {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}.intersection(extra):
+        raise ValueError(f"extra columns with names of results: {sorted(clash)}")
 
     def make():
         codec = loaded(*_locate(vocabulary, pattern))

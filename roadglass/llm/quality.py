@@ -17,7 +17,9 @@ there are no more copies than rows they meet, whatever the limit.
 
 Results by case: a null text is empty, has no words and fails the base rules; a
 null host is a host of its own; rows that repeat an id, host and text get the
-result of one; an empty table gives none.
+result of one; an empty table gives none; texts of any length are read whole;
+``extra`` columns of any name are carried along but for names of results, which
+are refused.
 """
 
 from __future__ import annotations
@@ -27,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import JAVA_SPACE, JAVA_WORD, SPACE_CHARS, words_of
 
+RESULTS = frozenset(("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_removed", "kept", "removed"))
 WINDOW = 8
 SALTS = 16
 #: The limit of a host: its different texts over SHARE, within these bounds.
@@ -114,7 +117,11 @@ def verdicts(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text
 
 def judged(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
     """The verdicts, and the positions of the removed lines; null where none is."""
-    counted = base_counts(df.select(F.col(id_col).alias("doc_id"), *[c for c in extra or []], F.xxhash64(host_col, text_col).alias("_row"), F.col(text_col).alias("_text")), "_text")
+    extra = extra or []
+    if clash := RESULTS.intersection(extra):
+        raise ValueError(f"extra columns with names of results: {sorted(clash)}")
+    carried = [F.col(f"`{c}`").alias(f"_extra{i}") for i, c in enumerate(extra)]
+    counted = base_counts(df.select(F.col(id_col).alias("doc_id"), *carried, F.xxhash64(host_col, text_col).alias("_row"), F.col(text_col).alias("_text")), "_text")
     counted = counted.drop("_text")
     gone = removed_lines(df, limit, id_col, text_col, host_col)
     out = counted.join(gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")), "left")
@@ -124,7 +131,7 @@ def judged(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_c
     # are columns; below, each use of a count would compute its arrays again
     kept = F.greatest(failed.cast("int"), (2 * removed > F.col("n_words")).cast("int")) == 0
     return out.select(
-        "doc_id", *(extra or []), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "doc_id", *[F.col(f"_extra{i}").alias(c) for i, c in enumerate(extra)], "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         failed.alias("base_failed"), removed.alias("n_removed"), kept.alias("kept"), "removed",
     )
 
