@@ -97,6 +97,7 @@ class ByteBPE:
         self.decimal = [str(i) for i in range(size)]
         self.young: dict[str, tuple[int, ...]] = {}
         self.old: dict[str, tuple[int, ...]] = {}
+        self.remembered = REMEMBERED
 
     @classmethod
     def load(cls, path: str, pattern: str) -> ByteBPE:
@@ -179,7 +180,7 @@ class ByteBPE:
             if ids is None:
                 ids = tuple(self.merge(token.encode()))
             if len(token) <= LONGEST_REMEMBERED:
-                if len(self.young) >= REMEMBERED:
+                if len(self.young) >= self.remembered:
                     self.old, self.young = self.young, {}
                 self.young[token] = ids
         return ids
@@ -243,10 +244,11 @@ def decode(df: DataFrame, vocabulary: str, id_col: str = "doc_id", ids_col: str
     return common.map_texts(df, [id_col, ids_col], f"`{id_col}` {kind}, text string", make)
 
 
-def digests(df: DataFrame, vocabulary: str, pattern: str | None = None, extra: list[str] | None = None) -> DataFrame:
+def digests(df: DataFrame, vocabulary: str, pattern: str | None = None, extra: list[str] | None = None, remembered: int = REMEMBERED) -> DataFrame:
     """Encode, decode the ids again and hash both; the ids of a text live only while it is hashed.
 
-    ``extra`` columns of the input are carried along.
+    ``extra`` columns of the input are carried along. ``remembered`` pre-tokens,
+    in each of two generations, are what a worker's memory goes by.
     """
     extra = extra or []
     if clash := {"doc_id", "n_tokens", "ids_sha256", "decoded_sha256"}.intersection(extra):
@@ -254,6 +256,7 @@ def digests(df: DataFrame, vocabulary: str, pattern: str | None = None, extra: l
 
     def make():
         codec = loaded(*_locate(vocabulary, pattern))
+        codec.remembered = remembered
 
         def work(rows):
             out = {c: rows[c] for c in ["doc_id", *extra]} | {"n_tokens": [], "ids_sha256": [], "decoded_sha256": []}

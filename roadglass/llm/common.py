@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -73,30 +74,59 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{top.rstrip('/')}/roadglass-{uuid.uuid4().hex}"
 
 
+_open: list[list[Workspace]] = []
+
+
+@contextmanager
+def scratch():
+    """Within it, the tables that operators keep are deleted at its end: what reads them has to be written before."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for work in _open.pop():
+            work.only()
+
+
 class Workspace:
     """Tables written to the shared folder, which cut lineage and outlive executors.
 
     A table has as many files as ``FILES`` for each core at most: partitions
-    beyond that are written one after the other, without a shuffle.
+    beyond that are written one after the other, without a shuffle. Tables that a
+    returned DataFrame reads stay until the end of a ``scratch``, if there is one.
     """
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.top, self.n = spark, shared_dir(spark), 0
+        self.spark, self.top, self.n, self.paths = spark, shared_dir(spark), 0, []
+        for works in _open[-1:]:
+            works.append(self)
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
         path = f"{self.top}/{self.n:03d}-{name}"
         df.coalesce(FILES * self.spark.sparkContext.defaultParallelism).write.parquet(path)
+        self.paths.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._rg_path = path
         return out
 
+    def _delete(self, path: str) -> None:
+        at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
     def drop(self, *frames: DataFrame) -> None:
         """Delete tables that no later step reads."""
-        jvm = self.spark._jvm
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._rg_path)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            self._delete(df._rg_path)
+            self.paths.remove(df._rg_path)
+
+    def only(self, *frames: DataFrame) -> None:
+        """Delete all tables but these; without any, the folder too."""
+        stay = [df._rg_path for df in frames]
+        for path in self.paths if stay else [self.top]:
+            if path not in stay:
+                self._delete(path)
+        self.paths = stay
 
 
 def words_of(text: Column) -> Column:

@@ -5,7 +5,7 @@ import random
 import pytest
 import public_tokenizers
 import tiktoken
-from test_documents import SCHEMA, words
+from test_documents import SCHEMA, docs, documents, words  # noqa: F401  fixtures
 
 from roadglass.llm import bpe, jaccard_join, quality
 
@@ -108,3 +108,28 @@ def test_joins_of_very_long_texts(spark):
     rows = [(1, base, "x"), (2, " ".join(near), "x"), (3, " ".join(far), "x"), (4, base, "x")]
     got = {r["doc_id"]: r["component_id"] for r in jaccard_join.join_components(spark.createDataFrame(rows, "doc_id long, text string, node string")).collect()}
     assert got == {1: 1, 2: 1, 3: 3, 4: 1}
+
+
+def test_nodes_of_very_many_pairs(spark, documents, docs, monkeypatch):
+    from test_documents import brute_components
+
+    once = jaccard_join.Degrees.__init__
+    monkeypatch.setattr(jaccard_join.Degrees, "__init__", lambda self, pairs, often=4096: once(self, pairs, 3))
+    got = jaccard_join.join_components(docs).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, brute_components(documents)))
+    pairs = spark.createDataFrame([(1, i) for i in range(2, 40)], "a long, b long")
+    degrees = jaccard_join.Degrees(pairs)
+    assert degrees.rows == [(1, 13)]
+
+
+def test_scratch_deletes_what_operators_keep(spark):
+    from roadglass.llm import common
+
+    df = spark.createDataFrame([(i, f"text {i} of some") for i in range(20)], "doc_id long, text string")
+    out = common.Workspace(spark)
+    with common.scratch():
+        kept = out.keep(jaccard_join.join_components(df), "out")
+        made = list(common._open[-1])
+    assert kept.count() == 20 and made and all(not w.paths for w in made) and not common._open
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(made[0].top)
+    assert not hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)

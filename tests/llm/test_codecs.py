@@ -55,7 +55,7 @@ def test_queue_orders_by_rank_then_position():
 
 
 def test_generations_forget_and_stay_right(codec, library, monkeypatch):
-    monkeypatch.setattr(bpe, "REMEMBERED", 5)
+    monkeypatch.setattr(codec, "remembered", 5)
     codec.young, codec.old = {}, {}
     text = " ".join(f"word{i} tion{i % 3}" for i in range(100))
     assert codec.encode(text) == library.encode_ordinary(text)
