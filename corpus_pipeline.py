@@ -11,6 +11,11 @@ last return the columns of documents:
 - decontamination drops documents that share a passage with the benchmark;
 - the secret scan keeps every document and masks secrets in its text;
 - the last stage encodes and decodes the texts and adds the digests.
+
+Results by case: documents with a null or empty text fail the base rules and go;
+rows without an id have no smaller id to lose to and stay; rows that repeat an
+id go or stay together; an empty table gives an empty result; columns other than
+those of documents are not carried along, so their names never clash.
 """
 
 from __future__ import annotations
@@ -19,18 +24,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from roadglass.llm import bpe, decontaminate, jaccard_join, quality, secrets
-from roadglass.llm.common import Workspace, table
+from roadglass.llm.common import Workspace, scratch, table
 from roadglass.llm.queries import BPE_VOCABULARY
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Pre-tokens that a worker remembers; fewer than by itself, since workers serve all stages.
+REMEMBERED = 120_000
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.filter_documents(docs)
+    return quality.filter_documents(docs.select(*COLUMNS))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return jaccard_join.representatives(docs, percent=80, words=5).select(*COLUMNS)
+    return jaccard_join.representatives(docs.select(*COLUMNS), percent=80, words=5).select(*COLUMNS)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +49,7 @@ def secret_masks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return bpe.digests(docs, BPE_VOCABULARY, extra=COLUMNS[1:]).select(*COLUMNS, "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.digests(docs.select(*COLUMNS), BPE_VOCABULARY, extra=COLUMNS[1:], remembered=REMEMBERED).select(*COLUMNS, "n_tokens", "ids_sha256", "decoded_sha256")
 
 
 STAGES = [
@@ -60,6 +67,11 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark)
     docs = table(spark, sf_dir, "documents").select(*COLUMNS)
+    before = None
     for name, stage in STAGES:
-        docs = work.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        with scratch():
+            docs = work.keep(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            work.drop(before)
+        before = docs
     return docs
