@@ -20,8 +20,8 @@ JAVA_WORD = r"[^\x20\x09-\x0D]+"
 SPACE_CHARS = " \t\n\x0b\f\r"
 #: Rows that a Python worker turns into str at a time; bounds its memory beside the Arrow batch.
 SLICE = 256
-#: Files of a kept table for each core.
-FILES = 8
+#: Files of a kept table for each core, and the size of a partition that gets one of its own anyway.
+FILES, FILE_BYTES = 8, 16_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,8 +91,9 @@ def scratch():
 class Workspace:
     """Tables written to the shared folder, which cut lineage and outlive executors.
 
-    A table has as many files as ``FILES`` for each core at most: partitions
-    beyond that are written one after the other, without a shuffle. Tables that a
+    A table has as many files as ``FILES`` for each core at most, or one for each
+    ``FILE_BYTES`` that the optimizer expects if these are more: partitions beyond
+    that are written one after the other, without a shuffle. Tables that a
     returned DataFrame reads stay until the end of a ``scratch``, if there is one.
     """
 
@@ -104,7 +105,8 @@ class Workspace:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
         path = f"{self.top}/{self.n:03d}-{name}"
-        df.coalesce(FILES * self.spark.sparkContext.defaultParallelism).write.parquet(path)
+        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        df.coalesce(min(1_000_000, max(FILES * self.spark.sparkContext.defaultParallelism, size // FILE_BYTES))).write.parquet(path)
         self.paths.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)
         out._rg_path = path
