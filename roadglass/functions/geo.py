@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from math import pi
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Fixed value: equatorial radius in metres of the sphere behind both map projections.
@@ -72,25 +72,42 @@ def conjugate(q: Columns) -> Columns:
 
 
 def slerp(p: Columns, q: Columns, fraction: Column) -> Columns:
-    """Along the shorter arc; nearly equal rotations are mixed linearly. xyzw of any length in, normalised xyzw out."""
+    """Along the shorter arc; nearly equal rotations are mixed linearly. xyzw of any length in, normalised xyzw out.
+
+    For many rows with_slerp makes the smaller plan.
+    """
     p, q = normalise(p), normalise(q)
     plain = sum((a * b for a, b in zip(p[1:], q[1:])), p[0] * q[0])
-    sign = F.when(plain < 0, F.lit(-1.0)).otherwise(F.lit(1.0))
-    dot = F.least(F.lit(1.0), plain * sign)
-    angle = F.acos(dot)
-    near = dot > 0.9995
-    sine = F.when(near, F.lit(1.0)).otherwise(F.sin(angle))
-    first = F.when(near, 1 - fraction).otherwise(F.sin((1 - fraction) * angle) / sine)
-    second = F.when(near, fraction).otherwise(F.sin(fraction * angle) / sine) * sign
+    angle = F.acos(F.least(F.lit(1.0), F.abs(plain)))
+    near = F.abs(plain) > 0.9995
+    first = F.when(near, 1 - fraction).otherwise(F.try_divide(F.sin((1 - fraction) * angle), F.sin(angle)))
+    second = F.when(near, fraction).otherwise(F.try_divide(F.sin(fraction * angle), F.sin(angle))) * F.when(plain < 0, -1.0).otherwise(1.0)
     return normalise([first * a + second * b for a, b in zip(p, q)])
 
 
+def with_slerp(rows: DataFrame, p: Columns, q: Columns, fraction: Column, names: Sequence[str]) -> DataFrame:
+    """Adds slerp as columns, step by step: each step is a projection whose columns the next one uses many times, where one expression would repeat them."""
+    step = lambda mark, columns: {f"_{mark}{i}": c for i, c in enumerate(columns)}
+    own = lambda mark: [F.col(f"_{mark}{i}") for i in range(4)]
+    rows = rows.withColumns(step("sp", normalise(p)) | step("sq", normalise(q)) | {"_sf": fraction})
+    rows = rows.withColumn("_sd", sum((a * b for a, b in zip(own("sp")[1:], own("sq")[1:])), F.col("_sp0") * F.col("_sq0")))
+    rows = rows.withColumn("_sa", F.acos(F.least(F.lit(1.0), F.abs("_sd"))))
+    near, sine, f = F.abs("_sd") > 0.9995, F.sin("_sa"), F.col("_sf")
+    first = F.when(near, 1 - f).otherwise(F.try_divide(F.sin((1 - f) * F.col("_sa")), sine))
+    second = F.when(near, f).otherwise(F.try_divide(F.sin(f * F.col("_sa")), sine)) * F.when(F.col("_sd") < 0, -1.0).otherwise(1.0)
+    rows = rows.withColumns({"_s1": first, "_s2": second})
+    rows = rows.withColumns(step("sm", [F.col("_s1") * a + F.col("_s2") * b for a, b in zip(own("sp"), own("sq"))]))
+    rows = rows.withColumns(dict(zip(names, normalise(own("sm")))))
+    return rows.drop(*[f"_{m}{i}" for m in ("sp", "sq", "sm") for i in range(4)], "_sf", "_sd", "_sa", "_s1", "_s2")
+
+
 def rotation_of_quaternion(q: Columns) -> Columns:
     """xyzw of any length to a rotation."""
-    return _rotation(normalise(q))
+    return rotation_of_unit(normalise(q))
 
 
-def _rotation(q: Columns) -> Columns:
+def rotation_of_unit(q: Columns) -> Columns:
+    """xyzw of length one to a rotation."""
     x, y, z, w = q
     return [
         1 - 2 * (y * y + z * z), 2 * (x * y - z * w), 2 * (x * z + y * w),
@@ -103,7 +120,7 @@ def rotation_of_wxyz(q: Columns) -> Columns:
     """wxyz of any length to a rotation; zero length gives the identity."""
     norm = F.sqrt(sum((c * c for c in q[1:]), q[0] * q[0]))
     w, x, y, z = (F.when(norm == 0, F.lit(float(i == 0))).otherwise(c / F.when(norm == 0, 1.0).otherwise(norm)) for i, c in enumerate(q))
-    return _rotation([x, y, z, w])
+    return rotation_of_unit([x, y, z, w])
 
 
 def rotation_of_euler(roll: Column, pitch: Column, yaw: Column) -> Columns:

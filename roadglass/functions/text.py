@@ -136,3 +136,16 @@ def or_default(value: Column, default) -> Column:
     """The default for null, zero and the empty string alike."""
     empty = "" if isinstance(default, str) else 0
     return F.when(value.isNull() | (value == empty), F.lit(default)).otherwise(value)
+
+
+def camera_ids(listed: Column) -> Column:
+    """Array of the numbers of a comma-separated list; empty parts are skipped, anything else that is no number is an error."""
+    parts = F.filter(F.transform(F.split(listed, ","), lambda x: F.btrim(x, F.lit(" \t\r\n"))), lambda x: x != "")
+    return F.transform(parts, lambda x: x.cast("int"))
+
+
+def resolution(size: Column) -> Column:
+    """(width, height) of "1280x720"; null if it isn't written so or either is odd."""
+    form = r"^([0-9]+)[xX]([0-9]+)$"
+    w, h = (F.nullif(F.regexp_extract(size, form, i), F.lit("")).try_cast("int") for i in (1, 2))
+    return F.when((w % 2 == 0) & (h % 2 == 0), F.struct(w.alias("width"), h.alias("height")))

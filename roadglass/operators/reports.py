@@ -123,3 +123,9 @@ def topic_summary(messages: DataFrame, topic: str, schema: str, t: str, seq: str
         F.count(F.lit(1)).alias("n"), F.max_by(schema, F.struct(t, seq)).alias("schema"), F.min(t).alias("t_start"), F.max(t).alias("t_end"), seconds.alias("seconds"),
         F.when(seconds > 0, F.count(F.lit(1)) / seconds).otherwise(10.0).alias("rate"),
     )
+
+
+def timings(steps: DataFrame, step: str = "step", seconds: str = "seconds", code: str = "code") -> DataFrame:
+    """(step, seconds, status) of the steps of a run, and their total: "ok" for code 0, else "rc=" and the code; the total has no status."""
+    each = steps.select(F.col(step).alias("step"), F.col(seconds).cast("double").alias("seconds"), F.when(F.col(code) == 0, "ok").otherwise(F.concat(F.lit("rc="), F.col(code).cast("string"))).alias("status"))
+    return each.unionByName(each.agg(F.lit("total").alias("step"), F.coalesce(F.sum("seconds"), F.lit(0.0)).alias("seconds"), F.lit(None).cast("string").alias("status")))

@@ -94,8 +94,9 @@ def interpolate(left: DataFrame, right: DataFrame, by: Sequence[str], values: Se
     rows = bracket(left, right, by, [*values, *quaternion], t)
     out = [(F.col(f"a.{v}") + (F.col(f"b.{v}") - F.col(f"a.{v}")) * F.col("fraction")).alias(v) for v in values]
     if quaternion:
-        turned = geo.slerp([F.col(f"a.{q}") for q in quaternion], [F.col(f"b.{q}") for q in quaternion], F.col("fraction"))
-        out += [c.alias(q) for c, q in zip(turned, quaternion)]
+        turned = [f"_turned{i}" for i in range(4)]
+        rows = geo.with_slerp(rows, [F.col(f"a.{q}") for q in quaternion], [F.col(f"b.{q}") for q in quaternion], F.col("fraction"), turned)
+        out += [F.col(c).alias(q) for c, q in zip(turned, quaternion)]
     return rows.select(*left.columns, *out)
 
 

@@ -7,6 +7,7 @@ the driver. Levenberg-Marquardt works on these six unknowns.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -119,3 +120,51 @@ def align(points: DataFrame, target: DataFrame, start: np.ndarray, gates: list[f
     finally:
         points.unpersist()
         target.unpersist()
+
+
+def costs_of(rows: DataFrame, cost: Callable[[Sequence], "F.Column"], names: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Sums of a cost over all rows for several settings of ``names`` parameters at once, in one aggregate.
+
+    ``cost`` makes a column from the parameters of one setting; settings are few and become aggregates side by side.
+    """
+
+    def evaluate_all(settings: np.ndarray) -> np.ndarray:
+        sums = [F.sum(cost([F.lit(float(v)) for v in s[:names]])).alias(f"c{i}") for i, s in enumerate(settings)]
+        return np.array(rows.agg(*sums).first(), dtype=float)
+
+    return evaluate_all
+
+
+def minimise(costs: Callable[[np.ndarray], np.ndarray], start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 40, step: float = 1e-4, tolerance: float = 1e-10) -> tuple[np.ndarray, float]:
+    """(parameters, cost) of a minimum inside a box, by projected BFGS.
+
+    Gradients are central differences, so a round takes two calls of ``costs``:
+    all differences at once, then all lengths of the line search at once.
+    """
+    low, high = np.asarray(low, float), np.asarray(high, float)
+    x = np.clip(np.asarray(start, float), low, high)
+    wide = step * np.maximum(high - low, 1e-12)
+    h, old = np.eye(len(x)), None
+    value = float(costs(x[None])[0])
+    for _ in range(rounds):
+        up, down = np.minimum(x + wide, high), np.maximum(x - wide, low)
+        around = np.concatenate([np.where(np.eye(len(x), dtype=bool), up, x), np.where(np.eye(len(x), dtype=bool), down, x)])
+        c = costs(around)
+        g = (c[: len(x)] - c[len(x) :]) / np.maximum(up - down, 1e-300)
+        if old is not None:
+            s, y = x - old[0], g - old[1]
+            if s @ y > 1e-14:
+                r = np.eye(len(x)) - np.outer(s, y) / (s @ y)
+                h = r @ h @ r.T + np.outer(s, s) / (s @ y)
+        free = ~((x <= low) & (g > 0) | (x >= high) & (g < 0))
+        way = np.where(free, -(np.where(free[:, None] & free, h, 0) @ g), 0.0)
+        if way @ g >= 0:
+            way, h = np.where(free, -g, 0.0), np.eye(len(x))
+        size = 1.0 if old is not None else min(1.0, float(np.max(high - low)) / 4 / max(float(np.abs(way).max()), 1e-300))
+        tried = np.clip(x + way * (size * 0.5 ** np.arange(12))[:, None], low, high)
+        c = costs(tried)
+        best = int(np.argmin(c))
+        if not c[best] < value - tolerance * max(1.0, abs(value)):
+            break
+        old, x, value = (x, g), tried[best], float(c[best])
+    return x, value

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import text
 from ..operators import relational as R
-from ..operators import reports
+from ..operators import reports, transforms
 from ..sources import dataset, messages
 from .base import SIG, query, sig, table
 
@@ -102,14 +101,23 @@ def payload_replace(spark, sf_dir):
     return R.replace_payload(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_name"), templates, ["c_nationkey"], "c_name").select("c_custkey", "c_name", "replaced")
 
 
-@query("tf_expand", """WITH t AS (SELECT r_name AS parent, 'camera' || n_nationkey || '/camera_link' AS child, n_nationkey * 1.0 AS x, 0.0 AS qx, 1.0 AS qw FROM nation JOIN region ON n_regionkey = r_regionkey)
-SELECT * FROM t UNION ALL SELECT child AS parent, replace(child, 'camera_link', 'camera_optical_link') AS child, 0.0 AS x, -0.5 AS qx, 0.5 AS qw FROM t WHERE regexp_matches(child, '^camera[0-9]+/camera_link$')""")
+@query("tf_expand", """WITH t AS (SELECT r_name AS parent, 'camera' || n_nationkey || '/camera_link' AS child, n_nationkey * 1.0 AS x, 0.0 AS y, coalesce(CASE WHEN n_nationkey % 3 > 0 THEN n_nationkey / 2 END, 0.0) AS z, n_nationkey / 10 AS r, n_nationkey / 20 AS p, -n_nationkey / 15 AS w
+ FROM nation JOIN region ON n_regionkey = r_regionkey UNION ALL SELECT 'base', 'lidar_' || r_regionkey, 1.0, 2.0, 3.0, 0, 0, 0 FROM region),
+q AS (SELECT parent, child, x, y, z, sin(r/2)*cos(p/2)*cos(w/2) - cos(r/2)*sin(p/2)*sin(w/2) AS qx, cos(r/2)*sin(p/2)*cos(w/2) + sin(r/2)*cos(p/2)*sin(w/2) AS qy, cos(r/2)*cos(p/2)*sin(w/2) - sin(r/2)*sin(p/2)*cos(w/2) AS qz, cos(r/2)*cos(p/2)*cos(w/2) + sin(r/2)*sin(p/2)*sin(w/2) AS qw FROM t)
+SELECT parent, child, x, y, z, round(qx, 9) + 0.0 AS qx, round(qy, 9) + 0.0 AS qy, round(qz, 9) + 0.0 AS qz, round(qw, 9) + 0.0 AS qw FROM q
+UNION ALL SELECT child, replace(child, 'camera_link', 'camera_optical_link'), 0.0, 0.0, 0.0, -0.5, 0.5, -0.5, 0.5 FROM t WHERE regexp_matches(child, '^camera[0-9]+/camera_link$')""")
 def tf_expand(spark, sf_dir):
-    """Transforms, and an optical frame added below each camera link."""
+    """Transforms with Euler angles, and an optical frame added below each camera link."""
     n = table(spark, sf_dir, "nation").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    t = n.select(F.col("r_name").alias("parent"), F.concat(F.lit("camera"), F.col("n_nationkey").cast("string"), F.lit("/camera_link")).alias("child"), F.col("n_nationkey").cast("double").alias("x"), F.lit(0.0).alias("qx"), F.lit(1.0).alias("qw"))
-    optical = t.where(F.col("child").rlike(text.CAMERA_LINK)).select(F.col("child").alias("parent"), F.replace("child", F.lit("camera_link"), F.lit("camera_optical_link")).alias("child"), F.lit(0.0).alias("x"), F.lit(-0.5).alias("qx"), F.lit(0.5).alias("qw"))
-    return t.unionByName(optical)
+    k = F.col("n_nationkey")
+    cameras = n.select(
+        F.col("r_name").alias("parent"), F.concat(F.lit("camera"), k.cast("string"), F.lit("/camera_link")).alias("child"), k.cast("double").alias("x"), F.lit(0.0).alias("y"),
+        F.when(k % 3 > 0, k / 2).alias("z"), (k / 10).alias("roll"), (k / 20).alias("pitch"), (-k / 15).alias("yaw"),
+    )
+    none = F.lit(None).cast("double")
+    lidars = table(spark, sf_dir, "region").select(F.lit("base").alias("parent"), F.concat(F.lit("lidar_"), F.col("r_regionkey").cast("string")).alias("child"), F.lit(1.0).alias("x"), F.lit(2.0).alias("y"), F.lit(3.0).alias("z"), none.alias("roll"), none.alias("pitch"), none.alias("yaw"))
+    out = transforms.expand(cameras.unionByName(lidars))
+    return out.select("parent", "child", "x", "y", "z", *[(F.round(q, 9) + 0.0).alias(q) for q in ("qx", "qy", "qz", "qw")])
 
 
 @query("last_wins", f"WITH {SIG} SELECT series, event_type, event_id, t, value FROM sig QUALIFY row_number() OVER (PARTITION BY series, event_type ORDER BY t DESC, event_id DESC) = 1")

@@ -91,8 +91,8 @@ def slerp_poses(spark, sf_dir):
     zero = F.lit(0.0)
     p = [zero, zero, 3 * F.sin(F.col("value") / 200), 3 * F.cos(F.col("value") / 200)]  # of any length
     q = [zero, zero, F.sin(F.col("sv") / 100) / 2, F.cos(F.col("sv") / 100) / 2]
-    out = geo.slerp(p, q, (F.col("k") % 10) / 10.0)
-    return sig(spark, sf_dir).select("event_id", (F.round(out[2], 6) + 0.0).alias("qz"), (F.round(out[3], 6) + 0.0).alias("qw"))
+    out = geo.with_slerp(sig(spark, sf_dir), p, q, (F.col("k") % 10) / 10.0, ["x", "y", "z", "w"])
+    return out.select("event_id", (F.round("z", 6) + 0.0).alias("qz"), (F.round("w", 6) + 0.0).alias("qw"))
 
 
 @query("series_gradient", f"""WITH {SIG}, g AS (SELECT event_id, series, t, sv, value, count(*) OVER (PARTITION BY series) AS n, lag(sv) OVER w AS sp, lead(sv) OVER w AS sn, lag(value) OVER w AS vp, lead(value) OVER w AS vn, lag(t) OVER w AS tp, lead(t) OVER w AS tn FROM sig WINDOW w AS (PARTITION BY series ORDER BY t, event_id)),

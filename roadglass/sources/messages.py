@@ -113,6 +113,17 @@ def first_messages(messages: DataFrame, key: str = "topic") -> DataFrame:
     return relational.first_wins(messages, [key], list(ORDER))
 
 
+def source_sizes(infos: DataFrame, images: DataFrame | None = None, camera: str = "camera") -> DataFrame:
+    """(camera, width, height) by the first camera_info of each camera, else by its first image that has a size."""
+    size = F.struct("width", "height")
+    first = lambda rows, name: rows.where("width IS NOT NULL AND height IS NOT NULL").groupBy(camera).agg(F.min_by(size, F.struct(*ORDER)).alias(name))
+    found = first(infos, "_info")
+    if images is None:
+        return found.select(camera, "_info.*")
+    both = found.join(first(images, "_image"), camera, "full")
+    return both.select(camera, F.coalesce("_info", "_image").alias("_size")).select(camera, "_size.*")
+
+
 def position_modes(messages: DataFrame, data: str = "data") -> DataFrame:
     """Adds ``mode`` for 72-byte packets whose status channel is 0 and whose mode is valid (below 31)."""
     byte = lambda i: F.conv(F.hex(F.substring(data, i + 1, 1)), 16, 10).cast("int")
@@ -167,7 +178,7 @@ def deskew(points_: DataFrame, poses: DataFrame, by: list[str], t: str = "t", st
     # one pose for each scan, not for each of its points; both are by series and start
     starts = at(points_.select(*by, start).distinct(), start, "then")
     rows = at(points_, t, "now").join(starts, [*by, start])
-    pose = {m: (geo.rotation_of_quaternion([F.col(f"{m}_{c}") for c in q]), [F.col(f"{m}_{c}") for c in p]) for m in ("now", "then")}
+    pose = {m: (geo.rotation_of_unit([F.col(f"{m}_{c}") for c in q]), [F.col(f"{m}_{c}") for c in p]) for m in ("now", "then")}
     world = geo.apply_transform(*pose["now"], [F.col(c) for c in p])
     rows = rows.withColumns({f"w{c}": v for c, v in zip(p, world)})
     back = geo.apply_inverse(*pose["then"], [F.col(f"w{c}") for c in p])

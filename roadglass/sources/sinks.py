@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import io
+import sys
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager, redirect_stdout
+from pathlib import Path
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -44,3 +48,23 @@ def review(frames: DataFrame, ask: Callable[[str], str], prompt: str = "prompt",
     good = first.where("parsed IS NOT NULL")
     second = first.where("parsed IS NULL").select(*frames.columns).mapInPandas(call(again), schema + ", answer string").withColumn("parsed", text.parse_answer(F.col("answer")))
     return good.unionByName(second).withColumn("parse_ok", F.col("parsed").isNotNull()).withColumn("parsed", F.to_json("parsed"))
+
+
+@contextmanager
+def logged(folder: str, name: str) -> Iterator[str]:
+    """What the driver prints meanwhile also goes to a file, whose path it yields."""
+    Path(folder).mkdir(parents=True, exist_ok=True)
+    shown = sys.stdout
+
+    class Both(io.TextIOBase):
+        def write(self, said: str) -> int:
+            shown.write(said)
+            return log.write(said)
+
+        def flush(self) -> None:
+            shown.flush()
+            log.flush()
+
+    path = Path(folder) / name
+    with path.open("w") as log, redirect_stdout(Both()):
+        yield str(path)
