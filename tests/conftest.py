@@ -5,7 +5,9 @@ from pathlib import Path
 import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
-os.environ["PYTHONPATH"] = f"{Path(__file__).resolve().parent.parent}:{os.environ.get('PYTHONPATH', '')}"
+FAKES = str(Path(__file__).resolve().parent / "fakes")  # stand-ins for packages that aren't here
+sys.path.insert(0, FAKES)
+os.environ["PYTHONPATH"] = f"{Path(__file__).resolve().parent.parent}:{FAKES}:{os.environ.get('PYTHONPATH', '')}"
 
 
 @pytest.fixture(scope="session")
