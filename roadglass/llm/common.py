@@ -105,7 +105,7 @@ class Workspace:
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
         path = f"{self.top}/{self.n:03d}-{name}"
-        size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
         df.coalesce(min(1_000_000, max(FILES * self.spark.sparkContext.defaultParallelism, size // FILE_BYTES))).write.parquet(path)
         self.paths.append(path)
         out = self.spark.read.schema(df.schema).parquet(path)

@@ -13,9 +13,9 @@ positives with ``weight``. Scoring reads every text whole.
 
 Results by case: a null text is empty and gets the intercept's score; without
 labels the score is 0; of several labels for an id the largest counts, of several
-texts the smallest, so that repeated rows teach once (each gets a score); a null
-label teaches nothing; rows whose ids have equal hashes are learned by label,
-then by features; an empty table gives none; texts of any length are scored
+texts the one whose features come first, so that repeated rows teach once (each
+gets a score); a null label teaches nothing; ids with equal ranks are learned in
+order of a second hash; an empty table gives none; texts of any length are scored
 whole; other columns, whatever their names, are not read.
 """
 
@@ -106,10 +106,11 @@ def fit(
     # ids of the sample: about positives + negatives of them at most
     sample = marked.where(mixed / (1 << 30) < F.when(F.col("y") > 0, share[1]).otherwise(share[0])).withColumn("rank", mixed)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "id")
-    rows = rows.groupBy("id", "rank", "y").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    # the first ids by hash whose texts fit the bound, counted in 1024 steps of the hash
+    rows = rows.select(F.xxhash64("id").alias("id"), "rank", "y", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    # the first ids by hash whose different texts fit the bound, counted in 1024 steps of the hash
+    sizes = rows.groupBy("id", "h").agg(F.first("rank").alias("rank"), F.first(F.octet_length("text")).alias("size"))
     size, least = 0, 1 << 30
-    for r in sorted(rows.groupBy(F.shiftright("rank", 20).alias("step")).agg(F.sum(F.octet_length("text")).alias("size")).collect()):
+    for r in sorted(sizes.groupBy(F.shiftright("rank", 20).alias("step")).agg(F.sum("size").alias("size")).collect()):
         size += r["size"]
         if size > sample_bytes:
             least = r["step"] << 20
@@ -117,26 +118,36 @@ def fit(
     rows = rows.where(F.col("rank") < least)
 
     def make():
+        given: set[tuple[int, int]] = set()  # of this task; as many as the sample has different texts at most
+
         def work(part):
-            doc, found = feature_rows(part["text"])
+            new = []
+            for i, key in enumerate(zip(part["id"], part["h"])):
+                if key not in given:
+                    given.add(key)
+                    new.append(i)
+            doc, found = feature_rows([part["text"][i] for i in new])
             keys = np.unique((doc << BITS) | found)
-            cuts = np.searchsorted(keys >> BITS, np.arange(len(part["text"]) + 1))
-            return {"rank": part["rank"], "y": [int(y > 0) for y in part["y"]], "at": [(keys[a:b] & ((1 << BITS) - 1)).tolist() for a, b in zip(cuts, cuts[1:])]}
+            cuts = np.searchsorted(keys >> BITS, np.arange(len(new) + 1))
+            return {"id": [part["id"][i] for i in new], "rank": [part["rank"][i] for i in new], "y": [int(part["y"][i] > 0) for i in new], "at": [(keys[a:b] & ((1 << BITS) - 1)).tolist() for a, b in zip(cuts, cuts[1:])]}
 
         return work
 
     def train(batches):
-        seen = [x for b in batches for x in zip(b["rank"].to_pylist(), b["y"].to_pylist(), (np.append(np.asarray(a.values, dtype=np.int32), np.int32(1 << BITS)) for a in b["at"]))]
-        seen.sort(key=lambda x: (x[0], x[1], x[2].tobytes()))
+        seen = [x for b in batches for x in zip(b["rank"].to_pylist(), b["id"].to_pylist(), b["y"].to_pylist(), (np.append(np.asarray(a.values, dtype=np.int32), np.int32(1 << BITS)) for a in b["at"]))]
+        seen.sort(key=lambda x: (*x[:3], x[3].tobytes()))
         model = FTRL()
         for _ in range(epochs):
-            for _, y, at in seen:
-                model.learn(at, y, weight if y else 1.0)
+            last = None
+            for _, own, y, at in seen:
+                if own != last:
+                    model.learn(at, y, weight if y else 1.0)
+                last = own
         if seen:
             at, w = model.sparse()
             yield pa.RecordBatch.from_pydict({"at": pa.array(at, pa.int32()), "w": pa.array(w, pa.float64())})
 
-    features = common.map_texts(rows, ["text", "rank", "y"], "rank long, y int, at array<int>", make)
+    features = common.map_texts(rows, ["id", "h", "text", "rank", "y"], "id long, rank long, y int, at array<int>", make)
     out = {r["at"]: r["w"] for r in features.repartition(1).mapInArrow(train, "at int, w double").collect()}
     if out:
         out[1 << BITS] = out.get(1 << BITS, 0.0) + math.log(share[0] / share[1])
