@@ -2,11 +2,14 @@
 
 import hashlib
 import os
+import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import duckdb
 import pytest
+from test_documents import words
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
@@ -42,6 +45,35 @@ def test_pipeline(spark):
         assert got[r[0]]["ids_sha256"] == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
 
 
+def run_on(spark, folder, rows, items):
+    """run() on tables with columns of clashing names."""
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(*r, "x", 7, 8) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, kept string, _gone long, removed long")
+    docs.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    return corpus_pipeline.run(spark, str(folder))
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    rng = random.Random(31)
+    first, other, guarded, item = (words(rng, 60, 5000) for _ in range(4))
+    long = words(rng, 150_000, 50_000)
+    secret = guarded + " password=hunter2hunter2 " + words(rng, 20, 5000)
+    rows = [(1, first), (1, first), (2, first), (3, None), (4, ""), (5, " \n\t "), (None, first), (None, other), (7, words(rng, 30, 5000) + " " + item), (8, secret), (9, long)]
+    rows = [(i, t, "en", None if i == 8 else "s", None if t is None else len(t)) for i, t in rows]
+    got = run_on(spark, tmp_path, rows, [(1, item), (1, item), (2, None), (None, first), (3, "")]).collect()
+    want = {first: 3, other: 1, secret.replace("password=hunter2hunter2", "[assign]"): 1, long: 1}
+    assert Counter(r["text"] for r in got) == want
+    assert Counter(r["doc_id"] for r in got) == {1: 2, None: 2, 8: 1, 9: 1}
+    assert all(r["n_chars"] == len(r["text"]) and r["decoded_sha256"] == hashlib.sha256(r["text"].encode()).hexdigest() for r in got)
+
+
+def test_pipeline_of_empty_tables(spark, tmp_path):
+    got = run_on(spark, tmp_path, [], [])
+    assert got.columns == ["doc_id", "text", "lang", "source", "n_chars", "n_tokens", "ids_sha256", "decoded_sha256"] and not got.count()
+
+
 def test_entry_names():
     import __spark_entry__ as entry
 
