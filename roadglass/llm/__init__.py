@@ -1,4 +1,4 @@
-"""Operators for large text corpora: ten cleaning, counting and packing steps.
+"""Operators for large text corpora: cleaning, counting, aligning and packing steps.
 
 Nothing outside this folder imports it. Every operator takes DataFrames and
 column names, selects only the columns that it needs, and returns the id column
