@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, decontaminate, html_text, jaccard_join, language, packing, quality, runs, secrets, token_counts, toxicity
+from . import alignment, bpe, decontaminate, html_text, jaccard_join, language, packing, quality, runs, secrets, token_counts, toxicity
 from .common import held_out, table
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -55,6 +55,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.assign(table(spark, sf_dir, "documents"), shards=8)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.digests(table(spark, sf_dir, "documents"))
+
+
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(table(spark, sf_dir, "documents"), fold=True)
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_counts": op8_token_counts,
     "op9_secrets": op9_secrets,
     "op10_packing": op10_packing,
+    "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_periodic_runs": op12_periodic_runs,
 }
 
