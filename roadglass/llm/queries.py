@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, bpe, decontaminate, html_text, jaccard_join, language, packing, quality, runs, secrets, token_counts, toxicity
+from . import alignment, bpe, decontaminate, html_text, jaccard_join, language, packing, quality, runs, secrets, suffix_dedup, token_counts, toxicity
 from .common import held_out, table
 
 BPE_VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -63,6 +63,10 @@ def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.run_digests(table(spark, sf_dir, "documents"), fold=True)
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality_rules": op2_quality_rules,
@@ -76,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_packing": op10_packing,
     "op11_tokenizer_alignment": op11_tokenizer_alignment,
     "op12_periodic_runs": op12_periodic_runs,
+    "op13_suffix_dedup": op13_suffix_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {"op2_quality_rules": quality.ORACLE}
