@@ -33,6 +33,7 @@ import json
 import os
 import re
 import uuid
+from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -46,12 +47,19 @@ A_VOCABULARY, B_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
 SCHEMA = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 #: White space of Unicode, and what Python takes for it too.
 SPACES = " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+#: In texts without any of these a stretch is a word and the one space or line break before it; those of ASCII come first.
+ODD = ("  ", " \n", "\n ", "\n\n", *(c for c in SPACES if c not in " \n"))
+ASCII = sum(x.isascii() for x in ODD)
+#: Such stretches that are encoded as one text.
+JOINED = 1000
 #: Starts the key of a stretch that neither begins with a line break nor with one space before a word; no text holds it.
 OTHER = "\ud800"
 #: Stretches, and characters of them, that a worker remembers; the commonest third stays when it forgets.
 REMEMBERED, CHARACTERS = 400_000, 40_000_000
 #: Labels: A ends, B ends, both.
 A_END, B_END, BOTH = 1, 2, 3
+#: Characters about whose class libraries of different age may differ; below, all agree.
+_newer = re.compile("[\u0530-\U0010ffff]").search
 _GROUP = re.compile(rb"[^\x03]*\x03")
 
 
@@ -84,6 +92,14 @@ class Tokenizers:
         special = {x["id"] for x in told["added_tokens"]}
         for token, i in self.a.get_vocab().items():
             self.a_bytes[i] = token.encode() if i in special else bytes(map(to_byte.__getitem__, token))
+        # where ids follow the order of merges, a faster library merges alike; it may split characters that are newer than this one in another way
+        model, self.fast = told["model"], None
+        if not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")) and all(model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] == 256 + i for i, m in enumerate(model["merges"])):
+            import public_tokenizers
+            import tiktoken
+
+            ranks = {x: i for i, x in enumerate(self.a_bytes) if i not in special}
+            self.fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         b = self.b
         self.b_bytes, inner = [], set()
@@ -103,7 +119,6 @@ class Tokenizers:
         soft = re.escape("".join(c for c in SPACES[1:] if c in inner))
         w = re.escape(SPACES)
         self.stretches = re.compile(rf"[{w}]*[^{w}]+" + (rf"(?:[{soft}][{w}]*[^{w}]*)*" if soft else "") + rf"|[{w}]+").findall
-        self.odd = re.compile(rf"[{re.escape(SPACES[1:].replace(chr(10), ''))}]|  | \n|\n |\n\n").search
         self.a_sizes = np.array([len(x) for x in self.a_bytes], dtype=np.int64)
         self.b_sizes = np.array([len(x) for x in self.b_bytes], dtype=np.int64)
 
@@ -113,7 +128,7 @@ class Tokenizers:
 
     def keys(self, text: str) -> list[str]:
         """Keys of the stretches of a space and the text."""
-        if not self.odd(text) and text[-1] not in " \n" and text[0] not in " \n":
+        if text[-1] not in " \n" and text[0] not in " \n" and not any(x in text for x in ODD[: ASCII if text.isascii() else None]):
             return text.replace("\n", " \n").split(" ")
         return [self.key(x) for x in self.stretches(" " + text)]
 
@@ -127,12 +142,49 @@ class Tokenizers:
     def stretch(key: str) -> str:
         return key if key[0] == "\n" else key[1:] if key[0] == OTHER else " " + key
 
-    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        a = [x.ids for x in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
+    def _encode_each(self, stretches: list[str]) -> Iterator[tuple[list[int], list[int]]]:
+        fast = [k for k, x in enumerate(stretches) if self.fast and not _newer(x)]
+        a = dict(zip(fast, map(self.fast, (stretches[k] for k in fast)))) if fast else {}
+        slow = [k for k in range(len(stretches)) if k not in a]
+        a |= zip(slow, (x.ids for x in self.a.encode_batch_fast([stretches[k] for k in slow], add_special_tokens=False)))
         # B puts a space before: that of the stretch, or one before a line break that is cut off again
         b = self.b.encode([x[1:] if x[0] == " " else "\n" + x for x in stretches], num_threads=1)
         lead = len(self.lead)
-        return a, [ids if x[0] == " " else ids[lead:] for x, ids in zip(stretches, b)]
+        return zip(map(a.__getitem__, range(len(stretches))), (ids if x[0] == " " else ids[lead:] for x, ids in zip(stretches, b)))
+
+    def encode(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A, how many each stretch has, the same of B, and which stretches don't equal their tokens and have none.
+
+        Words with one space or line break before are encoded many at a time as one text, which is cut where they begin.
+        """
+        n = len(stretches)
+        raw = [x.encode() for x in stretches]
+        size = np.fromiter(map(len, raw), np.int64, n)
+        bad = np.zeros(n, dtype=bool)
+        whole = [k for k, x in enumerate(stretches) if x[0] in " \n" and x[1:] and x[1] not in SPACES and x[-1] not in SPACES]
+        single = np.ones(n, dtype=bool)
+        newer = {k for k in whole if _newer(stretches[k])}
+        kinds = [[k for k in whole if k not in newer], sorted(newer)]
+        lots = [kind[k : k + JOINED] for kind in kinds for k in range(0, len(kind), JOINED)]
+        ids: list[list[np.ndarray | None]] = [[None] * n, [None] * n]
+        for lot, *got in zip(lots, *zip(*self._encode_each(["".join(stretches[k] for k in lot) for lot in lots]))) if lots else ():
+            text, ends = b"".join(raw[k] for k in lot), np.cumsum(size[lot])
+            if all(b"".join(map(table.__getitem__, x)) == text for table, x in zip((self.a_bytes, self.b_bytes), got)):
+                single[lot] = False
+                for side, sizes, x in zip(ids, (self.a_sizes, self.b_sizes), got):
+                    x = np.array(x, dtype=np.int64)
+                    at = np.searchsorted(np.cumsum(sizes[x]), ends, "right").tolist()
+                    for k, s, e in zip(lot, [0, *at], at):
+                        side[k] = x[s:e]
+        rest = np.flatnonzero(single).tolist()
+        for k, *got in zip(rest, *zip(*self._encode_each([stretches[k] for k in rest]))) if rest else ():
+            bad[k] = any(b"".join(map(table.__getitem__, x)) != raw[k] for table, x in zip((self.a_bytes, self.b_bytes), got))
+            for side, x in zip(ids, got):
+                side[k] = np.array([] if bad[k] else x, dtype=np.int64)
+        flat = []
+        for side in ids:
+            flat += [np.concatenate(side) if n else np.zeros(0, dtype=np.int64), np.fromiter(map(len, side), np.int64, n)]
+        return *flat, bad
 
 
 _loaded: dict[tuple[str, str], Tokenizers] = {}
@@ -175,22 +227,10 @@ class Aligned:
     """Stretches of a batch: counts, links and groups written out."""
 
     def __init__(self, t: Tokenizers, stretches: list[str], written: bool):
-        a_lists, b_lists = t.encode(stretches)
         n = len(stretches)
-        raw = [x.encode() for x in stretches]
-        size = np.fromiter(map(len, raw), np.int64, n)
-        # a stretch whose tokens don't join to it has none
-        (a, a_n), (b, b_n) = _flat(a_lists), _flat(b_lists)
-        self.bad = np.zeros(n, dtype=bool)
-        for ids, count, table in ((a, a_n, t.a_bytes), (b, b_n, t.b_bytes)):
-            if b"".join(map(table.__getitem__, ids.tolist())) != b"".join(raw):
-                lists = np.split(ids, np.cumsum(count)[:-1])
-                self.bad |= [b"".join(map(table.__getitem__, x.tolist())) != y for x, y in zip(lists, raw)]
-        if self.bad.any():
-            a, b = a[~np.repeat(self.bad, a_n)], b[~np.repeat(self.bad, b_n)]
-            a_n, b_n, size = (np.where(self.bad, 0, x) for x in (a_n, b_n, size))
+        a, a_n, b, b_n, self.bad = t.encode(stretches)
         a_end, b_end = np.cumsum(t.a_sizes[a]), np.cumsum(t.b_sizes[b])
-        label = labels(int(size.sum()), a_end, b_end)
+        label = labels(int(a_end[-1]) if n and len(a_end) else 0, a_end, b_end)
         a_last, b_last = label[a_end - 1] == BOTH, label[b_end - 1] == BOTH
         self.n_a, self.n_b = a_n, b_n
         self.link_a, self.link_b = a[a_last], b[b_last]
