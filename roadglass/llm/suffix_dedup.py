@@ -352,14 +352,16 @@ def _resolve(work: common.Workspace, occ: DataFrame, texts: Callable[[DataFrame]
 
     ``occ``: (doc_id, owner, weight, h, f1, f2, a, b, o), a kept table; ``texts`` gives (owner, data) for the part of it that has partners.
     """
+    # sums are written before they are joined: a join that shuffles both sides can split what belongs to a hot key
     keys = occ.groupBy("h").agg(F.sum("weight").alias("n"), F.min("f1").alias("low"), F.max("f1").alias("high")).where("n > 1")
-    found = work.keep(occ.join(keys.select("h", (F.col("low") == F.col("high")).alias("alike")), "h"), f"met-{level}")
+    keys = work.keep(keys.select("h", (F.col("low") == F.col("high")).alias("alike")), f"keys-{level}")
+    found = work.keep(occ.join(keys, "h"), f"met-{level}")
     piece = ["h", "f1", "f2"]
     kinds = work.keep(found.where("not alike").groupBy(*piece).agg(F.sum("weight").alias("n"), F.min(F.struct("owner", "a", "b", "o")).alias("rep")), f"kinds-{level}")
     # all starts of equal pieces are repeated
     whole = found.where("alike").select("owner", "a", "b").unionByName(found.where("not alike").join(kinds.where("n > 1").select(*piece), piece, "left_semi").select("owner", "a", "b"))
     open_ = kinds.groupBy("h").agg(F.min("n").alias("least"), F.count("*").alias("kinds")).where("least = 1").select("h", "kinds")
-    needed = work.keep(kinds.join(open_, "h").select(*piece, "n", "kinds", "rep.*"), f"open-{level}")
+    needed = work.keep(kinds.join(work.keep(open_, f"compared-{level}"), "h").select(*piece, "n", "kinds", "rep.*"), f"open-{level}")
 
     of_owner = needed.groupBy("owner").agg(F.collect_list(F.struct(*piece, "n", "kinds", "a", "b", "o")).alias("pieces"))
     here = texts(found).join(of_owner, "owner")
@@ -451,7 +453,7 @@ def cut_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", len
 
     def texts(found: DataFrame) -> DataFrame:
         """One row of each text that has a partner."""
-        chosen = found.groupBy("owner").agg(F.min("doc_id").alias("doc_id")).alias("c")
+        chosen = work.keep(found.groupBy("owner").agg(F.min("doc_id").alias("doc_id")), "chosen").alias("c")
         same = F.col("r.owner").eqNullSafe(F.col("c.owner")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id"))
         kept.append(work.keep(rows.alias("r").join(chosen, same, "left_semi").select("owner", F.col("text").cast("binary").alias("data")), "texts"))
         return kept[0]
@@ -488,6 +490,7 @@ def digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lengt
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda s, x: s + x["end"] - x["start"])
     cut = cut_texts(df, id_col, text_col, length).select("owner", removed.alias("removed"), F.size("spans").cast("long").alias("spans"), F.sha2("kept", 256).alias("sha")).dropDuplicates(["owner"])
+    cut = common.Workspace(df.sparkSession).keep(cut, "digests")
     rows = _rows(df, id_col, text_col).select("doc_id", "owner", "n_bytes", F.sha2("text", 256).alias("own"))
     none = F.lit(0).cast("long")
     return rows.join(cut, "owner", "left").select("doc_id", "n_bytes", F.coalesce("removed", none).alias("n_removed"), F.coalesce("spans", none).alias("n_spans"), F.coalesce("sha", "own").alias("kept_sha256"))
