@@ -15,9 +15,12 @@ as the large groups left the residuals. These groups come in order of the hash:
 all are small, and a mixture of shapes up to the last balances the three sizes
 better than an order by size. Ties go to another shard first in each part.
 
-A group that no shard could hold, above 1/shards of a total, has to be divided
-for any law to hold: its rows are dealt by doc_id into sub-groups of about
-1/LARGE of all rows, each placed like a group of its own. All smaller groups stay whole.
+A large group is divided where its shard could not be brought to even afterwards:
+where it would take more of a size than the shard has left, or leave the shard's
+three residuals more than UNEVEN of a shard apart (many short copies take rows
+and hardly any bytes, and no other documents make up for that). Its rows are dealt
+by doc_id into sub-groups of about 1/LARGE of all rows, each placed like a group of
+its own. All other groups stay whole.
 
 Slots are numbered by part and shard and moved up by the counts of the parts
 before, so no task sorts a shard.
@@ -45,6 +48,8 @@ from . import common
 LARGE = 4096
 #: Rows of a part, and the most parts; beyond these parts grow, sorted on disk.
 ROWS, PARTS = 8192, 4096
+#: How far apart, in shards, a group that stays whole may leave the residuals of its shard, and how much more than these it may take.
+UNEVEN, OVER = 0.4, 0.05
 #: Weights of bytes, tokens and rows in the dot product.
 WEIGHTS = np.array([4.0, 1.0, 1.0])
 
@@ -79,6 +84,22 @@ def pack(sizes: np.ndarray, shards: int) -> tuple[np.ndarray, np.ndarray]:
     return out, packer.left()
 
 
+def too_large(sizes: np.ndarray, shards: int) -> np.ndarray:
+    """Which groups have to be divided: placed from large to small, each is held against what is left of its shard."""
+    packer = Packer(np.full((shards, sizes.shape[1]), 1.0 / shards))
+    out = np.zeros(len(sizes), dtype=bool)
+    for i in np.argsort(-(sizes * sizes).sum(axis=1), kind="stable") if len(sizes) else []:
+        before = packer.share_left.copy()
+        at = int((before @ (sizes[i] * WEIGHTS)).argmax())
+        packer.place(sizes[i])
+        left, apart = packer.share_left[at], np.ptp(before[at])
+        # small groups change little: it is the group that must have brought the residuals so far apart
+        out[i] = left.min() < -OVER and before[at].min() > left.min() or np.ptp(left) > max(UNEVEN, apart)
+        if out[i]:
+            packer.share_left = before - sizes[i] / packer.capacity / shards
+    return out
+
+
 def capacities(total: np.ndarray, left: np.ndarray) -> np.ndarray:
     """A part's capacity of each shard: its totals, split as the residuals are; evenly where nothing is left."""
     whole = left.sum(axis=0)
@@ -152,12 +173,13 @@ def assign(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str
     sizes = lambda n: (n * F.col("size") / totals[0], n * F.col("tokens") / totals[1], n / totals[2])
     share = F.greatest(*sizes(F.col("n")))
     large = groups.where(share > 1 / LARGE).select("grp", "size", "tokens", "n", share.alias("share")).orderBy("grp").collect()
-    subs = {g["grp"]: math.ceil(g["n"] / max(1.0, totals[2] / LARGE)) if g["share"] > 1 / shards else 1 for g in large}
+    shares = np.array([[g["n"] * g["size"] / totals[0], g["n"] * g["tokens"] / totals[1], g["n"] / totals[2]] for g in large]).reshape(-1, 3)
+    subs = {g["grp"]: max(shards, math.ceil(g["n"] / max(1.0, totals[2] / LARGE))) if divide and g["n"] > 1 else 1 for g, divide in zip(large, too_large(shares, shards))}
     heavy = rows.join(F.broadcast(_small(spark, "grp long, subs int", list(subs.items()))), "grp", "left")
     heavy = heavy.withColumn("sub", F.when(F.col("subs") > 1, F.pmod(F.xxhash64("doc_id"), F.col("subs"))).when(F.col("subs") == 1, F.lit(0)).cast("int")).drop("subs")
     split = [g for g, k in subs.items() if k > 1]
     counts = {(g["grp"], 0): g["n"] for g in large if subs[g["grp"]] == 1}
-    if split:  # fewer than 3 x shards groups, of LARGE sub-groups each at most
+    if split:  # LARGE sub-groups and a few for each group at most
         counts |= {(r["grp"], r["sub"]): r["count"] for r in heavy.where(F.col("grp").isin(split)).groupBy("grp", "sub").count().collect()}
     of = {g["grp"]: g for g in large}
     items = sorted(counts)
@@ -165,11 +187,13 @@ def assign(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str
     where = _small(spark, "grp long, sub int, given int", [(*k, int(s)) for k, s in zip(items, placed)])
 
     parts = int(max(1, min(PARTS, totals[2] // ROWS)))
-    part = F.pmod(F.when(F.col("given") < 0, F.xxhash64("grp")).otherwise(F.xxhash64("grp", "sub")), F.lit(parts)).cast("int")
+    # rows whose shard is known go anywhere
+    part = F.pmod(F.when(F.col("given") < 0, F.xxhash64("grp")).otherwise(F.xxhash64("doc_id", "grp")), F.lit(parts)).cast("int")
     dealt = heavy.join(F.broadcast(where), ["grp", "sub"], "left").withColumn("given", F.coalesce("given", F.lit(-1))).withColumn("part", part).drop("sub")
     sums = dealt.where(F.col("given") < 0).groupBy("part").agg(F.sum("size").alias("s"), F.sum("tokens").alias("t"), F.count(F.lit(1)).alias("n"))
     own = {r["part"]: np.array([r["s"] / totals[0], r["t"] / totals[1], r["n"] / totals[2]]) for r in sums.collect()}
-    dealt = dealt.repartition(parts, "part").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("part", "grp")))
+    # a part is a task: dealt by its number, not by a hash of it
+    dealt = dealt.repartitionById(parts, F.col("part")).withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("part", "grp")))
     dealt = dealt.sortWithinPartitions("part", "grp", "doc_id")
     out = work.keep(dealt.mapInArrow(_streamed(totals, own, left), "doc_id long, size long, text_crc32 long, part int, shard int, slot long"), "placed")
     used, starts = [0] * shards, []
@@ -183,7 +207,18 @@ def assign(df: DataFrame, shards: int = 8, id_col: str = "doc_id", text_col: str
 
 
 def write_shards(df: DataFrame, path: str, shards: int = 8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the documents as Parquet, one folder a shard, and return the assignment. Needs ids without repeats."""
-    places = assign(df, shards, id_col, text_col).select(F.col("doc_id").alias(id_col), "shard", "slot")
-    df.join(places, id_col).write.partitionBy("shard").parquet(path)
+    """Write the documents as Parquet, one folder a shard, with their slots, and return the assignment.
+
+    Rows meet their places by id, and where ids repeat by a number among the rows of an id, equal texts side by side, which any of them can have.
+    """
+    work = common.Workspace(df.sparkSession)
+    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    order = Window.partitionBy("_id", "_crc").orderBy("_order")
+    rows = df.withColumns({"_id": F.col(id_col).cast("long"), "_crc": crc, "_order": F.coalesce(F.xxhash64(text_col), F.lit(0))}).withColumn("_at", F.row_number().over(order)).drop("_order")
+    places = work.keep(assign(df, shards, id_col, text_col), "places")
+    mine = places.select(F.col("doc_id").alias("_i"), F.col("text_crc32").alias("_c"), "shard", "slot").withColumn("_n", F.row_number().over(Window.partitionBy("_i", "_c").orderBy("shard", "slot")))
+    same = F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_crc") == F.col("_c")) & (F.col("_at") == F.col("_n"))
+    rows.join(mine, same).drop("_id", "_crc", "_at", "_i", "_c", "_n").write.partitionBy("shard").parquet(path)
     return places
+
+

@@ -82,13 +82,55 @@ def test_balance_with_a_hot_text(spark, share):
 
 
 def test_only_groups_that_fit_no_shard_are_divided(spark):
+    """Once every third row is spread, no shard has room for every ninth; one row in twenty fits, and stays whole."""
     rng = random.Random(14)
-    texts = ["every third row " * 2] * 300 + ["every ninth row " * 2] * 99 + [words(rng, 12) for _ in range(500)] + [None]
+    texts = ["every third row " * 2] * 300 + ["every ninth row " * 2] * 99 + ["one row in twenty " * 3] * 45 + [words(rng, 12) for _ in range(455)] + [None]
     got = {r["doc_id"]: r for r in packing.assign(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
     of = defaultdict(set)
     for i, t in enumerate(texts):
         of[t].add(got[i]["shard"])
-    assert len(of[texts[0]]) == 8 and all(len(s) == 1 for t, s in of.items() if t != texts[0])
+    assert len(of[texts[0]]) == len(of[texts[300]]) == 8 and all(len(s) == 1 for t, s in of.items() if t not in (texts[0], texts[300]))
+
+
+@pytest.mark.parametrize("hot", ["a short text of very many copies", "a text of the usual length that very many rows repeat as it is, with some thirty words in it, so that it weighs about as much as others do and " * 1])
+@pytest.mark.parametrize("share", [0.05, 0.08, 0.1, 0.12, 0.13])
+def test_bytes_stay_even_whatever_the_share_of_a_hot_text(spark, share, hot):
+    rng = random.Random(16)
+    n = 16_000
+    texts = [hot] * int(n * share) + [words(rng, int(rng.lognormvariate(3, 0.7)) + 1) for _ in range(n - int(n * share))]
+    got = packing.assign(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).toPandas()
+    by = got.groupby("shard").agg(size=("size", "sum"), rows=("slot", "count"), last=("slot", "max"))
+    assert len(by) == 8 and (by["last"] == by["rows"] - 1).all()
+    assert by["size"].max() <= 1.01 * by["size"].min() and by["rows"].max() <= 1.03 * by["rows"].min()
+    if share == 0.05:
+        assert got[got["doc_id"] < int(n * share)]["shard"].nunique() == 1
+
+
+def test_rows_of_placed_groups_are_dealt_over_all_parts(spark, monkeypatch):
+    """Each part is a task of its own, and the copies of a hot text are spread over them."""
+    monkeypatch.setattr(packing, "ROWS", 500)
+    texts = ["hot text"] * 2000 + [f"text {i}" for i in range(2000)]
+    kept = {}
+    keep = packing.common.Workspace.keep
+    monkeypatch.setattr(packing.common.Workspace, "keep", lambda self, df, name: kept.setdefault(name, keep(self, df, name)))
+    packing.assign(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)).count()
+    parts = [r["count"] for r in kept["placed"].groupBy("part").count().collect()]
+    assert len(parts) == 8 and max(parts) < 700 and min(parts) > 350
+    files = {}
+    for r in kept["placed"].select("part", F.input_file_name().alias("f")).distinct().collect():
+        files.setdefault(r["f"], []).append(r["part"])
+    assert all(len(p) == 1 for p in files.values())
+
+
+def test_shards_are_written_and_ids_that_repeat_are_kept(spark, tmp_path):
+    rng = random.Random(17)
+    rows = [(i, words(rng, 8)) for i in range(100)] + [(5, "again"), (5, "again"), (None, "no id")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    places = packing.write_shards(df, str(tmp_path / "out"))
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted((r["doc_id"] if r["doc_id"] is not None else -1, r["text"]) for r in back.collect()) == sorted((-1 if i is None else i, t) for i, t in rows)
+    assert places.count() == len(rows) and {r["shard"] for r in back.select("shard").distinct().collect()} == set(range(8))
+    assert sorted((r["shard"], r["slot"]) for r in back.collect()) == sorted((r["shard"], r["slot"]) for r in places.collect())
 
 
 def test_a_very_long_text_repeated_rows_and_clashing_names(spark):
