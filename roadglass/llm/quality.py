@@ -7,8 +7,8 @@ host; a line that more than ``limit`` different texts of a host have is removed,
 and a document of which more than half the words go is rejected as depleted.
 The verdicts count what goes; filter_documents returns the texts without it.
 Exact copies of a text count once, so that copies alone deplete nothing. The
-limit is a number, or without one goes by the host: a twentieth of its different
-texts, but 5 at least and 30 at most.
+limit goes by the host: a twentieth of its different texts, but 5 at least and 30
+at most; or it is a number for all hosts.
 
 Windows are compared by 64-bit hashes built from hashes of two, then four words,
 inside the row: nothing is exploded but lines. The removed lines join with a
@@ -80,7 +80,7 @@ def host_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     return lines.where(bare != "").select("id", "row", "text_hash", F.xxhash64("host").alias("host"), "pos", F.xxhash64("host", norm).alias("line"), F.regexp_count(bare, F.lit(JAVA_WORD)).alias("n"))
 
 
-def removed_lines(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
+def removed_lines(df: DataFrame, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source") -> DataFrame:
     """(id, row, n_removed, removed) of the rows that have lines above the limit; ``removed`` are positions of lines."""
     lines = host_lines(df, id_col, text_col, host_col)
     salt = F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")
@@ -110,12 +110,12 @@ def removed_words(df: DataFrame, limit: int = 30, id_col: str = "doc_id", text_c
     return removed_lines(df, limit, id_col, text_col, host_col).drop("removed")
 
 
-def verdicts(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
+def verdicts(df: DataFrame, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
     """Base counts, base_failed, n_removed and kept of every row; ``extra`` columns are carried along."""
     return judged(df, limit, id_col, text_col, host_col, extra).drop("removed")
 
 
-def judged(df: DataFrame, limit: int | None = 30, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
+def judged(df: DataFrame, limit: int | None = None, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", extra: list[str] | None = None) -> DataFrame:
     """The verdicts, and the positions of the removed lines; null where none is."""
     extra = extra or []
     if clash := RESULTS.intersection(extra):
@@ -155,7 +155,8 @@ rep AS (SELECT rid, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest(range(
 l AS (SELECT rid, source, text, unnest(ls) AS raw FROM w),
 n AS (SELECT rid, source, text, len(list_filter(regexp_split_to_array(raw, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS words,
              regexp_replace(regexp_replace(lower(trim(raw, chr(32) || chr(9) || chr(11) || chr(12) || chr(13))), '[\x20\x09-\x0D]+', ' ', 'g'), '[0-9]+', '0', 'g') AS line FROM l),
-c AS (SELECT source, line FROM n GROUP BY source, line HAVING count(DISTINCT text) > 30),
+h AS (SELECT source, least(30, greatest(5, count(DISTINCT text) // 20)) AS most FROM d WHERE text IS NOT NULL GROUP BY source),
+c AS (SELECT n.source, line FROM n JOIN h ON n.source IS NOT DISTINCT FROM h.source GROUP BY n.source, line, most HAVING count(DISTINCT text) > most),
 gone AS (SELECT rid, sum(words) AS n FROM n JOIN c ON n.line = c.line AND n.source IS NOT DISTINCT FROM c.source GROUP BY rid),
 b AS (SELECT doc_id, rid, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
              length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,

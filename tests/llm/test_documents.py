@@ -122,13 +122,28 @@ def test_quality_against_sql(docs, documents, spark):
     assert got.n_repeat_words.max() > 0 and got.n_dup_lines.max() >= 3
 
 
+def test_quality_rejects_what_its_host_depletes(spark):
+    """Enough words, but most of them on lines of the host: rejected by the method, not by the base rules; on a host of few texts they stay."""
+    rng = random.Random(8)
+    menu = [words(rng, 12, 5000) for _ in range(4)]
+    page = lambda n: "\n".join([*menu, words(rng, n, 5000)])
+    rows = [(i, page(15), "en", "big", 0) for i in range(30)] + [(100 + i, page(80), "en", "big", 0) for i in range(10)] + [(200 + i, page(15), "en", "few", 0) for i in range(4)]
+    got = {r["doc_id"]: r for r in quality.verdicts(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert all(not got[i]["kept"] and got[i]["n_removed"] == 48 for i in range(30))
+    assert all(got[100 + i]["kept"] and got[100 + i]["n_removed"] == 48 for i in range(10)) and all(got[200 + i]["kept"] and got[200 + i]["n_removed"] == 0 for i in range(4))
+
+
 def test_quality_of_repeated_and_empty_rows(docs, spark):
     got = quality.verdicts(docs).collect()
     assert len(got) == docs.count() and all(not r["kept"] for r in got if r["n_words"] == 0)
     assert quality.verdicts(docs.where("false")).count() == 0
     hot = spark.createDataFrame([(i % 20, f"only this line here {i % 20}\nhot line of seven words stands here", "en", "s", 0) for i in range(80)] + [(50 + i, f"x{i} y\nhot line of seven words stands here", "en", "s", 0) for i in range(20)], SCHEMA)
-    removed = {r["n_removed"] for r in quality.verdicts(hot).collect()}
+    removed = {r["n_removed"] for r in quality.verdicts(hot, 30).collect()}
     assert removed == {7}
+    # by the host, 40 texts allow 5: the other line goes too, and what is left of no text is half of it
+    got = quality.verdicts(hot).collect()
+    assert {r["n_removed"] for r in got if r["doc_id"] < 20} == {12} and not any(r["kept"] for r in got)
     with pytest.raises(ValueError):
         quality.removed_words(hot, limit=3)
 

@@ -77,7 +77,7 @@ def test_any_limit_against_sql(spark, limit):
     got = quality.verdicts(frame, limit).toPandas().sort_values("doc_id").reset_index(drop=True)
     c = duckdb.connect()
     c.register("documents", frame.toPandas())
-    want = c.sql(quality.ORACLE.replace("> 30),", f"> {limit}),")).df().sort_values("doc_id").reset_index(drop=True)[list(got.columns)]
+    want = c.sql(quality.ORACLE.replace("least(30, greatest(5, count(DISTINCT text) // 20))", str(limit))).df().sort_values("doc_id").reset_index(drop=True)[list(got.columns)]
     assert (got == want).all().all() and (limit > 3 or got.n_removed.max() > 0)
 
 
