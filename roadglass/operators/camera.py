@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geo
+from . import series
 
 
-def frustum_crop(points: DataFrame, k: Sequence[float], width: int, height: int, margin: float = 0.0, nearest: float = 0.2, cap: int | None = None, seed: int = 0, key: Sequence[str] = ()) -> DataFrame:
-    """Points in front of the camera whose pixel (added as u, v) lies in the image and its margin; ``cap`` keeps that many by a hash of the key."""
+def frustum_crop(points: DataFrame, k: Sequence[float], width: int, height: int, margin: float = 0.0, nearest: float = 0.2, cap: int | None = None, seed: int = 0, key: Sequence[str] = (), by: Sequence[str] = ()) -> DataFrame:
+    """Points in front of the camera whose pixel (added as u, v) lies in the image and its margin; ``cap`` keeps that many of each group (a scan) by a hash of the key."""
     u, v, valid = geo.project([F.col(c) for c in "xyz"], k, nearest=nearest)
     out = points.where(valid).withColumns({"u": u, "v": v}).where(F.col("u").between(-margin, width + margin) & F.col("v").between(-margin, height + margin))
-    return out if cap is None else out.orderBy(F.xxhash64(*key, F.lit(seed)), *key).limit(cap)
+    return out if cap is None else series.sample(out, key, cap, seed, by)
 
 
 def unproject_table(pixels: DataFrame, k: Sequence[float], distortion: Sequence[float], rounds: int = 20) -> DataFrame:

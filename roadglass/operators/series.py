@@ -324,9 +324,32 @@ def evenly(rows: DataFrame, by: Sequence[str], k: int, t: str = "t", seq: str |
     return out.where(F.array_contains(F.transform(F.sequence(F.lit(0), F.lit(k - 1)), place), F.col("_at").cast("long"))).drop("_at", "_n")
 
 
-def sample(rows: DataFrame, keys: Sequence[str], n: int, seed: int = 0) -> DataFrame:
-    """n rows chosen by a hash of their keys: the same at every run and partitioning."""
-    return rows.orderBy(F.xxhash64(*keys, F.lit(seed)), *keys).limit(n)
+#: Bits of a hash by which a sample's rows are counted.
+SAMPLE_BITS = 16
+
+
+def sample(rows: DataFrame, keys: Sequence[str], n: int, seed: int = 0, by: Sequence[str] = ()) -> DataFrame:
+    """Of each group the n rows with the smallest hashes of their keys (of equal hashes the smaller keys): the same at every run and partitioning.
+
+    A histogram of the hashes' first bits tells which of them are chosen whole and
+    which one is chosen in part; only that one is put in order, so neither all rows
+    are sorted nor n of them meet in a task.
+    """
+    h = F.xxhash64(*keys, F.lit(seed))
+    each = rows.withColumns({"_h": h, "_bin": F.call_function("shiftright", h, F.lit(64 - SAMPLE_BITS))})
+    same = [F.col(f"_by{i}") for i in range(len(by))]
+    group = each.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], "_bin")
+    counts = group.groupBy(*same, "_bin").agg(F.count(F.lit(1)).alias("_n"))
+    upto = F.sum("_n").over(Window.partitionBy(*same).orderBy("_bin"))
+    # the bin in which the n-th row lies, and how many come before it
+    counts = counts.withColumn("_upto", upto).where(F.col("_upto") - F.col("_n") < n)
+    cut = counts.groupBy(*same).agg(F.max_by(F.struct("_bin", F.col("_n"), (F.col("_upto") - F.col("_n")).alias("_before")), "_bin").alias("_cut"))
+    on = reduce(lambda a, b: a & b, (F.col(c).eqNullSafe(F.col(f"_by{i}")) for i, c in enumerate(by)), F.lit(True))
+    # one row a group
+    found = each.join(cut if by else F.broadcast(cut), on).where(F.col("_bin") <= F.col("_cut._bin"))
+    last = Window.partitionBy(*by, "_bin").orderBy("_h", *keys)
+    edge = found.where(F.col("_bin") == F.col("_cut._bin")).withColumn("_at", F.row_number().over(last)).where(F.col("_at") + F.col("_cut._before") <= n)
+    return found.where(F.col("_bin") < F.col("_cut._bin")).select(*rows.columns).unionByName(edge.select(*rows.columns))
 
 
 def union_events(*frames: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Sequence
 from math import pi
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -116,28 +117,91 @@ def nearest_k(left: DataFrame, right: DataFrame, gate: float, k: int, left_id: s
     return within(left, right, gate, left_id, right_id).withColumn("k", F.row_number().over(order)).where(F.col("k") <= k).select("left_id", "right_id", "d", "k")
 
 
+#: Points that a leaf of a tree of cells has on average, and at most in one row.
+LEAF, LEAF_ROW = 32, 64
+
+
+def _tree(points: DataFrame, point_id: str, ends: dict, depth: int) -> tuple[list[DataFrame], DataFrame]:
+    """Boxes (cell, up, box) of the occupied cells of each level, from the whole to the leaves, and the leaves' points (cell, points) in rows of bounded length.
+
+    A cell is its level's place along each axis in a number; ``up`` is the cell it lies in, with half as many places a side.
+    """
+    side = 1 << depth
+    place = {c: F.least(F.lit(side - 1), F.floor((F.col(c) - ends[f"a_{c}"]) / max((ends[f"b_{c}"] - ends[f"a_{c}"]) / side, 1e-300))).cast("long") for c in XYZ}
+    packed = lambda i, j, k: (i * (1 << 20) + j) * (1 << 20) + k
+    rows = points.select(F.col(point_id).alias("id"), *XYZ, *[place[c].alias(f"p{c}") for c in XYZ])
+    leaf = rows.groupBy("px", "py", "pz").agg(F.count(F.lit(1)).alias("n"), *[g(c).alias(f"{m}{c}") for c in XYZ for m, g in (("a", F.min), ("b", F.max))]).checkpoint()
+    levels, level = [], leaf
+    for _ in range(depth + 1):
+        half = [F.call_function("shiftright", F.col(f"p{c}"), F.lit(1)) for c in XYZ]
+        levels.append(level.select(packed(*(F.col(f"p{c}") for c in XYZ)).alias("cell"), packed(*half).alias("up"), F.struct(*[f"{m}{c}" for c in XYZ for m in "ab"]).alias("box")))
+        level = level.groupBy(*[h.alias(f"p{c}") for h, c in zip(half, XYZ)]).agg(*[g(f"{m}{c}").alias(f"{m}{c}") for c in XYZ for m, g in (("a", F.min), ("b", F.max))])
+    sizes = leaf.select("px", "py", "pz", F.ceil(F.col("n") / LEAF_ROW).alias("parts"))
+    # a full leaf, copies of one place for instance, gets several rows
+    dealt = rows.join(sizes, ["px", "py", "pz"]).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+    held = dealt.groupBy(packed(*(F.col(f"p{c}") for c in XYZ)).alias("cell"), "part").agg(F.array_sort(F.collect_list(F.struct("id", *XYZ))).alias("points"))
+    return levels[::-1], held
+
+
+def _far(left: DataFrame, right: DataFrame, left_id: str, right_id: str, ends: Sequence[dict]) -> DataFrame:
+    """(left_id, right_id, d): the nearest right point of each left one, however far, by a descent through trees of cells over both sides.
+
+    From level to level a pair of cells becomes the pairs of the cells in them; of
+    a left cell's pairs those go that are farther, box from box, than another one
+    is at most. What is left of the leaves is compared point by point.
+    """
+    counts = [left.count(), right.count()]
+    depth = max(1, min(20, int(np.log2(max(1.0, max(counts) / LEAF)) / 3)))
+    (l_levels, l_points), (r_levels, r_points) = (_tree(f, i, e, depth) for f, i, e in ((left, left_id, ends[0]), (right, right_id, ends[1])))
+    pairs = left.sparkSession.createDataFrame([(0, 0)], "l long, r long")
+    for ls, rs in zip(l_levels[1:], r_levels[1:]):
+        a = ls.select(F.col("cell").alias("l_cell"), F.col("up").alias("l"), F.col("box").alias("l_box"))
+        b = rs.select(F.col("cell").alias("r_cell"), F.col("up").alias("r"), F.col("box").alias("r_box"))
+        each = pairs.join(a, "l").join(b, "r")
+        gap = lambda c: F.greatest(F.lit(0.0), F.col(f"r_box.a{c}") - F.col(f"l_box.b{c}"), F.col(f"l_box.a{c}") - F.col(f"r_box.b{c}"))
+        most = lambda c: F.greatest(F.abs(F.col(f"r_box.b{c}") - F.col(f"l_box.a{c}")), F.abs(F.col(f"l_box.b{c}") - F.col(f"r_box.a{c}")))
+        each = each.select("l_cell", "r_cell", sum((gap(c) * gap(c) for c in XYZ), F.lit(0.0)).alias("low"), sum((most(c) * most(c) for c in XYZ), F.lit(0.0)).alias("high"))
+        best = each.groupBy("l_cell").agg(F.min("high").alias("best"))
+        # a little more than the bound, for what rounding takes off
+        pairs = each.join(best, "l_cell").where(F.col("low") <= F.col("best") * (1 + 1e-9)).select(F.col("l_cell").alias("l"), F.col("r_cell").alias("r")).checkpoint()
+    kinds = [f.schema[i].dataType.simpleString() for f, i in ((left, left_id), (right, right_id))]
+    joined = pairs.join(l_points.select(F.col("cell").alias("l"), F.col("points").alias("here")), "l").join(r_points.select(F.col("cell").alias("r"), F.col("points").alias("there")), "r").select("here", "there")
+
+    def compare(batches):
+        for batch in batches:
+            sides = []
+            for c in ("here", "there"):
+                lists = batch.column(c)
+                flat, ends = lists.flatten(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                sides.append((flat.field("id"), np.stack([flat.field(x).to_numpy(zero_copy_only=False) for x in XYZ]), ends))
+            (left_ids, p, a), (right_ids, q, b) = sides
+            at, least = np.empty(p.shape[1], dtype=np.int64), np.empty(p.shape[1])
+            for k in range(batch.num_rows):
+                x, y, z = (p[c, a[k] : a[k + 1], None] - q[c, None, b[k] : b[k + 1]] for c in range(3))
+                d = np.sqrt(((0.0 + x * x) + y * y) + z * z)
+                near = d.argmin(axis=1)  # the first of equals has the smaller id
+                at[a[k] : a[k + 1]] = b[k] + near
+                least[a[k] : a[k + 1]] = d[np.arange(len(near)), near]
+            yield pa.RecordBatch.from_arrays([left_ids, right_ids.take(pa.array(at)), pa.array(least)], names=["left_id", "right_id", "d"])
+
+    found = joined.mapInArrow(compare, f"left_id {kinds[0]}, right_id {kinds[1]}, d double")
+    return found.groupBy("left_id").agg(F.min(F.struct("d", "right_id")).alias("m")).select("left_id", F.col("m.right_id").alias("right_id"), F.col("m.d").alias("d"))
+
+
 def nearest_any(left: DataFrame, right: DataFrame, gate: float, left_id: str, right_id: str) -> DataFrame:
-    """The nearest right point however far: the gate doubles for the rows that have found none.
+    """The nearest right point however far: inside the gate by its cells, for the rows without one by a descent through cells of all sizes (``_far``).
 
-    It doubles until it spans both tables, when every row has found one. Rows and
-    points with a coordinate that is null or not finite find none and are none.
-    Needs a checkpoint folder.
+    Rows and points with a coordinate that is null or not finite find none and are
+    none. Needs a checkpoint folder.
     """
     finite = " AND ".join(f"abs({c}) < double('infinity')" for c in XYZ)
     rest, right = left.where(finite), right.where(finite)
-    ends = [f.agg(*[g(c).alias(f"{n}_{c}") for c in XYZ for n, g in (("a", F.min), ("b", F.max))]).first() for f in (rest, right)]
+    near = nearest(rest, right, gate, left_id, right_id).checkpoint()
+    rest = rest.join(near.select(F.col("left_id").alias(left_id)), left_id, "left_anti").checkpoint()
+    ends = [f.agg(*[g(c).alias(f"{n}_{c}") for c in XYZ for n, g in (("a", F.min), ("b", F.max))]).first().asDict() for f in (rest, right)]
     if any(e["a_x"] is None for e in ends):
-        return nearest(rest, right, gate, left_id, right_id)
-    span = sum((max(e[f"b_{c}"] for e in ends) - min(e[f"a_{c}"] for e in ends)) ** 2 for c in XYZ) ** 0.5
-    out = None
-    while True:
-        found = nearest(rest, right, gate, left_id, right_id).checkpoint()
-        out = found if out is None else out.unionByName(found)
-        rest = rest.join(found.select(F.col("left_id").alias(left_id)), left_id, "left_anti").checkpoint()
-        if gate > span or not rest.limit(1).count():
-            break
-        gate *= 2
-    return out
+        return near
+    return near.unionByName(_far(rest, right, left_id, right_id, ends))
 
 
 def plane_snap(points: DataFrame, target: DataFrame, gate: float, point_id: str, target_id: str) -> DataFrame:

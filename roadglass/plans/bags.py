@@ -52,8 +52,8 @@ def container_read(spark, sf_dir):
     return _events(container.read(spark, _container(spark, sf_dir), ["/click", "/purchase"], (lo + (hi - lo) // 4) * 1000, (lo + (hi - lo) // 2) * 1000))
 
 
-@query("container_sampled", f"""WITH {SIG}, n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY t, event_id) - 1 AS at FROM sig WHERE event_type IN ('click', 'view'))
-SELECT event_id, '/' || event_type AS topic, t * 1000 AS t_ns, value, event_type AS kind, CAST(series AS BIGINT) AS series FROM n WHERE at % 5 = 0 AND at < 5 * 100""")
+@query("container_sampled", f"""WITH {SIG}, n AS (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY t, event_id) - 1 AS nth FROM sig WHERE event_type IN ('click', 'view'))
+SELECT event_id, '/' || event_type AS topic, t * 1000 AS t_ns, value, event_type AS kind, CAST(series AS BIGINT) AS series FROM n WHERE nth % 5 = 0 AND nth < 5 * 100""")
 def container_sampled(spark, sf_dir):
     """Of two topics every fifth message, a hundred at most: what chunks hold is told by counts before they are read."""
     return _events(container.read_sampled(spark, _container(spark, sf_dir), ["/click", "/view"], 5, 100))

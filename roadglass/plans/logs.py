@@ -223,16 +223,27 @@ def timing_summary(spark, sf_dir):
 
 @query("model_review", """SELECT doc_id, doc_id % 5 <> 4 AS parse_ok, CASE WHEN doc_id % 5 = 4 THEN NULL ELSE doc_id % 7 END AS issues FROM documents""")
 def model_review(spark, sf_dir):
-    """Answers of a client, with one retry: four in five say it at once or when reminded."""
+    """Answers of a client that answers differently at each call: half of the first answers are no JSON, one frame in five never gets any."""
 
     def ask(question: str) -> str:
+        import random
+
         n = int(question.split("\n")[0])
-        good = "```json\n{\"issues\": " + str(n % 7) + "}\n```"
-        return good if n % 5 < 3 or n % 5 == 3 and "JSON" in question else "I can't say {"
+        good = "```json\n{\"issues\": " + str(n % 7) + ", \"noise\": " + str(random.random()) + "}\n```"
+        return good if n % 5 != 4 and ("JSON" in question or random.random() < 0.5) else f"I can't say {{ {random.random()}"
 
     frames = table(spark, sf_dir, "documents").select("doc_id", F.col("doc_id").cast("string").alias("prompt"))
-    out = sinks.review(frames, ask)
-    return out.select("doc_id", "parse_ok", F.get_json_object("parsed", "$.issues").cast("long").alias("issues"))
+    out = sinks.review(frames, ask, ["doc_id"], _shared(spark, "review"))
+    return out.select("doc_id", "parse_ok", F.get_json_object("parsed", "$.issues").try_cast("long").alias("issues"))
+
+
+@query("sample_by_group", """SELECT event_type, least(150, count(*)) AS n, least(150, count(*)) AS ids, least(150, count(*)) AS again FROM events GROUP BY 1""")
+def sample_by_group(spark, sf_dir):
+    """Of each kind of events as many as asked for, all different, and the same ones whatever the partitions."""
+    rows = table(spark, sf_dir, "events").select("event_type", "event_id")
+    one, two = (series.sample(r, ["event_id"], 150, 7, ["event_type"]) for r in (rows, rows.repartition(5)))
+    both = one.join(two.select("event_id", F.lit(True).alias("same")), "event_id", "left")
+    return both.groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("event_id").alias("ids"), F.count("same").alias("again"))
 
 
 def _wall_scene(spark, sf_dir):

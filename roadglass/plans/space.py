@@ -76,6 +76,16 @@ def spatial_nn_any(spark, sf_dir):
     return spatial.nearest_any(*_sides(spark, sf_dir), 0.08, "vec_id", "vec_id").withColumn("d", F.round("d", 6))
 
 
+@query("spatial_nn_far", f"""WITH {EMB}, a AS (SELECT vec_id, x + 100 AS x, y, z - 20 AS z FROM emb WHERE vec_id % 3 = 0), b AS (SELECT * FROM emb WHERE vec_id % 3 <> 0)
+SELECT a.vec_id AS left_id, round(min({DIST}), 6) AS d FROM a, b GROUP BY 1""")
+def spatial_nn_far(spark, sf_dir):
+    """Nearest points of a cloud that lies far outside of the gate."""
+    _checkpoints(spark)
+    left, right = _sides(spark, sf_dir)
+    left = left.withColumns({"x": F.col("x") + 100, "z": F.col("z") - 20})
+    return spatial.nearest_any(left, right, 0.08, "vec_id", "vec_id").select("left_id", F.round("d", 6).alias("d"))
+
+
 @query("spatial_knn", f"""WITH {EMB}, j AS (SELECT a.vec_id AS left_id, b.vec_id AS right_id, {DIST} AS d FROM emb a, emb b WHERE {DIST} < 0.15)
 SELECT left_id, right_id, round(d, 6) AS d, CAST(k AS INTEGER) AS k FROM (SELECT *, row_number() OVER (PARTITION BY left_id ORDER BY d, right_id) AS k FROM j) WHERE k <= 5""")
 def spatial_knn(spark, sf_dir):

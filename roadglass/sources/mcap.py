@@ -82,7 +82,10 @@ def read(spark: SparkSession, path: str, module: str = MODULE) -> DataFrame:
 
 
 def summaries(spark: SparkSession, path: str, module: str = MODULE) -> DataFrame:
-    """(path, topic, schema_name, messages, start_ns, end_ns) of each file's topics, by its summary alone; times are the file's."""
+    """(path, topic, schema_name, messages, start_ns, end_ns) of each file's topics, by its summary alone; times are the file's.
+
+    Files without a summary are passed over; without statistics counts and times are null.
+    """
     files = spark.createDataFrame([(p,) for p in messages.bag_files(path)], "path string")
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,10 +95,13 @@ def summaries(spark: SparkSession, path: str, module: str = MODULE) -> DataFrame
             for name in batch["path"].to_pylist():
                 with open(name, "rb") as stream:
                     told = make_reader(stream).get_summary()
+                if told is None:  # files without a summary are passed over
+                    continue
+                facts = told.statistics
                 for key, channel in sorted(told.channels.items()):
                     schema = told.schemas.get(channel.schema_id)
-                    facts = told.statistics
-                    rows.append((name, channel.topic, schema.name if schema else None, facts.channel_message_counts.get(key, 0), facts.message_start_time, facts.message_end_time))
+                    numbers = (facts.channel_message_counts.get(key, 0), facts.message_start_time, facts.message_end_time) if facts else (None,) * 3
+                    rows.append((name, channel.topic, schema.name if schema else None, *numbers))
             kinds = (pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], k) for i, k in enumerate(kinds)], names=["path", "topic", "schema_name", "messages", "start_ns", "end_ns"])
 
@@ -103,5 +109,5 @@ def summaries(spark: SparkSession, path: str, module: str = MODULE) -> DataFrame
 
 
 def topics_by_schema(spark: SparkSession, path: str, schema_name: str, module: str = MODULE) -> DataFrame:
-    """The topics with messages of a schema in any file, in order of name."""
-    return summaries(spark, path, module).where((F.col("schema_name") == schema_name) & (F.col("messages") > 0)).select("topic").distinct().orderBy("topic")
+    """The topics of a schema in any file, in order of name, but for those of which statistics say that they have no messages."""
+    return summaries(spark, path, module).where((F.col("schema_name") == schema_name) & (F.coalesce("messages", F.lit(1)) > 0)).select("topic").distinct().orderBy("topic")

@@ -26,7 +26,7 @@ def asked(folder):
 
 
 def test_messages_in_log_order(spark, bags):
-    got = messages.scan(mcap.read(spark, str(bags), "fake_bags")).collect()
+    got = messages.scan(mcap.read(spark, str(bags), "fake_bags")).orderBy(*messages.ORDER).collect()
     assert len(got) == 160 and [(r["file_seq"], r["log_time_ns"]) for r in got] == sorted((r["file_seq"], r["log_time_ns"]) for r in got)
     assert bytes(got[0]["data"]) == b"0.0" and {r["schema_name"] for r in got} == set(KINDS.values())
 
@@ -45,6 +45,14 @@ def test_topics_by_summaries_alone(spark, bags):
     assert asked(bags) and all(x == {"summary": True} for x in asked(bags))
 
 
+def test_files_without_summary_or_statistics(spark, bags):
+    (bags / "part_0.mcap").rename(bags / "nosummary_0.mcap")
+    (bags / "part_1.mcap").rename(bags / "nostatistics_1.mcap")
+    got = mcap.summaries(spark, str(bags), "fake_bags").collect()
+    assert {(r["path"].split("/")[-1], r["messages"]) for r in got} == {("nostatistics_1.mcap", None), ("part_2.mcap", 20)}
+    assert [r["topic"] for r in mcap.topics_by_schema(spark, str(bags), "sensor_msgs/msg/Imu", "fake_bags").collect()] == ["/imu", "/imu2"]
+
+
 def test_what_is_printed_is_logged(tmp_path, capsys):
     with sinks.logged(str(tmp_path / "new"), "run.log") as path:
         print("one step")

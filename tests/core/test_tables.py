@@ -95,12 +95,52 @@ def test_events_csv_has_a_header_without_rows(spark, tmp_path):
     assert next((tmp_path / "e").glob("*.csv")).read_text().strip() == "t_ns,lat,lon,maneuver_type,magnitude"
 
 
-def test_review_retries_once(spark):
+def asks(folder):
+    return sorted(p.read_text() for p in folder.glob("*.asked"))
+
+
+def test_review_asks_each_frame_once_or_twice(spark, tmp_path):
+    """A client that answers at random: no frame is lost or repeated, and none is asked more than twice."""
+    note = tmp_path / "asked"
+    note.mkdir()
+
+    def ask(prompt: str) -> str:
+        import random
+        import uuid
+
+        (note / f"{uuid.uuid4().hex}.asked").write_text(prompt.split("\n")[0])
+        return '{"frame_ok": true, "n": %f}' % random.random() if random.random() < 0.5 else "no { idea"
+
+    frames = spark.createDataFrame([(i, f"frame {i}") for i in range(200)], "id long, prompt string").repartition(7)
+    out = sinks.review(frames, ask, ["id"], str(tmp_path / "answers"))
+    got, again = out.collect(), out.collect()
+    assert sorted(r["id"] for r in got) == list(range(200)) and sorted(map(str, got)) == sorted(map(str, again))
+    calls = {f"frame {r['id']}": r["calls"] for r in got}
+    asked = asks(note)
+    assert {a: asked.count(a) for a in set(asked)} == calls and set(calls.values()) == {1, 2}
+    failed = [r for r in got if not r["parse_ok"]]
+    assert failed and all(r["calls"] == 2 for r in failed)
+    for r in failed:
+        told = json.loads(r["parsed"])
+        assert told["frame_ok"] is None and told["raw_response"] == r["answer"] == "no { idea" and told["overall_notes"] == ""
+        assert [(x["category"], x["severity"], x["region"]) for x in told["issues"]] == [("other", "high", None)]
+    # with the same folder nothing is asked again, and more frames are
+    sinks.review(frames, ask, ["id"], str(tmp_path / "answers")).collect()
+    assert asks(note) == asked
+    more = frames.unionByName(spark.createDataFrame([(200, "frame 200")], "id long, prompt string"))
+    assert sinks.review(more, ask, ["id"], str(tmp_path / "answers")).count() == 201
+    assert set(asks(note)) - set(asked) == {"frame 200"}
+    with pytest.raises(ValueError):
+        sinks.review(frames.unionByName(frames), ask, ["id"], str(tmp_path / "other"))
+
+
+def test_review_retries_with_a_reminder(spark, tmp_path):
     def ask(prompt: str) -> str:
         return '{"ok": true}' if "JSON" in prompt or prompt == "good" else "well"
 
-    got = {r["prompt"]: r["parse_ok"] for r in sinks.review(spark.createDataFrame([("good",), ("bad",)], "prompt string"), ask).collect()}
-    assert got == {"good": True, "bad": True}
+    rows = spark.createDataFrame([("good", "x"), ("bad", None), ("", "y")], "prompt string, answered string")
+    got = {r["prompt"]: (r["parse_ok"], r["calls"], r["answered"]) for r in sinks.review(rows, ask, ["prompt"], str(tmp_path)).collect()}
+    assert got == {"good": (True, 1, "x"), "bad": (True, 2, None), "": (True, 2, "y")}
 
 
 def test_bag_files(tmp_path):

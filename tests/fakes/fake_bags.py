@@ -21,12 +21,15 @@ class Reader:
 
     def get_summary(self):
         self._note(summary=True)
+        if "nosummary" in self.path:
+            return None
         names = sorted({(r["topic"], r["schema"]) for r in self.rows})
         channels = {i: SimpleNamespace(topic=t, schema_id=i) for i, (t, _) in enumerate(names)}
         schemas = {i: SimpleNamespace(name=s) for i, (_, s) in enumerate(names)}
         counts = {i: sum((r["topic"], r["schema"]) == n for r in self.rows) for i, n in enumerate(names)}
         times = [r["t"] for r in self.rows] or [0]
-        return SimpleNamespace(channels=channels, schemas=schemas, statistics=SimpleNamespace(channel_message_counts=counts, message_start_time=min(times), message_end_time=max(times)))
+        facts = SimpleNamespace(channel_message_counts=counts, message_start_time=min(times), message_end_time=max(times))
+        return SimpleNamespace(channels=channels, schemas=schemas, statistics=None if "nostatistics" in self.path else facts)
 
 
 def make_reader(stream):
