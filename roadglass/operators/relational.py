@@ -110,6 +110,11 @@ def frame_key(position: Column, n: Column) -> Column:
     return F.concat(F.repeat(F.lit("0"), F.greatest(F.lit(0), width - F.length(text))), text)
 
 
+def every_nth(items: Column, n: int, first: int = 0) -> Column:
+    """Elements first, first + n, ... of an array; none of an empty one, null of null."""
+    return F.filter(items, lambda x, i: (i >= first) & ((i - first) % n == 0))
+
+
 def round_robin(rows: DataFrame, key: str, endpoints: int, block: int = 4096) -> DataFrame:
     """Adds ``endpoint``, (number in order of an integer key) mod ``endpoints``.
 

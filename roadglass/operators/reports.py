@@ -98,6 +98,12 @@ def sweep_peaks(grid: DataFrame, step: str, score: str) -> DataFrame:
     return rows.agg(F.min_by(step, F.struct(-F.col(score), F.col(step))).alias("best_step"), F.count_if(F.col("_peak")).alias("n_peaks"), F.round(at(F.max) / at(F.min), 6).alias("ratio"))
 
 
+def contrast(grid: DataFrame, by: Sequence[str], score: str, least: float) -> DataFrame:
+    """(by, ratio, verdict): the best score of a sweep over its worst, and GO where that is ``least`` or more; null and NO where the worst is 0."""
+    ratio = F.try_divide(F.max(score), F.min(score))
+    return grid.groupBy(*by).agg(ratio.alias("ratio")).withColumn("verdict", F.when(F.col("ratio") >= least, "GO").otherwise("NO"))
+
+
 def mutual_information(rows: DataFrame, a: str, b: str, bins: int = 16, least: int = 20) -> DataFrame:
     """One row: mutual information in nats of two columns over equal-width bins; 0 below ``least`` rows."""
     ends = rows.agg(*[f(c).alias(f"{n}{c}") for c in (a, b) for n, f in (("lo_", F.min), ("hi_", F.max))])

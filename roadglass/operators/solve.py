@@ -7,11 +7,11 @@ the driver. Levenberg-Marquardt works on these six unknowns.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Generator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import geo
@@ -90,14 +90,40 @@ def without_weak(step: np.ndarray, h: np.ndarray, share: float) -> np.ndarray:
     return step - weak @ (weak.T @ step)
 
 
-def align(points: DataFrame, target: DataFrame, start: np.ndarray, gates: list[float], huber: float = 0.1, point_id: str = "point", target_id: str = "target", steps: int = 20, tolerance: float = 1e-6, weak: float = 0.0) -> tuple[np.ndarray, float, int]:
-    """(pose, rms, matches) from coarse to fine gates. A step is kept only if the mean cost falls."""
-    points, target, pose = points.cache(), target.cache(), start.copy()
+@dataclass
+class Term:
+    """Points against a target, and how much they weigh in a joint alignment."""
+
+    points: DataFrame
+    target: DataFrame
+    weight: float = 1.0
+    point_id: str = "point"
+    target_id: str = "target"
+
+
+def combined(sums: Sequence[Sums], weights: Sequence[float]) -> Sums:
+    """One system of several terms, each by the number of its matches, so that a term of few points isn't drowned by one of many."""
+    h, g, cost = np.zeros((6, 6)), np.zeros(6), 0.0
+    for s, w in zip(sums, weights):
+        n = max(s.n, 1)
+        h, g, cost = h + w * s.h / n, g + w * s.g / n, cost + w * s.cost / n
+    return Sums(h, g, cost, sum(s.squares for s in sums), sum(s.n for s in sums))
+
+
+def align_terms(terms: Sequence[Term], start: np.ndarray, gates: list[float], huber: float = 0.1, steps: int = 20, tolerance: float = 1e-6, weak: float = 0.0) -> tuple[np.ndarray, float, list[int]]:
+    """(pose, rms, matches of each term): one pose that moves the points of all terms, from coarse to fine gates. A step is kept only if the cost falls."""
+    kept = [Term(t.points.cache(), t.target.cache(), t.weight, t.point_id, t.target_id) for t in terms]
+    pose = start.copy()
+
+    def at(p: np.ndarray, gate: float) -> tuple[Sums, list[int]]:
+        each = [evaluate(t.points, t.target, p, gate, huber, t.point_id, t.target_id) for t in kept]
+        return combined(each, [t.weight for t in kept]), [s.n for s in each]
+
     try:
-        now = evaluate(points, target, pose, gates[0], huber, point_id, target_id)
+        now, matches = at(pose, gates[0])
         for gate in gates:
             damping = DAMPING
-            now = evaluate(points, target, pose, gate, huber, point_id, target_id)
+            now, matches = at(pose, gate)
             for _ in range(steps):
                 if now.n < 6:
                     break
@@ -107,19 +133,26 @@ def align(points: DataFrame, target: DataFrame, start: np.ndarray, gates: list[f
                         step = without_weak(step, now.h, weak)
                     step = np.concatenate([np.clip(step[:3], -MOST_TURN, MOST_TURN), np.clip(step[3:], -MOST_SHIFT, MOST_SHIFT)])
                     tried = se3_exp(step) @ pose
-                    then = evaluate(points, target, tried, gate, huber, point_id, target_id)
-                    if then.n >= 6 and then.cost / then.n < now.cost / now.n:
-                        pose, now, damping = tried, then, max(LEAST_DAMPING, damping * EASE)
+                    then, found = at(tried, gate)
+                    if then.n >= 6 and then.cost < now.cost:
+                        pose, now, matches, damping = tried, then, found, max(LEAST_DAMPING, damping * EASE)
                         break
                     damping = min(MOST_DAMPING, damping * HARDEN)
                 else:
                     break
                 if np.abs(step).max() < tolerance:
                     break
-        return pose, float(np.sqrt(now.squares / max(1, now.n))), now.n
+        return pose, float(np.sqrt(now.squares / max(1, now.n))), matches
     finally:
-        points.unpersist()
-        target.unpersist()
+        for t in kept:
+            t.points.unpersist()
+            t.target.unpersist()
+
+
+def align(points: DataFrame, target: DataFrame, start: np.ndarray, gates: list[float], huber: float = 0.1, point_id: str = "point", target_id: str = "target", steps: int = 20, tolerance: float = 1e-6, weak: float = 0.0) -> tuple[np.ndarray, float, int]:
+    """(pose, rms, matches) of one term, from coarse to fine gates."""
+    pose, rms, matches = align_terms([Term(points, target, 1.0, point_id, target_id)], start, gates, huber, steps, tolerance, weak)
+    return pose, rms, matches[0]
 
 
 def costs_of(rows: DataFrame, cost: Callable[[Sequence], "F.Column"], names: int) -> Callable[[np.ndarray], np.ndarray]:
@@ -135,21 +168,21 @@ def costs_of(rows: DataFrame, cost: Callable[[Sequence], "F.Column"], names: int
     return evaluate_all
 
 
-def minimise(costs: Callable[[np.ndarray], np.ndarray], start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 40, step: float = 1e-4, tolerance: float = 1e-10) -> tuple[np.ndarray, float]:
-    """(parameters, cost) of a minimum inside a box, by projected BFGS.
+def descent(start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 40, step: float = 1e-4, tolerance: float = 1e-10) -> Generator[np.ndarray, np.ndarray, tuple[np.ndarray, float]]:
+    """Projected BFGS inside a box as a generator: it yields settings, is sent their costs, and returns (parameters, cost).
 
-    Gradients are central differences, so a round takes two calls of ``costs``:
-    all differences at once, then all lengths of the line search at once.
+    Gradients are central differences, so a round takes two calls: all differences
+    at once, then all lengths of the line search at once.
     """
     low, high = np.asarray(low, float), np.asarray(high, float)
     x = np.clip(np.asarray(start, float), low, high)
     wide = step * np.maximum(high - low, 1e-12)
     h, old = np.eye(len(x)), None
-    value = float(costs(x[None])[0])
+    value = float((yield x[None])[0])
     for _ in range(rounds):
         up, down = np.minimum(x + wide, high), np.maximum(x - wide, low)
         around = np.concatenate([np.where(np.eye(len(x), dtype=bool), up, x), np.where(np.eye(len(x), dtype=bool), down, x)])
-        c = costs(around)
+        c = yield around
         g = (c[: len(x)] - c[len(x) :]) / np.maximum(up - down, 1e-300)
         if old is not None:
             s, y = x - old[0], g - old[1]
@@ -162,9 +195,63 @@ def minimise(costs: Callable[[np.ndarray], np.ndarray], start: Sequence[float],
             way, h = np.where(free, -g, 0.0), np.eye(len(x))
         size = 1.0 if old is not None else min(1.0, float(np.max(high - low)) / 4 / max(float(np.abs(way).max()), 1e-300))
         tried = np.clip(x + way * (size * 0.5 ** np.arange(12))[:, None], low, high)
-        c = costs(tried)
+        c = yield tried
         best = int(np.argmin(c))
         if not c[best] < value - tolerance * max(1.0, abs(value)):
             break
         old, x, value = (x, g), tried[best], float(c[best])
     return x, value
+
+
+def minimise(costs: Callable[[np.ndarray], np.ndarray], start: Sequence[float], low: Sequence[float], high: Sequence[float], rounds: int = 40, step: float = 1e-4, tolerance: float = 1e-10) -> tuple[np.ndarray, float]:
+    """(parameters, cost) of a minimum inside a box, by projected BFGS (``descent``)."""
+    search = descent(start, low, high, rounds, step, tolerance)
+    asked = next(search)
+    while True:
+        try:
+            asked = search.send(costs(asked))
+        except StopIteration as found:
+            return found.value
+
+
+def costs_by_key(rows: DataFrame, key: str, cost: Callable[[Sequence[Column]], Column], names: int) -> Callable[[dict], dict]:
+    """Sums of a cost for each key, each with settings of its own, in one aggregate over the rows.
+
+    ``cost`` makes a column from columns of parameters. Settings travel as a table by key, an array of them in each row, so keys can be many.
+    """
+    kind = rows.schema[key].dataType.simpleString()
+
+    def evaluate_all(asked: dict) -> dict:
+        table = [(k, [[float(v) for v in s[:names]] for s in settings]) for k, settings in asked.items()]
+        settings = rows.sparkSession.createDataFrame(table, f"`{key}` {kind}, _settings array<array<double>>")
+        each = rows.join(settings, key).select("*", F.posexplode("_settings").alias("_at", "_p"))
+        sums = each.groupBy(key, "_at").agg(F.sum(cost([F.col("_p")[i] for i in range(names)])).alias("c")).collect()
+        out = {k: np.full(len(s), np.inf) for k, s in asked.items()}
+        for r in sums:
+            out[r[key]][r["_at"]] = r["c"]
+        return out
+
+    return evaluate_all
+
+
+def minimise_many(costs: Callable[[int], Callable[[dict], dict]], starts: dict, low: Sequence[float], high: Sequence[float], stages: int = 1, **how) -> dict:
+    """Key to (parameters, cost): a bounded fit for each key, all in step, a round of all of them in one aggregate.
+
+    ``costs`` gives the costs by key of a stage of the schedule (a finer blur, a
+    narrower gate); each stage starts where the one before ended. A key whose fit has
+    ended is not asked for again in its stage.
+    """
+    found = {k: (np.asarray(x, float), np.inf) for k, x in starts.items()}
+    for stage in range(stages):
+        ask = costs(stage)
+        searches = {k: descent(x, low, high, **how) for k, (x, _) in found.items()}
+        asked = {k: next(s) for k, s in searches.items()}
+        while asked:
+            told, following = ask(asked), {}
+            for k in asked:
+                try:
+                    following[k] = searches[k].send(told[k])
+                except StopIteration as done:
+                    found[k] = done.value
+            asked = following
+    return found

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import camera, reports, series, solve
+from ..operators import relational as R
 from ..sources import dataset, messages, pcd, sinks
 from .base import EMB, SIG, emb, query, sig, table
 from .relations import _checkpoints
@@ -149,12 +150,13 @@ def track_arrays(spark, sf_dir):
     return camera.observations(camera.tracks(flat, "track", "at", ["t_ns", "u", "v"]), "track", "points")
 
 
-@query("strided_arrays", "SELECT vec_id, array_to_string(list_transform(range(1, len(embedding) + 1, 8), lambda i: round(CAST(embedding[i] AS DOUBLE), 4) + 0.0), ',') IS NOT NULL AS any, len(range(1, len(embedding) + 1, 8)) AS n, round(list_sum(list_transform(range(1, len(embedding) + 1, 8), lambda i: CAST(embedding[i] AS DOUBLE))), 5) + 0.0 AS total FROM embeddings")
+@query("strided_arrays", "SELECT vec_id, len(range(3, len(embedding) + 1, 8)) AS n, array_to_string(list_transform(range(3, len(embedding) + 1, 8), lambda i: round(CAST(embedding[i] AS DOUBLE), 3) = 0), ',') AS zeros, round(list_sum(list_transform(range(3, len(embedding) + 1, 8), lambda i: CAST(embedding[i] AS DOUBLE))), 5) + 0.0 AS total FROM embeddings")
 def strided_arrays(spark, sf_dir):
-    """Every eighth element of an array."""
-    part = F.filter("embedding", lambda x, i: i % 8 == 0)
+    """Every eighth element of an array, from its third on."""
+    part = R.every_nth(F.col("embedding"), 8, 2)
     total = F.aggregate(part, F.lit(0.0), lambda a, x: a + x.cast("double"))
-    return table(spark, sf_dir, "embeddings").select("vec_id", F.lit(True).alias("any"), F.size(part).cast("long").alias("n"), (F.round(total, 5) + 0.0).alias("total"))
+    zeros = F.array_join(F.transform(part, lambda x: (F.round(x.cast("double"), 3) == 0).cast("string")), ",")
+    return table(spark, sf_dir, "embeddings").select("vec_id", F.size(part).cast("long").alias("n"), zeros.alias("zeros"), (F.round(total, 5) + 0.0).alias("total"))
 
 
 @query("rle_masks", """WITH g AS (SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) % 5 AS a, 1 + event_id % 7 AS b FROM events), p AS (SELECT event_id, unnest(range(a, a + b)) AS p FROM g)
@@ -289,5 +291,14 @@ SELECT edge, round(ratio, 6) AS ratio, CASE WHEN ratio >= 1.5 THEN 'GO' ELSE 'NO
 def sweep_verdict(spark, sf_dir):
     """Whether each class of edges tells settings apart: the best score over the worst."""
     grid = sig(spark, sf_dir).groupBy(F.col("event_type").alias("edge"), "k").agg(F.round(F.avg("value"), 9).alias("score"))
-    ratio = F.max("score") / F.min("score")
-    return grid.groupBy("edge").agg(F.round(ratio, 6).alias("ratio"), F.when(ratio >= 1.5, "GO").otherwise("NO").alias("verdict"))
+    return reports.contrast(grid, ["edge"], "score", 1.5).withColumn("ratio", F.round("ratio", 6))
+
+
+@query("bounded_fits", f"""WITH {SIG} SELECT event_type AS key, round(regr_slope(value / 100, k / 50), 3) + 0.0 AS slope, round(regr_intercept(value / 100, k / 50), 3) + 0.0 AS intercept FROM sig GROUP BY 1""")
+def bounded_fits(spark, sf_dir):
+    """A line through the values of each kind of event: all fits in step, each round one aggregate."""
+    rows = sig(spark, sf_dir).select(F.col("event_type").alias("key"), (F.col("value") / 100).alias("y"), (F.col("k") / 50).alias("x"))
+    n = {r["key"]: r["count"] for r in rows.groupBy("key").count().collect()}
+    off = lambda p: p[0] * F.col("x") + p[1] - F.col("y")
+    found = solve.minimise_many(lambda stage: solve.costs_by_key(rows, "key", lambda p: off(p) * off(p) / 1000, 2), {k: [0.0, 0.0] for k in n}, [-50, -50], [50, 50], rounds=60, tolerance=1e-13)
+    return spark.createDataFrame([(k, *(round(float(v), 3) + 0.0 for v in x)) for k, (x, _) in sorted(found.items())], "key string, slope double, intercept double")

@@ -220,3 +220,26 @@ def sweep_grid(spark, sf_dir):
 def reprojection(spark, sf_dir):
     seen = emb(spark, sf_dir).withColumns({"u": F.col("vec_id").cast("double"), "v": F.col("vec_id").cast("double")})
     return camera.reprojection(seen, (300.0, 300.0, 320.0, 240.0), nearest=0.02).select("vec_id", F.round("du", 5).alias("du"), F.round("dv", 5).alias("dv"))
+
+
+@query("identifiability", f"""WITH {EMB}, s AS (SELECT a, i, -0.5 + i * 0.1 AS o FROM (SELECT unnest(range(4)) AS a), (SELECT unnest(range(11)) AS i)),
+g AS (SELECT scan AS camera, CASE WHEN vec_id % 2 = 0 THEN 'occlusion' ELSE 'planar' END AS edge, a, i, o,
+ round(avg(1 / (0.05 + pow(x + CASE WHEN a = 0 THEN o ELSE 0 END, 2) + pow(y - CASE WHEN a = 1 THEN o ELSE 0 END, 2) + CASE WHEN vec_id % 3 = 0 THEN pow(CASE WHEN a = 2 THEN o ELSE 0 END - 0.3, 2) ELSE pow(CASE WHEN a = 2 THEN o ELSE 0 END + 0.3, 2) END)), 9) AS score FROM emb, s GROUP BY ALL),
+n AS (SELECT *, score > lag(score) OVER w AND score > lead(score) OVER w AS top, max(score) OVER (PARTITION BY camera, edge, a) AS best FROM g WINDOW w AS (PARTITION BY camera, edge, a ORDER BY i)),
+h AS (SELECT camera, edge, a, arg_min(o, CASE WHEN score = best THEN i END) AS peak, count(*) FILTER (top) AS n_max, list_sort(list_distinct(list(score) FILTER (top OR score = best)), 'DESC') AS hs FROM n GROUP BY ALL)
+SELECT camera, edge, a AS axis, round(peak, 6) + 0.0 AS peak_value, n_max AS n_local_maxima, CASE WHEN len(hs) > 1 THEN round(hs[1] / hs[2], 6) ELSE -1.0 END AS prominence,
+ round(abs(peak), 6) <= 0.15 AND (len(hs) < 2 OR hs[1] / hs[2] >= 1.05) AS passes FROM h""")
+def identifiability(spark, sf_dir):
+    """Every setting of four parameters against every point, by camera and class of edges, in one pass."""
+    from ..operators import sweeps
+
+    e = emb(spark, sf_dir).withColumns({"camera": F.col("scan"), "edge": F.when(F.col("vec_id") % 2 == 0, "occlusion").otherwise("planar")})
+    square = lambda c: c * c
+    third = F.when(F.col("vec_id") % 3 == 0, -0.3).otherwise(0.3)
+    rows = e.withColumn("third", third)
+    zero = F.lit(0.0)
+    score = lambda p: 1 / (0.05 + square(F.col("x") + p[0]) + square(F.col("y") - p[1]) + square(p[2] + F.col("third")))
+    grid = sweeps.scores(rows, ["camera", "edge"], [zero] * 4, [0.5] * 4, 11, score)
+    grid = grid.withColumns({"score": F.round("score", 9), "value": F.round("value", 6)})
+    found = sweeps.peaks(grid, ["camera", "edge"], [0.15] * 4)
+    return found.select("camera", "edge", F.col("axis").cast("int").alias("axis"), (F.col("peak_value") + 0.0).alias("peak_value"), "n_local_maxima", F.when(F.col("prominence") < float("inf"), F.round("prominence", 6)).otherwise(-1.0).alias("prominence"), "passes")
