@@ -18,11 +18,15 @@ of encoding and length, over all candidates of the corpus:
 - the battery's combined p-values: where they are small enough for the class,
   the candidate is not random (a word, counter or repeat). Of those rejected so
   at most ``rate`` are random strings in truth.
-- passing says little for a short string, so the chi-squared statistic of what
-  passes is also held against ordinary text: the chance that text of this
-  length, over the same alphabet, repeats its symbols as rarely. Of those
+- passing says little for a short string, so what passes is also held against
+  ordinary text: the chance that text of this length, over the same alphabet,
+  repeats its symbols as rarely (the chi-squared statistic), changes between
+  lower case, upper case and digits as often (the runs), and has as many digits;
+  Fisher's method combines those of the three that the alphabet has. Of those
   reported at most ``rate`` are such text. Letters have their shares in the
-  corpus outside of runs (blended with LETTERS letters of English).
+  corpus outside of runs (blended with LETTERS letters of English); changes and
+  digits have the corpus's rates in words, but at least those of names written in
+  camel case and of names with a digit in ten characters.
 
 One pass counts the letters, the next a histogram of fixed size, from which the
 driver takes two limits for each class.
@@ -81,6 +85,8 @@ ENCODINGS = {
 }
 #: Per cent of each letter in English prose, a to z.
 LETTER_SHARES = (8.2, 1.5, 2.8, 4.3, 12.7, 2.2, 2.0, 6.1, 7.0, 0.15, 0.77, 4.0, 2.4, 6.7, 7.5, 1.9, 0.095, 6.0, 6.3, 9.1, 2.8, 0.98, 2.4, 0.15, 2.0, 0.074)
+#: Least rates of ordinary text: changes of the kind of character from one to the next, as in camel case with words of eight letters, and digits.
+CHANGES, DIGIT_SHARE = 1 / 8, 0.1
 #: Letters of English that the corpus's own are blended with.
 LETTERS = 20_000
 #: Lower ends of the length classes.
@@ -94,6 +100,7 @@ class Limits(NamedTuple):
 
     letters: tuple[int, ...]
     classes: dict[tuple[str, int], tuple[int, int]]
+    mix: tuple[float, float] = (CHANGES, DIGIT_SHARE)  # rates of changes and of digits in words
 
 
 def _tail(z: float) -> float:
@@ -109,6 +116,9 @@ def infer(run: str) -> str | None:
     return next((name for name, alphabet in _SETS.items() if found <= alphabet), None)
 
 
+#: Kind of each character: a, A or 0.
+_KIND = {c: k for k, cs in (("a", LOWER), ("A", UPPER), ("0", DIGITS)) for c in cs}
+_KINDS = {**{i: " " for i in range(128)}, **{ord(c): k for c, k in _KIND.items()}}
 _SETS = {k: frozenset(v) for k, v in ENCODINGS.items()}
 _PLACES = {k: {c: i for i, c in enumerate(v)} for k, v in ENCODINGS.items()}
 
@@ -143,21 +153,46 @@ def _text_moments(encoding: str, letters: tuple[int, ...]) -> tuple[float, float
     return sum((w / total) ** 2 for w in weights), sum((w / total) ** 3 for w in weights)
 
 
-def moments(letters: tuple[int, ...] = (0,) * 26) -> dict[str, tuple[float, float]]:
-    return {k: _text_moments(k, letters) for k in ENCODINGS if k != "decimal"}
+def moments(letters: tuple[int, ...] = (0,) * 26, mix: tuple[float, float] = (CHANGES, DIGIT_SHARE)) -> dict[str, tuple[float, ...]]:
+    """By encoding the chances of two and three equal symbols, and the rates of changes and digits; None where the alphabet has neither."""
+    out = {}
+    for k, alphabet in ENCODINGS.items():
+        if k != "decimal":
+            kinds = {_KIND[c] for c in alphabet if c in _KIND}
+            out[k] = (*_text_moments(k, letters), mix[0] if len(kinds) > 1 else None, mix[1] if "0" in kinds else None)
+    return out
+
+
 
 
 ENGLISH = moments()
 
 
-def text_chance(run: str, encoding: str, of: dict[str, tuple[float, float]] = ENGLISH) -> float:
-    """Chance that ordinary text of this length has as low a chi-squared statistic, that is, repeats its symbols as rarely."""
+def _above(found: int, n: int, rate: float) -> float:
+    """Chance of as many hits in n tries at this rate."""
+    return _tail((found - 0.5 - n * rate) / math.sqrt(n * rate * (1 - rate))) if n else 1.0
+
+
+def changes_of(kinds: str) -> int:
+    """How often the kind changes from one character to the next; a small letter behind a capital is no change, as words begin so."""
+    return sum(map(kinds.count, ("aA", "a0", "A0", "0a", "0A")))
+
+
+def text_chance(run: str, encoding: str, of: dict[str, tuple[float, ...]] = ENGLISH) -> float:
+    """Chance that ordinary text of this length repeats its symbols as rarely, changes its kind as often and has as many digits, by Fisher's method."""
     n = len(run)
-    two, three = of[encoding]
+    two, three, change, digit = of[encoding]
     pairs = sum(c * (c - 1) for c in Counter(run).values())
     mean = n * (n - 1) * two
     spread = math.sqrt(max(4 * n * (n - 1) * (n - 2) * (three - two * two), 0.0) + 2 * n * (n - 1) * two * (1 - two))
-    return max(_tail((mean - pairs) / spread), 1e-40)
+    chances = [_tail((mean - pairs) / spread)]
+    kinds = run.translate(_KINDS)
+    if change is not None:
+        chances.append(_above(changes_of(kinds), n - 1, change))
+    if digit is not None:
+        chances.append(_above(kinds.count("0"), n, digit))
+    x = -sum(math.log(max(p, 1e-40)) for p in chances)
+    return max(math.exp(-x) * sum(x**k / math.factorial(k) for k in range(len(chances))), 1e-40)
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -181,7 +216,7 @@ class Candidate(NamedTuple):
     text: int
 
 
-def candidates(text: str, base: list[tuple[int, int, int]] | None = None, of: dict[str, tuple[float, float]] = ENGLISH) -> list[Candidate]:
+def candidates(text: str, base: list[tuple[int, int, int]] | None = None, of: dict[str, tuple[float, ...]] = ENGLISH) -> list[Candidate]:
     """Runs and their parts outside the base spans, by start; parts overlap the runs they are of."""
     out: list[Candidate] = []
     starts: list[int] = []
@@ -210,18 +245,32 @@ def candidates(text: str, base: list[tuple[int, int, int]] | None = None, of: di
     return out
 
 
-def letter_counts(df: DataFrame, text_col: str = "text") -> tuple[int, ...]:
-    """How often each letter a to z occurs in the corpus, in either case, outside of runs."""
+def letter_counts(df: DataFrame, text_col: str = "text") -> tuple[tuple[int, ...], tuple[float, float]]:
+    """How often each letter a to z occurs in the corpus, in either case, outside of runs; and the rates of changes and digits in its words.
+
+    Words are of letters and digits of ASCII, and digits count where a word has letters too.
+    """
+    names = [*(f"c{i}" for i in range(26)), "pairs", "changes", "characters", "digits"]
 
     def make():
         def work(rows):
-            texts = "\n".join(RUN.sub(" ", t) for t in rows[text_col] if t).lower()
-            return {f"c{i}": [texts.count(chr(97 + i))] for i in range(26)}
+            texts = "\n".join(RUN.sub(" ", t) for t in rows[text_col] if t)
+            low, kinds = texts.lower(), texts.encode("ascii", "replace").decode().translate(_KINDS)
+            mixed = [w for w in _WITH_DIGIT.findall(kinds) if "a" in w or "A" in w]
+            characters = sum(map(kinds.count, "aA")) + sum(w.count("0") for w in mixed)
+            starts = len(_STARTS.findall(kinds))
+            made = [*(low.count(chr(97 + i)) for i in range(26)), sum(map(kinds.count, "aA0")) - starts, changes_of(kinds), characters, sum(w.count("0") for w in mixed)]
+            return {c: [n] for c, n in zip(names, made)}
 
         return work
 
-    found = common.map_texts(df, [text_col], ", ".join(f"c{i} long" for i in range(26)), make).agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(26)]).first()
-    return tuple(int(n or 0) for n in found)
+    found = common.map_texts(df, [text_col], ", ".join(f"{c} long" for c in names), make).agg(*[F.sum(c).alias(c) for c in names]).first()
+    n = [int(x or 0) for x in found]
+    return tuple(n[:26]), (min(0.9, max(CHANGES, n[27] / max(1, n[26]))), min(0.9, max(DIGIT_SHARE, n[29] / max(1, n[28]))))
+
+
+#: In a text of kinds: words with a digit, and starts of words.
+_WITH_DIGIT, _STARTS = re.compile("[aA]*0[aA0]*"), re.compile("(?<![aA0])[aA0]")
 
 
 def controlled(counts: Counter, rate: float) -> int | None:
@@ -236,8 +285,8 @@ def controlled(counts: Counter, rate: float) -> int | None:
 
 def fit_limits(df: DataFrame, text_col: str = "text", rate: float = 0.01) -> Limits:
     """Letters and limits over all rows. At most len(ENCODINGS) x len(LENGTHS) x RANDOM_BINS x BINS counts reach the driver."""
-    letters = letter_counts(df, text_col)
-    of = moments(letters)
+    letters, mix = letter_counts(df, text_col)
+    of = moments(letters, mix)
 
     def make():
         def work(rows):
@@ -263,14 +312,14 @@ def fit_limits(df: DataFrame, text_col: str = "text", rate: float = 0.01) -> Lim
                 passed[level] += n
         if (not_text := controlled(passed, rate)) is not None:
             limits[kind] = (not_random, not_text)
-    return Limits(letters, limits)
+    return Limits(letters, limits, mix)
 
 
-def all_spans(text: str, limits: Limits, of: dict[str, tuple[float, float]] | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
+def all_spans(text: str, limits: Limits, of: dict[str, tuple[float, ...]] | None = None) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and all spans, as (start, kind number, end)."""
     base = base_spans(text)
     found = []
-    for x in candidates(text, base, moments(limits.letters) if of is None else of):
+    for x in candidates(text, base, moments(limits.letters, limits.mix) if of is None else of):
         not_random, not_text = limits.classes.get(x.kind, (0, 0))
         if x.random < not_random and x.text >= not_text:
             found.append(x)
@@ -292,7 +341,7 @@ def scan(df: DataFrame, limits: Limits | None = None, id_col: str = "doc_id", te
         limits = fit_limits(df, text_col)
 
     def make():
-        of = moments(limits.letters)
+        of = moments(limits.letters, limits.mix)
 
         def work(rows):
             out = {c: [] for c in ("n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans")}
@@ -326,7 +375,7 @@ def redact(df: DataFrame, limits: Limits | None = None, text_col: str = "text")
         limits = fit_limits(df, text_col)
 
     def make():
-        of = moments(limits.letters)
+        of = moments(limits.letters, limits.mix)
 
         def work(rows):
             return rows | {text_col: [masked(t, all_spans(t, limits, of)[1]) if t else t for t in rows[text_col]]}

@@ -31,7 +31,15 @@ def plain_battery(run, alphabet):
     return math.exp(-x) * (1 + x + x * x / 2)
 
 
-def plain_text_chance(run, alphabet, letters):
+def kind(c):
+    return next((k for k, cs in (("lower", secrets.LOWER), ("upper", secrets.UPPER), ("digit", secrets.DIGITS)) if c in cs), None)
+
+
+def changed(a, b):
+    return None not in (kind(a), kind(b)) and kind(a) != kind(b) and (kind(a), kind(b)) != ("upper", "lower")
+
+
+def plain_text_chance(run, alphabet, letters, mix=(1 / 8, 0.1)):
     english = sum(secrets.LETTER_SHARES)
     share = {chr(97 + i): letters[i] + secrets.LETTERS * secrets.LETTER_SHARES[i] / english for i in range(26)}
     own = {c: share[c] for c in {x.lower() for x in alphabet if x.isalpha()}}
@@ -39,19 +47,28 @@ def plain_text_chance(run, alphabet, letters):
     two, three, n = sum(x * x for x in q), sum(x**3 for x in q), len(run)
     equal = sum(run[i] == run[j] for i in range(n) for j in range(n) if i != j)
     spread = math.sqrt(4 * n * (n - 1) * (n - 2) * (three - two**2) + 2 * n * (n - 1) * two * (1 - two))
-    return max(math.erfc((n * (n - 1) * two - equal) / spread / math.sqrt(2)) / 2, 1e-40)
+    tail = lambda z: math.erfc(z / math.sqrt(2)) / 2
+    p = [tail((n * (n - 1) * two - equal) / spread)]
+    kinds = {kind(c) for c in alphabet} - {None}
+    if len(kinds) > 1:
+        differ = sum(changed(a, b) for a, b in zip(run, run[1:]))
+        p.append(tail((differ - 0.5 - (n - 1) * mix[0]) / math.sqrt((n - 1) * mix[0] * (1 - mix[0]))))
+    if "digit" in kinds:
+        p.append(tail((sum(kind(c) == "digit" for c in run) - 0.5 - n * mix[1]) / math.sqrt(n * mix[1] * (1 - mix[1]))))
+    x = -sum(math.log(max(v, 1e-40)) for v in p)
+    return max(math.exp(-x) * (1, 1 + x, 1 + x + x * x / 2)[len(p) - 1], 1e-40)
 
 
 def level(p, most):
     return min(most - 1, int(-math.log10(max(p, 1e-300)) * 4))
 
 
-def plain_limits(found, letters, rate):
+def plain_limits(found, letters, mix, rate):
     """Limits of each class from (class, run) of all candidates, by sorting p-values."""
     each = defaultdict(list)
     for kind, run in found:
         alphabet = secrets.ENCODINGS[kind[0]]
-        each[kind].append((level(plain_battery(run, alphabet), secrets.RANDOM_BINS), level(plain_text_chance(run, alphabet, letters), secrets.BINS)))
+        each[kind].append((level(plain_battery(run, alphabet), secrets.RANDOM_BINS), level(plain_text_chance(run, alphabet, letters, mix), secrets.BINS)))
 
     def control(bins):
         kept = None
@@ -91,13 +108,19 @@ def test_limits_against_a_plain_version(spark, corpus):
     texts = [t for _, t in corpus if t]
     outside = " ".join(re.sub(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", " ", t).lower() for t in texts)
     assert limits.letters == tuple(outside.count(chr(97 + i)) for i in range(26))
+    outside = " ".join(re.sub(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}", " ", t) for t in texts)
+    words = re.findall("[A-Za-z0-9]+", outside)
+    differ = sum(changed(a, b) for w in words for a, b in zip(w, w[1:]))
+    named = [w for w in words if not w.isdigit()]
+    rates = differ / sum(len(w) - 1 for w in words), sum(map(str.isdigit, "".join(named))) / len("".join(named))
+    assert limits.mix == pytest.approx((max(1 / 8, rates[0]), max(0.1, rates[1])))
     found = []
     for t in texts:
         base = secrets.base_spans(t)
         for x in secrets.candidates(t):
             assert not any(a < x.end and x.start < b for a, _, b in base)
             found.append((x.kind, t[x.start : x.end]))
-    want = plain_limits(found, limits.letters, 0.01)
+    want = plain_limits(found, limits.letters, limits.mix, 0.01)
     assert limits.classes == want and len(want) >= 5
 
 
@@ -111,7 +134,7 @@ def test_spans_against_a_plain_version(spark, corpus):
         for x in secrets.candidates(text or ""):
             run, alphabet = text[x.start : x.end], secrets.ENCODINGS[x.kind[0]]
             bounds = limits.classes.get(x.kind)
-            if bounds and level(plain_battery(run, alphabet), secrets.RANDOM_BINS) < bounds[0] and (b := level(plain_text_chance(run, alphabet, limits.letters), secrets.BINS)) >= bounds[1]:
+            if bounds and level(plain_battery(run, alphabet), secrets.RANDOM_BINS) < bounds[0] and (b := level(plain_text_chance(run, alphabet, limits.letters, limits.mix), secrets.BINS)) >= bounds[1]:
                 chosen.append((-b, x.start - x.end, x.start, x.end))
         kept = []
         for _, _, a, b in sorted(chosen):
@@ -123,6 +146,32 @@ def test_spans_against_a_plain_version(spark, corpus):
     assert got == sorted(want) and keys > 100
 
 
+NAMES = [
+    "internationalisationFactoryBeanBuilder", "getElementsByTagNameFromDocument", "ThisIsAVeryLongClassNameIndeed", "MAXIMUM_NUMBER_OF_CONNECTIONS", "some_table_name_with_column_names", "https-documentation-installation-overview",
+    "donaudampfschifffahrtsgesellschaft", "release-notes-for-version-2024-11-28", "chapter12section34paragraph56", "BackgroundTaskSchedulerService", "uncharacteristically-long-hyphenated-name", "AbstractSingletonProxyFactoryBean",
+]
+
+
+@pytest.mark.parametrize("encoding, length, least", [("base62", 20, 0.75), ("base62", 24, 0.9), ("base62", 32, 0.97), ("base64url", 24, 0.75), ("base36", 24, 0.8), ("base36", 32, 0.95), ("hex", 20, 0.9), ("HEX", 32, 0.95)])
+def test_how_many_keys_are_found_by_length(spark, encoding, length, least):
+    """Keys in prose with long names of programs: so many are found, and no name or word is."""
+    rng = random.Random(length)
+    words = "the of and thing der und ung schoen les casa nube with from that which report number".split()
+    rows, keys = [], {}
+    for i in range(300):
+        text = rng.choices(words, k=40)
+        text.insert(rng.randrange(40), rng.choice(NAMES))
+        if i % 3 == 0:
+            keys[i] = "".join(rng.choice(secrets.ENCODINGS[encoding]) for _ in range(length))
+            text.insert(rng.randrange(40), keys[i])
+        rows.append((i, " ".join(text)))
+    red = {r["doc_id"]: r["text"] for r in secrets.redact(spark.createDataFrame(rows, ROWS)).collect()}
+    gone = [i for i, k in keys.items() if k not in red[i]]
+    assert len(gone) >= least * len(keys), len(gone) / len(keys)
+    for i, text in rows:
+        assert red[i] == text or (i in keys and red[i].split("[")[0] in text and all(w in red[i] or w == keys[i] for w in text.split()))
+
+
 @pytest.mark.parametrize("form", ["AWS_KEY={} end", "export SESSION={}", "id={}&x=1", "/a/{}/b", "AWS-{}/x_x", "GET /api/v1/{}?q", "key: {}", "token-{}-prod"])
 def test_a_key_in_its_surroundings(spark, form):
     rng = random.Random(5)
