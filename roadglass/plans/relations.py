@@ -215,3 +215,20 @@ def time_unit(spark, sf_dir):
     s = sig(spark, sf_dir).withColumn("stamp", F.when(F.col("value") > 0, F.col("value") * (1_000_000 / 300)))
     return s.groupBy("series").agg(geo.time_unit_ns(F.col("stamp")).alias("unit"))
 
+
+
+@query("settings_overlay", """SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN 'own' WHEN s_nationkey % 3 = 0 THEN 'nation ' || s_nationkey ELSE 'default' END AS origin, CASE WHEN s_nationkey % 3 = 0 THEN s_nationkey ELSE 100 END AS most, CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE 5 END AS least FROM supplier""")
+def settings_overlay(spark, sf_dir):
+    """Nested settings of each supplier: defaults, its nation's document over them, its own over both; an own value ends a whole object."""
+    from ..operators import settings
+
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    text = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    every = s.select("s_suppkey", F.lit("defaults").alias("document"), F.lit(0).alias("rank"), F.lit('{"origin": "default", "limits": {"most": 100, "range": {"least": 5}}}').alias("text"))
+    nations = s.where("s_nationkey % 3 = 0").select("s_suppkey", text("nation ", nation).alias("document"), F.lit(1).alias("rank"), text('{"origin": "nation ', nation, '", "limits": {"most": ', nation, "}}").alias("text"))
+    own = s.where("s_suppkey % 5 = 0").select("s_suppkey", text("own ", key).alias("document"), F.lit(2).alias("rank"), F.lit('{"origin": "own"}').alias("text"))
+    ended = s.where("s_suppkey % 7 = 0").select("s_suppkey", text("range ", key).alias("document"), F.lit(3).alias("rank"), F.lit('{"limits": {"range": "none"}}').alias("text"))
+    docs = every.unionByName(nations).unionByName(own).unionByName(ended).withColumn("body", F.try_parse_json("text"))
+    values = settings.overlaid(settings.leaves(docs, ["s_suppkey"], 3), ["s_suppkey"])
+    return settings.looked_up(s.select("s_suppkey"), values, ["s_suppkey"], {"origin": (["origin"], "string", None), "most": (["limits", "most"], "int", None), "least": (["limits", "range", "least"], "int", None)})
