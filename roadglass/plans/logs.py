@@ -111,14 +111,9 @@ def point_decode(spark, sf_dir):
 
 @query("pcd_files", f"WITH {EMB} SELECT scan, count(*) AS n, round(sum(CAST(CAST(x AS FLOAT) AS DOUBLE)), 4) AS x, round(sum(CAST(CAST(intensity AS FLOAT) AS DOUBLE)), 4) AS intensity, min(CAST(0 AS BIGINT)) AS first FROM emb GROUP BY scan")
 def pcd_files(spark, sf_dir):
-    """A file for each scan, written, and read back."""
+    """A file for each scan, written by its task, and read back."""
     path = _shared(spark, "pcd")
-    files = pcd.encode(emb(spark, sf_dir).withColumn("point", F.col("vec_id")), "scan")
-    for r in files.toLocalIterator():  # scans are few here; one file at a time is on the driver
-        out = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/scan_{r['scan']}.pcd")
-        stream = out.getFileSystem(spark._jsc.hadoopConfiguration()).create(out)
-        stream.write(r["content"])
-        stream.close()
+    pcd.write(emb(spark, sf_dir).withColumns({"point": F.col("vec_id"), "name": F.concat(F.lit("scan_"), F.col("scan").cast("string"))}), path, "name")
     back = pcd.read(spark, path)
     scan = F.regexp_extract("path", r"scan_(-?\d+)\.pcd$", 1).cast(emb(spark, sf_dir).schema["scan"].dataType)
     return back.groupBy(scan.alias("scan")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum(F.col("x").cast("double")), 4).alias("x"), F.round(F.sum(F.col("intensity").cast("double")), 4).alias("intensity"), F.min("point").alias("first"))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import re
+import uuid
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,7 +14,7 @@ from pyspark.sql import functions as F
 SCHEMA = "path string, point long, x float, y float, z float, intensity float"
 
 
-def header(n: int, intensity: bool = True) -> bytes:
+def header(n: int | str, intensity: bool = True) -> bytes:
     fields = ["x", "y", "z"] + ["intensity"] * intensity
     lines = [
         "# .PCD v0.7 - Point Cloud Data file format", "VERSION 0.7", "FIELDS " + " ".join(fields), "SIZE" + " 4" * len(fields), "TYPE" + " F" * len(fields),
@@ -50,3 +54,48 @@ def encode(points: DataFrame, key: str, order: str = "point") -> DataFrame:
         return pdf[[key]].iloc[:1].assign(content=header(len(body)) + body.tobytes())
 
     return points.select(key, order, "x", "y", "z", "intensity").groupBy(F.col(key)).applyInPandas(build, f"`{key}` {kind}, content binary")
+
+
+def write(points: DataFrame, folder: str, key: str, order: str = "point") -> DataFrame:
+    """A file ``{key}.pcd`` for each key, written by the task that has its points, as they come; returns (key, path, points).
+
+    A file is written under another name, its header last, and renamed when it is
+    whole, so a task that is lost or repeated leaves no half of one. The folder has
+    to be open to all machines. Keys with a null coordinate keep the point, as NaN.
+    """
+    kind = points.schema[key].dataType.simpleString()
+    place = re.sub("^file:/*", "/", folder.rstrip("/"))
+    columns = ("x", "y", "z", "intensity")
+
+    def save(batches):
+        os.makedirs(place, exist_ok=True)
+        now, stream, n, hidden = None, None, 0, ""
+
+        def close():
+            stream.seek(0)
+            stream.write(header(f"{n:012d}"))
+            stream.close()
+            os.replace(hidden, f"{place}/{now}.pcd")
+            return pa.RecordBatch.from_arrays([pa.array([now], out.field(0).type), pa.array([f"{place}/{now}.pcd"]), pa.array([n], pa.int64())], schema=out)
+
+        for batch in batches:
+            keys = batch.column(key)
+            body = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype("<f4") for c in columns], axis=1) if batch.num_rows else np.zeros((0, 4))
+            marks = keys.to_pylist()
+            starts = [i for i in range(len(marks)) if i == 0 or marks[i] != marks[i - 1]]
+            out = pa.schema([(key, keys.type), ("path", pa.string()), ("points", pa.int64())])
+            for a, b in zip(starts, [*starts[1:], len(marks)]):
+                if stream is None or marks[a] != now:
+                    if stream is not None:
+                        yield close()
+                    now, n, hidden = marks[a], 0, f"{place}/.{uuid.uuid4().hex}.part"
+                    stream = open(hidden, "wb")
+                    stream.write(header("0" * 12))
+                stream.write(body[a:b].tobytes())
+                n += b - a
+        if stream is not None:
+            yield close()
+
+    rows = points.where(F.col(key).isNotNull()).select(key, order, *columns).repartition(key).sortWithinPartitions(key, order)
+    rows.mapInArrow(save, f"`{key}` {kind}, path string, points long").write.mode("overwrite").parquet(f"file://{place}/manifest")
+    return points.sparkSession.read.parquet(f"file://{place}/manifest")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from roadglass.functions import text
 from roadglass.operators import relational as R
 from roadglass.operators import reports
-from roadglass.sources import dataset, mcap, messages, sinks
+from roadglass.sources import dataset, mcap, messages, pcd, sinks
 from roadglass.streaming import pulses
 
 
@@ -185,3 +185,14 @@ def test_stream_pulses(spark, tmp_path):
     run.awaitTermination(120)
     assert [tuple(r) for r in spark.table("pulses").collect()] == [(1, 2, 3, 4, -4.0)]
     spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_point_files_are_written_by_tasks(spark, tmp_path):
+    rows = [(f"s{i % 3}", i, float(i), 2.0, 3.0, None if i == 4 else 0.5) for i in range(50)] + [(None, 99, 1.0, 1.0, 1.0, 1.0)]
+    points = spark.createDataFrame(rows, "scan string, point long, x double, y double, z double, intensity double").repartition(4)
+    told = {r["scan"]: r["points"] for r in pcd.write(points, str(tmp_path), "scan").collect()}
+    assert told == {"s0": 17, "s1": 17, "s2": 16} and sorted(p.name for p in tmp_path.glob("*.pcd")) == ["s0.pcd", "s1.pcd", "s2.pcd"]
+    back = pcd.read(spark, str(tmp_path)).orderBy("path", "point").collect()
+    assert [(r["path"].split("/")[-1][:2], r["x"]) for r in back] == [(f"s{k}", float(i)) for k in range(3) for i in range(k, 50, 3)]
+    again = {r["scan"]: r["points"] for r in pcd.write(points.where("point < 10"), str(tmp_path), "scan").collect()}
+    assert again == {"s0": 4, "s1": 3, "s2": 3} and not list(tmp_path.glob(".*.part"))
