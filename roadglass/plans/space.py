@@ -227,7 +227,7 @@ g AS (SELECT scan AS camera, CASE WHEN vec_id % 2 = 0 THEN 'occlusion' ELSE 'pla
  round(avg(1 / (0.05 + pow(x + CASE WHEN a = 0 THEN o ELSE 0 END, 2) + pow(y - CASE WHEN a = 1 THEN o ELSE 0 END, 2) + CASE WHEN vec_id % 3 = 0 THEN pow(CASE WHEN a = 2 THEN o ELSE 0 END - 0.3, 2) ELSE pow(CASE WHEN a = 2 THEN o ELSE 0 END + 0.3, 2) END)), 9) AS score FROM emb, s GROUP BY ALL),
 n AS (SELECT *, score > lag(score) OVER w AND score > lead(score) OVER w AS top, max(score) OVER (PARTITION BY camera, edge, a) AS best FROM g WINDOW w AS (PARTITION BY camera, edge, a ORDER BY i)),
 h AS (SELECT camera, edge, a, arg_min(o, CASE WHEN score = best THEN i END) AS peak, count(*) FILTER (top) AS n_max, list_sort(list_distinct(list(score) FILTER (top OR score = best)), 'DESC') AS hs FROM n GROUP BY ALL)
-SELECT camera, edge, a AS axis, round(peak, 6) + 0.0 AS peak_value, n_max AS n_local_maxima, CASE WHEN len(hs) > 1 THEN round(hs[1] / hs[2], 6) ELSE -1.0 END AS prominence,
+SELECT camera, edge, CAST(a AS INTEGER) AS axis, round(peak, 6) + 0.0 AS peak_value, n_max AS n_local_maxima, CASE WHEN len(hs) > 1 THEN round(hs[1] / hs[2], 6) ELSE -1.0 END AS prominence,
  round(abs(peak), 6) <= 0.15 AND (len(hs) < 2 OR hs[1] / hs[2] >= 1.05) AS passes FROM h""")
 def identifiability(spark, sf_dir):
     """Every setting of four parameters against every point, by camera and class of edges, in one pass."""
