@@ -23,6 +23,11 @@ def wrap_angle(a: Column) -> Column:
     return F.pmod(a + F.lit(pi), F.lit(2 * pi)) - F.lit(pi)
 
 
+def same_turn(a: Column, near: Column) -> Column:
+    """The angle and as many whole turns as bring it nearest to another."""
+    return a + F.lit(2 * pi) * F.rint((near - a) / F.lit(2 * pi))
+
+
 def yaw_of_quaternion(q: Columns) -> Column:
     x, y, z, w = q
     return F.atan2(2 * (w * z + x * y), 1 - 2 * (y * y + z * z))

@@ -52,7 +52,7 @@ def read_fixes(spark, sf_dir):
 def read_imu(spark, sf_dir):
     q = F.struct(F.lit(0.0).alias("x"), F.lit(0.0).alias("y"), F.sin(F.col("value") / 400).alias("z"), F.cos(F.col("value") / 400).alias("w"))
     msg = F.struct(q.alias("orientation"), F.struct((F.col("sv") / 100).alias("z")).alias("angular_velocity"), F.struct(F.col("value").alias("x")).alias("linear_acceleration"))
-    out = messages.imu(_log(spark, sf_dir).withColumn("msg", msg))
+    out = messages.imu(_log(spark, sf_dir).withColumn("msg", msg), turns=True)
     return out.select(F.col("msg_seq").alias("event_id"), "t", "yaw_rate", F.round("heading", 9).alias("heading"), "accel_x")
 
 

@@ -71,12 +71,19 @@ def fixes(messages: DataFrame, msg: str = "msg") -> DataFrame:
     return messages.select(F.col("log_time_ns").alias("t"), "file_seq", "msg_seq", m["latitude"].alias("lat"), m["longitude"].alias("lon"), m["altitude"].alias("alt"), spread.alias("spread"), m["status"]["status"].alias("status"))
 
 
-def imu(messages: DataFrame, msg: str = "msg") -> DataFrame:
-    """(t, yaw_rate, heading, accel_x), one pass."""
+def imu(messages: DataFrame, msg: str = "msg", turns: bool = False) -> DataFrame:
+    """(t, yaw_rate, heading, accel_x), one pass.
+
+    The heading lies between -pi and pi; with ``turns`` between -2 pi and 2 pi, as
+    a quaternion and its negative, one rotation, are told apart by a turn.
+    """
     q = F.col(msg)["orientation"]
+    heading = geo.yaw_of_quaternion([q[c] for c in "xyzw"])
+    if turns:
+        heading = geo.same_turn(heading, 2 * F.atan2(q["z"], q["w"]))
     return messages.select(
         F.col("log_time_ns").alias("t"), "file_seq", "msg_seq", F.col(msg)["angular_velocity"]["z"].alias("yaw_rate"),
-        geo.yaw_of_quaternion([q[c] for c in "xyzw"]).alias("heading"), F.col(msg)["linear_acceleration"]["x"].alias("accel_x"),
+        heading.alias("heading"), F.col(msg)["linear_acceleration"]["x"].alias("accel_x"),
     )
 
 
