@@ -59,6 +59,22 @@ def quaternion_to_rpy(q: Columns) -> Columns:
     return [F.atan2(2 * (w * x + y * z), 1 - 2 * (x * x + y * y)), F.asin(sine), yaw_of_quaternion(q)]
 
 
+def same_rpy(rows: DataFrame, angles: Columns, near: Columns, names: Sequence[str]) -> DataFrame:
+    """Adds, of all roll, pitch, yaw that make the same rotation as ``angles``, those nearest to the given ones.
+
+    A rotation tells its angles up to whole turns, and up to turning all three about
+    (roll and yaw by half a turn, the pitch mirrored); what is known of them tells which.
+    """
+    roll, pitch, yaw = (F.col(f"_a{i}") for i in range(3))
+    rows = rows.withColumns({f"_a{i}": a for i, a in enumerate(angles)} | {f"_n{i}": n for i, n in enumerate(near)})
+    ways = {"s": (roll, pitch, yaw), "o": (roll + F.lit(pi), F.lit(pi) - pitch, yaw + F.lit(pi))}
+    rows = rows.withColumns({f"_{w}{i}": same_turn(a, F.col(f"_n{i}")) for w, way in ways.items() for i, a in enumerate(way)})
+    far = lambda w: sum((F.pow(F.col(f"_{w}{i}") - F.col(f"_n{i}"), 2) for i in range(1, 3)), F.pow(F.col(f"_{w}0") - F.col("_n0"), 2))
+    rows = rows.withColumn("_other", far("o") < far("s"))
+    rows = rows.withColumns({n: F.when(F.col("_other"), F.col(f"_o{i}")).otherwise(F.col(f"_s{i}")) for i, n in enumerate(names)})
+    return rows.drop("_other", *[f"_{m}{i}" for m in "anso" for i in range(3)])
+
+
 def normalise(q: Columns) -> Columns:
     """Of length one; nulls for a quaternion without length."""
     norm = F.sqrt(sum((c * c for c in q[1:]), q[0] * q[0]))

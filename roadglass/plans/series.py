@@ -289,13 +289,14 @@ def mercator(spark, sf_dir):
 @query("rpy_quat_roundtrip", f"""WITH {SIG}, a AS (SELECT event_id, sv / 500 AS r, value / 500 AS p, (sv - value) / 400 AS y FROM sig)
 SELECT event_id, round(r, 6) + 0.0 AS roll, round(p, 6) + 0.0 AS pitch, round(y, 6) + 0.0 AS yaw, round(sin(r / 2) * cos(p / 2) * cos(y / 2) - cos(r / 2) * sin(p / 2) * sin(y / 2), 6) + 0.0 AS qx FROM a""")
 def rpy_quat_roundtrip(spark, sf_dir):
-    """Euler angles to a quaternion, a rotation, a quaternion again and back."""
-    q = geo.rpy_to_quaternion(F.col("sv") / 500, F.col("value") / 500, (F.col("sv") - F.col("value")) / 400)
-    s = sig(spark, sf_dir).select("event_id", *[c.alias(f"q{i}") for i, c in enumerate(q)])
-    s = s.select("event_id", "q0", *[c.alias(f"r{i}") for i, c in enumerate(geo.rotation_of_quaternion([1.5 * F.col(f"q{i}") for i in range(4)]))])
-    s = s.select("event_id", "q0", *[c.alias(f"p{i}") for i, c in enumerate(geo.quaternion_of_rotation([F.col(f"r{i}") for i in range(9)]))])
-    angles = geo.quaternion_to_rpy([F.col(f"p{i}") for i in range(4)])
-    return s.select("event_id", *[(F.round(a, 6) + 0.0).alias(n) for a, n in zip(angles, ("roll", "pitch", "yaw"))], (F.round("q0", 6) + 0.0).alias("qx"))
+    """Euler angles to a quaternion, a rotation, a quaternion again and back to the angles nearest to them."""
+    given, names = ["roll0", "pitch0", "yaw0"], ("roll", "pitch", "yaw")
+    s = sig(spark, sf_dir).select("event_id", *[c.alias(n) for c, n in zip((F.col("sv") / 500, F.col("value") / 500, (F.col("sv") - F.col("value")) / 400), given)])
+    s = s.select("event_id", *given, *[c.alias(f"q{i}") for i, c in enumerate(geo.rpy_to_quaternion(*map(F.col, given)))])
+    s = s.select("event_id", *given, "q0", *[c.alias(f"r{i}") for i, c in enumerate(geo.rotation_of_quaternion([1.5 * F.col(f"q{i}") for i in range(4)]))])
+    s = s.select("event_id", *given, "q0", *[c.alias(f"p{i}") for i, c in enumerate(geo.quaternion_of_rotation([F.col(f"r{i}") for i in range(9)]))])
+    s = geo.same_rpy(s, geo.quaternion_to_rpy([F.col(f"p{i}") for i in range(4)]), [F.col(n) for n in given], names)
+    return s.select("event_id", *[(F.round(n, 6) + 0.0).alias(n) for n in names], (F.round("q0", 6) + 0.0).alias("qx"))
 
 
 @query("packet_decode", f"WITH {SIG} SELECT event_id, k & 127 AS mode FROM sig WHERE k & 64 = 0 AND (k & 127) < 31")
