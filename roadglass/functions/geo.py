@@ -253,9 +253,9 @@ def rolling_shutter_time(t_ns: Column, row: Column, height: Column, line_s: Colu
     return F.coalesce(t_ns + F.bround((row - height / 2) * line_s * 1e9).cast("long"), t_ns)
 
 
-def time_unit_ns(values: Column) -> Column:
-    """Aggregate: 1000 if a scan's time field spans at most 1e6 (microseconds), else 1."""
-    return F.when(F.max(values) - F.min(values) <= 1_000_000, F.lit(1000)).otherwise(F.lit(1))
+def time_unit_ns(values: Column, most: float = 1_000_000) -> Column:
+    """Aggregate: 1000 if a scan's time field spans at most ``most`` (1e6 microseconds), else 1."""
+    return F.when(F.max(values) - F.min(values) <= most, F.lit(1000)).otherwise(F.lit(1))
 
 
 def frame_kind(x: Column, y: Column, z: Column) -> Column:

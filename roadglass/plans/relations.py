@@ -212,8 +212,7 @@ def attribute_names(spark, sf_dir):
 def time_unit(spark, sf_dir):
     from ..functions import geo
 
-    s = sig(spark, sf_dir).withColumn("stamp", F.when(F.col("value") > 0, F.col("value") * (1_000_000 / 300)))
-    return s.groupBy("series").agg(geo.time_unit_ns(F.col("stamp")).alias("unit"))
+    return sig(spark, sf_dir).groupBy("series").agg(geo.time_unit_ns(F.col("value"), 300).alias("unit"))
 
 
 
