@@ -8,6 +8,7 @@ from __future__ import annotations
 import base64
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -23,7 +24,13 @@ def frustum_crop(points: DataFrame, k: Sequence[float], width: int, height: int,
 
 
 def unproject_table(pixels: DataFrame, k: Sequence[float], distortion: Sequence[float], rounds: int = 20) -> DataFrame:
-    """Adds a, b, the undistorted direction of (u, v): fixed-point iteration in numpy, a fixed number of rounds."""
+    """Adds a, b, the undistorted direction of (u, v): fixed-point iteration in numpy, a fixed number of rounds.
+
+    Far from the centre the iteration may run off or be too slow. Directions that
+    the lens doesn't bend onto their pixel are sought anew by Newton's method from
+    the centre, with steps halved until they come nearer; where that finds none
+    either, the pixel lies outside of what the lens shows, the iteration's stay.
+    """
     fx, fy, cx, cy = k
     k1, k2, p1, p2, k3, k4, k5, k6 = (list(distortion) + [0.0] * 8)[:8]
 
@@ -35,8 +42,48 @@ def unproject_table(pixels: DataFrame, k: Sequence[float], distortion: Sequence[
                 r2 = x * x + y * y
                 radial = (1 + r2 * (k4 + r2 * (k5 + r2 * k6))) / (1 + r2 * (k1 + r2 * (k2 + r2 * k3)))
                 x, y = (x0 - 2 * p1 * x * y - p2 * (r2 + 2 * x * x)) * radial, (y0 - p1 * (r2 + 2 * y * y) - 2 * p2 * x * y) * radial
+            x0, y0, x, y = (v.to_numpy(float) for v in (x0, y0, x, y))
+            near = 1e-12 * (1 + np.hypot(x0, y0))
+            with np.errstate(all="ignore"):
+                u, v = bend(x, y)[:2]
+                off = np.flatnonzero(~(np.hypot(u - x0, v - y0) <= near) & np.isfinite(near))
+                if len(off):
+                    p, q, gap = newton(x0[off], y0[off])
+                    found = gap <= near[off]
+                    x[off[found]], y[off[found]] = p[found], q[found]
             yield pdf.assign(a=x, b=y)
 
+    def bend(x, y):
+        """Where the lens puts a direction, and the three different derivatives of that."""
+        r2 = x * x + y * y
+        over, under = 1 + r2 * (k1 + r2 * (k2 + r2 * k3)), 1 + r2 * (k4 + r2 * (k5 + r2 * k6))
+        radial = over / under
+        slope = ((k1 + r2 * (2 * k2 + r2 * 3 * k3)) - radial * (k4 + r2 * (2 * k5 + r2 * 3 * k6))) / under
+        u, v = x * radial + 2 * p1 * x * y + p2 * (r2 + 2 * x * x), y * radial + p1 * (r2 + 2 * y * y) + 2 * p2 * x * y
+        cross = 2 * x * y * slope + 2 * p1 * x + 2 * p2 * y
+        return u, v, radial + 2 * x * x * slope + 2 * p1 * y + 6 * p2 * x, cross, radial + 2 * y * y * slope + 6 * p1 * y + 2 * p2 * x
+
+    def newton(x0, y0):
+        x, y = np.zeros_like(x0), np.zeros_like(y0)
+        gap = np.hypot(x0, y0)
+        for _ in range(50):
+            u, v, xx, xy, yy = bend(x, y)
+            e, f, det = x0 - u, y0 - v, xx * yy - xy * xy
+            dx, dy = (yy * e - xy * f) / det, (xx * f - xy * e) / det
+            moved = np.zeros(len(x), dtype=bool)
+            for half in range(30):
+                p, q = x + dx / (1 << half), y + dy / (1 << half)
+                u, v = bend(p, q)[:2]
+                less = np.hypot(u - x0, v - y0)
+                better = ~moved & (less < gap)
+                x[better], y[better], gap[better] = p[better], q[better], less[better]
+                moved |= better
+                if moved.all() or not np.isfinite(dx[~moved]).any() or (gap[~moved] <= 1e-15 * (1 + np.hypot(x0, y0)[~moved])).all():
+                    break
+            if not moved.any():
+                break
+        return x, y, gap
+
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pixels.schema)
     return pixels.mapInPandas(run, schema + ", a double, b double")
 

@@ -23,7 +23,7 @@ def wide(spark, tmp_path_factory):
     return top, duck
 
 
-@pytest.mark.parametrize("name", ["read_imu", "rpy_quat_roundtrip", "time_unit"])
+@pytest.mark.parametrize("name", ["read_imu", "rpy_quat_roundtrip", "time_unit", "unprojection"])
 def test_wide_values(spark, wide, name):
     top, duck = wide
     got, want = canon(QUERIES[name](spark, top).toPandas()), canon(duck.sql(ORACLE_SQL[name]).df())
