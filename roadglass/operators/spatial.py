@@ -1,7 +1,9 @@
 """Spatial operators over point tables: voxel maps, range images, visibility votes, neighbours.
 
-Neighbour searches bucket space into cells as wide as the gate and join on cell
-keys, so the work follows the local density and not the number of pairs.
+All pairs inside a gate are an equi-join on the keys of cells as wide as the gate.
+Searches for the nearest form no such pairs: they divide space into blocks of a
+bounded number of points, so that the work follows the number of points, however
+many of them lie inside the gate.
 """
 
 from __future__ import annotations
@@ -106,15 +108,141 @@ def within(left: DataFrame, right: DataFrame, gate: float, left_id: str, right_i
     return a.join(b, ["_i", "_j", "_k"]).withColumn("d", d).where(F.col("d") < gate)
 
 
+#: Points that a block has on average, of both sides together, and blocks at most; sampled points by which each is cut.
+BLOCK, BLOCKS, CUT_BY = 512, 1 << 15, 16
+#: Distances that are held at once.
+HELD = 1 << 21
+
+
+def _cuts(points: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Axis and place of the cut of each inner node of a balanced tree: node n has the children 2n and 2n + 1, the second from the place on."""
+    axis, place = np.zeros(1 << depth, dtype=np.int64), np.zeros(1 << depth)
+    groups = [points]
+    for level in range(depth):
+        halves = []
+        for i, p in enumerate(groups):
+            node = (1 << level) + i
+            if len(p):
+                axis[node] = np.ptp(p, axis=0).argmax()
+                place[node] = np.median(p[:, axis[node]])
+            after = p[:, axis[node]] >= place[node]
+            halves += [p[~after], p[after]]
+        groups = halves
+    return axis, place
+
+
+def _blocked(rows: DataFrame, axis: np.ndarray, place: np.ndarray, depth: int) -> DataFrame:
+    """Rows (id, x, y, z) with the number of their block."""
+    def number(batches):
+        for batch in batches:
+            p = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in XYZ])
+            node = np.ones(batch.num_rows, dtype=np.int64)
+            for _ in range(depth):
+                node = 2 * node + (p[axis[node], np.arange(len(node))] >= place[node])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(node)], names=[*batch.schema.names, "block"])
+
+    return rows.mapInArrow(number, f"id {rows.schema['id'].dataType.simpleString()}, x double, y double, z double, block long")
+
+
+def _candidates(left: DataFrame, right: DataFrame, gate: float, k: int, left_id: str, right_id: str) -> DataFrame:
+    """(left_id, right_id, d): of each left point the k nearest right ones inside the gate, ties to the smaller id, and some more.
+
+    A balanced tree of cuts, made on the driver from a sample, divides both sides
+    into blocks; another sample changes the cost and not the result. The k-th
+    distance in a left point's own block bounds its search, as do the boxes around
+    the other blocks' points; it goes only to blocks that are as near as that, and
+    brings from each no more than k points. At one place only the k smallest ids of
+    the right side can count, so that copies are not compared with copies.
+    """
+    spark = left.sparkSession
+    finite = " AND ".join(f"abs({c}) < double('infinity')" for c in XYZ)
+    a, b = (f.select(F.col(i).alias("id"), *[F.col(c).cast("double").alias(c) for c in XYZ]).where(finite) for f, i in ((left, left_id), (right, right_id)))
+    if k == 1:
+        b = b.groupBy(*XYZ).agg(F.min("id").alias("id")).select("id", *XYZ)
+    else:
+        b = b.withColumn("_n", F.row_number().over(Window.partitionBy(*XYZ).orderBy("id"))).where(F.col("_n") <= k).drop("_n")
+    both = a.select(*XYZ).unionByName(b.select(*XYZ))
+    n = both.count()
+    depth = int(np.ceil(np.log2(min(BLOCKS, max(1.0, n / BLOCK)))))
+    share = min(1.0, CUT_BY * (1 << depth) / max(n, 1))
+    some = (both.sample(share, seed=7) if share < 1 else both).toArrow() if depth else None
+    axis, place = _cuts(np.stack([some.column(c).to_numpy() for c in XYZ], axis=1) if depth else np.empty((0, 3)), depth)
+    a, b = _blocked(a, axis, place, depth), _blocked(b, axis, place, depth)
+    boxes = b.groupBy("block").agg(F.count(F.lit(1)).alias("n"), *[g(c).alias(f"{m}{c}") for m, g in (("a", F.min), ("b", F.max)) for c in XYZ]).toArrow()
+    number, count = boxes.column("block").to_numpy(), boxes.column("n").to_numpy()
+    low, high = (np.stack([boxes.column(f"{m}{c}").to_numpy() for c in XYZ]) for m in "ab")
+    shared = spark.sparkContext.broadcast((number, count, low, high))
+
+    def xyz(table: pa.Table) -> np.ndarray:
+        return np.stack([table.column(c).to_numpy() for c in XYZ]) if table.num_rows else np.empty((3, 0))
+
+    def distances(p: np.ndarray, q: np.ndarray):
+        """Row by row, in pieces: (from, to, distances)."""
+        step = max(1, HELD // max(1, q.shape[1]))
+        for i in range(0, p.shape[1], step):
+            x, y, z = (p[c, i : i + step, None] - q[c, None, :] for c in range(3))
+            yield i, min(i + step, p.shape[1]), np.sqrt(((0.0 + x * x) + y * y) + z * z)
+
+    def length(d: np.ndarray) -> np.ndarray:
+        return np.sqrt((d * d).sum(axis=0))
+
+    def route(here: pa.Table, there: pa.Table) -> pa.Table:
+        """Points of a block with each block that may hold some of their nearest, and how far these can be."""
+        number, count, low, high = shared.value
+        p, q = xyz(here), xyz(there)
+        bound = np.full(p.shape[1], float(gate))
+        if q.shape[1] >= k:
+            for i, j, d in distances(p, q):
+                bound[i:j] = np.minimum(bound[i:j], np.partition(d, k - 1, axis=1)[:, k - 1])
+        at, to = [], []
+        if p.shape[1]:
+            a, b = p.min(axis=1)[:, None], p.max(axis=1)[:, None]
+            most = length(np.maximum(np.abs(high - a), np.abs(b - low)))
+            order = most.argsort()
+            enough = np.searchsorted(count[order].cumsum(), k)
+            if enough < len(order):
+                bound = np.minimum(bound, most[order[enough]])
+            bound = bound * (1 + 1e-9)  # for what rounding takes off
+            near = np.flatnonzero(length(np.maximum(0.0, np.maximum(low - b, a - high))) <= bound.max())
+            step = max(1, HELD // max(1, len(near)))
+            for i in range(0, p.shape[1], step):
+                off = p[:, i : i + step, None]
+                gap = length(np.maximum(0.0, np.maximum(low[:, None, near] - off, off - high[:, None, near])))
+                r, c = np.nonzero(gap <= bound[i : i + step, None])
+                at.append(i + r)
+                to.append(near[c])
+        at, to = (np.concatenate(x) if x else np.empty(0, dtype=np.int64) for x in (at, to))
+        rows = here.select(["id", *XYZ]).take(pa.array(at))
+        return rows.append_column("bound", pa.array(bound[at])).append_column("block", pa.array(number[to]))
+
+    def search(here: pa.Table, there: pa.Table) -> pa.Table:
+        there = there.sort_by("id")
+        p, q, bound = xyz(here), xyz(there), here.column("bound").to_numpy()
+        found = [(np.empty(0, dtype=np.int64),) * 2 + (np.empty(0),)]
+        for i, j, d in distances(p, q):
+            r, c = np.nonzero((d < gate) & (d <= bound[i:j, None]))
+            d = d[r, c]
+            order = np.lexsort((c, d, r))
+            r, c, d = r[order], c[order], d[order]
+            first = np.arange(len(r)) - np.searchsorted(r, r) < k
+            found.append((i + r[first], c[first], d[first]))
+        r, c, d = map(np.concatenate, zip(*found))
+        return pa.table({"left_id": here.column("id").take(pa.array(r)), "right_id": there.column("id").take(pa.array(c)), "d": d})
+
+    kinds = [f.schema["id"].dataType.simpleString() for f in (a, b)]
+    routes = a.groupBy("block").cogroup(b.groupBy("block")).applyInArrow(route, f"id {kinds[0]}, x double, y double, z double, bound double, block long")
+    return routes.groupBy("block").cogroup(b.groupBy("block")).applyInArrow(search, f"left_id {kinds[0]}, right_id {kinds[1]}, d double")
+
+
 def nearest(left: DataFrame, right: DataFrame, gate: float, left_id: str, right_id: str) -> DataFrame:
     """(left_id, right_id, d): the nearest right point inside the gate, ties to the smaller id; rows without one are left out."""
-    return within(left, right, gate, left_id, right_id).groupBy("left_id").agg(F.min(F.struct("d", "right_id")).alias("m")).select("left_id", F.col("m.right_id").alias("right_id"), F.col("m.d").alias("d"))
+    return _candidates(left, right, gate, 1, left_id, right_id).groupBy("left_id").agg(F.min(F.struct("d", "right_id")).alias("m")).select("left_id", F.col("m.right_id").alias("right_id"), F.col("m.d").alias("d"))
 
 
 def nearest_k(left: DataFrame, right: DataFrame, gate: float, k: int, left_id: str, right_id: str) -> DataFrame:
     """The k nearest inside the gate, numbered from 1; a point joined with its own table finds itself first."""
     order = Window.partitionBy("left_id").orderBy("d", "right_id")
-    return within(left, right, gate, left_id, right_id).withColumn("k", F.row_number().over(order)).where(F.col("k") <= k).select("left_id", "right_id", "d", "k")
+    return _candidates(left, right, gate, k, left_id, right_id).withColumn("k", F.row_number().over(order)).where(F.col("k") <= k).select("left_id", "right_id", "d", "k")
 
 
 #: Points that a leaf of a tree of cells has on average, and at most in one row.

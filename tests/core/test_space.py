@@ -51,6 +51,27 @@ def test_nearest_against_all_pairs(spark):
     assert {k: v[1] for k, v in want.items() if v[0] < 0.3} == {k: v[1] for k, v in got.items()}
 
 
+def test_searches_for_the_nearest_form_no_pairs(spark, monkeypatch):
+    """Clustered, gridded and copied points, all inside the gate of most others: the k nearest, by a number of rows that follows the points."""
+    rng = np.random.default_rng(3)
+    grid = np.stack(np.meshgrid(*[np.arange(6) * 0.05] * 3), axis=-1).reshape(-1, 3)
+    cloud = np.concatenate([rng.normal(0, 0.05, (700, 3)), grid, np.tile(grid[5], (400, 1)), rng.normal(0, 1e-4, (300, 3)) + 3, [[500.0, 0, 0]]])
+    rows = [(i, *map(float, p)) for i, p in enumerate(cloud[rng.permutation(len(cloud))])]
+    points = spark.createDataFrame([*rows, (len(rows), None, 0.0, 0.0), (len(rows) + 1, float("nan"), 0.0, 0.0)], "id long, x double, y double, z double")
+    monkeypatch.setattr(spatial, "BLOCK", 32)
+    p = np.array([r[1:] for r in rows])
+    x, y, z = (p[:, None, c] - p[None, :, c] for c in range(3))
+    d = np.sqrt(((0.0 + x * x) + y * y) + z * z)
+    want = {(i, int(j), n + 1, d[i, j]) for i in range(len(p)) for n, j in enumerate(np.argsort(d[i], kind="stable")[:4]) if d[i, j] < 0.3}
+    assert {tuple(r[c] for c in ("left_id", "right_id", "k", "d")) for r in spatial.nearest_k(points, points, 0.3, 4, "id", "id").collect()} == want
+    assert spatial._candidates(points, points, 0.3, 4, "id", "id").count() < 12 * len(rows)  # pairs inside the gate: over 500 a point
+    left, right = points.where("id % 40 = 0"), points.where("id % 40 <> 0")
+    d[:, ::40] = np.inf
+    best = {(i, int(d[i].argmin()), d[i].min()) for i in range(0, len(p), 40) if d[i].min() < 0.3}
+    assert {tuple(r[c] for c in ("left_id", "right_id", "d")) for r in spatial.nearest(left, right, 0.3, "id", "id").collect()} == best
+    assert spatial.nearest(left.limit(0), right, 0.3, "id", "id").count() == spatial.nearest(left, right.limit(0), 0.3, "id", "id").count() == 0
+
+
 def test_align_finds_a_small_motion(spark):
     rng = np.random.default_rng(1)
     grid = [(x, y) for x in np.linspace(-2, 2, 9) for y in np.linspace(-2, 2, 9)]
