@@ -11,6 +11,10 @@ attempts wrote, an abort deletes it.
 are dealt by their place, a task opens a file once, and ranges that nearly touch
 are read as one.
 
+A member takes a block of 512 bytes for its header and whole blocks for its bytes,
+so very short bodies would make archives many times their size. ``bundles`` makes
+members of many lines, and ``lines`` takes them apart again.
+
 Results by case: a null name or body is an error, as is a name that doesn't fit a
 header or comes twice in a shard; empty bodies are members; a range that is null
 gives a null body, one beyond the end of its file an error; a table without rows
@@ -19,12 +23,14 @@ gives an empty index.
 
 from __future__ import annotations
 
+import gzip
 import os
 import shutil
 import tarfile
 import uuid
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import DataFrame, SparkSession
@@ -36,6 +42,8 @@ INDEX = "shard string, member string, offset long, size long"
 _INDEX = pa.schema([("shard", pa.string()), ("member", pa.string()), ("offset", pa.int64()), ("size", pa.int64())])
 #: Ranges closer than that are read as one, of so many bytes at most unless one range is longer; bytes of a task.
 GAP, MERGED, TASK_BYTES = 64_000, 8_000_000, 64_000_000
+#: Lines, and their bytes, that a task holds while it makes bundles of them.
+LINES, LINE_BYTES = 1 << 17, 32_000_000
 _BLOCK = 512
 
 
@@ -141,6 +149,54 @@ def write(members: DataFrame, path: str, shard: str = "shard", name: str = "memb
     return index(spark, path)
 
 
+def bundles(rows: DataFrame, shard: str = "shard", kind: str = "kind", line: str = "line", held: int = LINES) -> DataFrame:
+    """Members (shard, member, body) of many lines: those of one shard and kind among ``held`` rows of a task, compressed, as ``{task}-{number}.{kind}.gz``.
+
+    Every row is a line of one member; lines hold no line breaks.
+    """
+    def pack(batches):
+        from pyspark import TaskContext
+
+        task, number = TaskContext.get().partitionId(), 0
+        some, n, size = [], 0, 0
+
+        def flush():
+            table = pa.Table.from_batches(some).sort_by([("shard", "ascending"), ("kind", "ascending")]).combine_chunks()
+            shards, kinds = (table.column(c).combine_chunks().dictionary_encode() for c in ("shard", "kind"))
+            codes = [c.indices.to_numpy(zero_copy_only=False) for c in map(_one, (shards, kinds))]
+            new = np.flatnonzero(np.r_[True, (codes[0][1:] != codes[0][:-1]) | (codes[1][1:] != codes[1][:-1])])
+            ends = np.r_[new[1:], table.num_rows]
+            lines_ = table.column("line").to_pylist()
+            names = [f"{task:06d}-{number:06d}.{k}.gz" for k in table.column("kind").take(pa.array(new)).to_pylist()]
+            packed = [gzip.compress("\n".join(lines_[a:b]).encode(), 1, mtime=0) for a, b in zip(new, ends)]
+            return pa.RecordBatch.from_arrays([pa.array(table.column("shard").take(pa.array(new)).to_pylist(), pa.string()), pa.array(names, pa.string()), pa.array(packed, pa.binary())], names=["shard", "member", "body"])
+
+        for batch in batches:
+            some.append(batch)
+            n, size = n + batch.num_rows, size + batch.nbytes
+            if n >= held or size >= LINE_BYTES:
+                yield flush()
+                some, n, size, number = [], 0, 0, number + 1
+        if n:
+            yield flush()
+
+    return rows.select(F.col(shard).cast("string").alias("shard"), F.col(kind).cast("string").alias("kind"), F.col(line).cast("string").alias("line")).mapInArrow(pack, MEMBERS)
+
+
+def _one(array):
+    return array.combine_chunks() if isinstance(array, pa.ChunkedArray) else array
+
+
+def lines(rows: DataFrame, body: str = "body") -> DataFrame:
+    """(line): the lines of bundles."""
+    def unpack(batches):
+        for batch in batches:
+            for packed in batch.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(gzip.decompress(packed.as_py()).decode().split("\n"), pa.string())], names=["line"])
+
+    return rows.select(body).mapInArrow(unpack, "line string")
+
+
 def index(spark: SparkSession, path: str) -> DataFrame:
     """(shard, member, offset, size) of all archives of a folder."""
     return spark.read.schema(INDEX).parquet(f"{path.rstrip('/')}/index")

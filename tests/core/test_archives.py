@@ -75,3 +75,14 @@ def test_errors_leave_what_was_there(spark, tmp_path, members):
     assert archives.index(spark, top).count() == 4
     archives.write(frame.where("false"), str(tmp_path / "empty"))
     assert archives.index(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_short_lines_share_members(spark, tmp_path):
+    """Archives of many short lines stay near the lines' size, and lose none."""
+    rows = spark.range(20_000).select((F.col("id") % 3).cast("string").alias("shard"), (F.col("id") % 4).cast("string").alias("kind"), F.to_json(F.struct("id")).alias("line")).repartition(3)
+    top = str(tmp_path / "out")
+    index = archives.write(archives.bundles(rows, held=5000), top)
+    assert index.count() == index.distinct().count() < 200
+    assert sum(os.path.getsize(f"{top}/{f}") for f in os.listdir(top) if f.endswith(".tar")) < 20_000 * 15
+    read = archives.bodies(index.where("split(member, '[.]')[1] = '2'").withColumn("path", F.concat(F.lit(top + "/"), "shard", F.lit(".tar"))))
+    assert sorted(r["line"] for r in archives.lines(read).collect()) == sorted(f'{{"id":{i}}}' for i in range(2, 20_000, 4))
