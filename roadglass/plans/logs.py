@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import geo, text
 from ..operators import camera, reports, series, solve
 from ..operators import relational as R
-from ..sources import dataset, messages, pcd, sinks
+from ..sources import archives, messages, pcd, sinks
 from .base import EMB, SIG, emb, query, sig, table
 from .relations import _checkpoints
 
 US = 1_000_000
+#: Bytes of an archive of a source, about.
+SHARD_BYTES = 64_000_000
 
 
 def _log(spark, sf_dir):
@@ -121,12 +125,20 @@ def pcd_files(spark, sf_dir):
 
 @query("shard_members", "SELECT source, doc_id || '.txt' AS name, md5(coalesce(text, '')) AS md5 FROM documents WHERE source IS NOT NULL")
 def shard_members(spark, sf_dir):
-    """Archives by source; every member is cut out again by the place that the index has."""
-    docs = table(spark, sf_dir, "documents").where("source IS NOT NULL").select("source", F.concat(F.col("doc_id").cast("string"), F.lit(".txt")).alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("body"))
-    packed = dataset.shards(docs, "source", "name", "body")
-    each = packed.select("source", "archive", F.explode(F.from_json("index", "map<string,array<int>>")).alias("name", "place"))
-    member = F.call_function("substring", F.col("archive"), F.col("place")[0] + 1, F.col("place")[1])
-    return each.select("source", "name", F.md5(member).alias("md5"))
+    """Archives by source, written in a stream; every member is read again from the place that the index has.
+
+    A source of more than SHARD_BYTES has several; names have a number, since ids may repeat.
+    """
+    docs = table(spark, sf_dir, "documents").where("source IS NOT NULL").select("source", "doc_id", F.coalesce("text", F.lit("")).cast("binary").alias("body"))
+    parts = docs.groupBy("source").agg(F.ceil(F.sum(F.octet_length("body") + 1024) / SHARD_BYTES).alias("parts"))
+    member = F.concat(F.col("doc_id").cast("string"), F.lit("."), F.monotonically_increasing_id().cast("string"), F.lit(".txt"))
+    rows = docs.withColumn("member", member).join(parts, "source")
+    shard = F.concat_ws("-", F.url_encode("source"), F.pmod(F.xxhash64("member"), F.col("parts")).cast("string"))
+    path = re.sub("^file:/*", "/", _shared(spark, "shards"))
+    index = archives.write(rows.select(shard.alias("shard"), "member", "body"), path)
+    read = archives.bodies(index.withColumn("path", F.concat(F.lit(path + "/"), "shard", F.lit(".tar"))))
+    source = F.url_decode(F.regexp_replace("shard", "-[0-9]+$", ""))
+    return read.select(source.alias("source"), F.regexp_replace("member", "[.][0-9]+[.]txt$", ".txt").alias("name"), F.md5("body").alias("md5"))
 
 
 @query("event_csv", f"WITH {SIG} SELECT CAST(t * 1000 AS VARCHAR) AS t_ns, event_type AS maneuver_type, CAST(k AS VARCHAR) AS magnitude, count(*) AS n FROM sig WHERE event_type = 'purchase' GROUP BY ALL")

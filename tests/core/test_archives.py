@@ -1,5 +1,6 @@
 """Archives written in a stream, and members read by their ranges."""
 
+import hashlib
 import os
 import random
 import tarfile
@@ -8,6 +9,7 @@ import pytest
 from fake_files import counting, read_bytes
 from pyspark.sql import functions as F
 
+from roadglass.plans import logs
 from roadglass.sources import archives
 
 
@@ -86,3 +88,12 @@ def test_short_lines_share_members(spark, tmp_path):
     assert sum(os.path.getsize(f"{top}/{f}") for f in os.listdir(top) if f.endswith(".tar")) < 20_000 * 15
     read = archives.bodies(index.where("split(member, '[.]')[1] = '2'").withColumn("path", F.concat(F.lit(top + "/"), "shard", F.lit(".tar"))))
     assert sorted(r["line"] for r in archives.lines(read).collect()) == sorted(f'{{"id":{i}}}' for i in range(2, 20_000, 4))
+
+
+def test_archives_of_sources_keep_repeated_ids_and_odd_names(spark, tmp_path, monkeypatch):
+    """Sources of any name, divided when large; a row for every document."""
+    monkeypatch.setattr(logs, "SHARD_BYTES", 20_000)
+    rows = [(i // 2, f"text {i}" * (i % 50), ("a/b c", "a.example-1", "", "ü", None)[i % 5]) for i in range(400)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted((r["source"], r["name"], r["md5"]) for r in logs.shard_members(spark, str(tmp_path)).collect())
+    assert got == sorted((s, f"{i}.txt", hashlib.md5(t.encode()).hexdigest()) for i, t, s in rows if s is not None)
