@@ -8,10 +8,12 @@ columns of structs; the functions below take them as they are named in ROS.
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ ORDER = ("file_seq", "log_time_ns", "msg_seq")
 POINT_TYPES = {1: np.int8, 2: np.uint8, 3: np.int16, 4: np.uint16, 5: np.int32, 6: np.uint32, 7: np.float32, 8: np.float64}
 #: Fixed value: names that a per-point time can have, by priority.
 TIME_FIELDS = ("time_stamp", "t_us", "timestamp")
+#: Bytes of points that are decoded at once, unless one scan has more.
+DECODED = 8_000_000
 
 
 def bag_files(path: str, suffix: str = ".mcap") -> list[str]:
@@ -143,31 +147,43 @@ def points(scans: DataFrame, keep: list[str], data: str = "data", step: str = "p
 
     ``fields`` is an array of (name, offset, datatype). Rows with a value that is
     not finite are dropped; a missing intensity is 0, a missing time null;
-    fields of unknown type are skipped. Column by column from the packed bytes.
+    fields of unknown type are skipped. Scans of one layout are decoded together,
+    column by column from the packed bytes.
     """
     kinds = {c: scans.schema[c].dataType.simpleString() for c in keep}
     schema = ", ".join(f"`{c}` {k}" for c, k in kinds.items()) + ", point long, x double, y double, z double, intensity double, time double"
 
     def explode(batches):
         for batch in batches:
-            for i in range(batch.num_rows):
-                raw, width, layout = batch[data][i].as_buffer() if batch[data][i].is_valid else b"", batch[step][i].as_py(), batch[fields][i].as_py() or []
-                known = {f["name"]: f for f in layout if f["datatype"] in POINT_TYPES}
+            layouts = batch.column("_layout").dictionary_encode()
+            codes = np.stack([layouts.indices.fill_null(-1).to_numpy(), batch.column(step).fill_null(0).to_numpy()], axis=1)
+            for code in np.unique(codes, axis=0):
+                layout, width = json.loads(layouts.dictionary[int(code[0])].as_py()) if code[0] >= 0 else [], int(code[1])
+                known = {f["name"]: f for f in layout if f and f.get("datatype") in POINT_TYPES}
                 if not all(c in known for c in "xyz") or not width:
                     continue
                 kind = np.dtype({"names": list(known), "formats": [np.dtype(POINT_TYPES[f["datatype"]]) for f in known.values()], "offsets": [f["offset"] for f in known.values()], "itemsize": width})
-                cloud = np.frombuffer(raw, kind, count=len(raw) // width)
-                out = {c: cloud[c].astype(np.float64) for c in "xyz"}
-                out["intensity"] = cloud["intensity"].astype(np.float64) if "intensity" in known else np.zeros(len(cloud))
-                good = np.logical_and.reduce([np.isfinite(v) for v in out.values()])
-                time = next((f for f in TIME_FIELDS if f in known), None)
-                n = int(good.sum())
-                arrays = [pa.array([batch[c][i].as_py()] * n, batch.schema.field(c).type) for c in keep]
-                arrays += [pa.array(np.flatnonzero(good)), *[pa.array(v[good]) for v in out.values()]]
-                arrays.append(pa.array(cloud[time].astype(np.float64)[good]) if time else pa.nulls(n, pa.float64()))
-                yield pa.RecordBatch.from_arrays(arrays, names=[*keep, "point", "x", "y", "z", "intensity", "time"])
-
-    return scans.select(*keep, data, step, fields).mapInArrow(explode, schema)
+                rows = np.flatnonzero((codes == code).all(axis=1))
+                size = pc.binary_length(batch.column(data)).fill_null(0).to_numpy()[rows]
+                piece = size.cumsum() // DECODED
+                for part in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(piece)) + 1):
+                    yield decode(batch, rows[part], size[part], kind, known)
+
+    def decode(batch, rows, size, kind, known):
+        """Points of scans of one layout."""
+        raw = batch.column(data).take(pa.array(rows))
+        n = size // kind.itemsize
+        cloud = np.frombuffer(b"".join(r.as_buffer()[: k * kind.itemsize] for r, k in zip(raw, n) if k), kind)
+        out = {c: cloud[c].astype(np.float64) for c in "xyz"}
+        out["intensity"] = cloud["intensity"].astype(np.float64) if "intensity" in known else np.zeros(len(cloud))
+        good = np.flatnonzero(np.logical_and.reduce([np.isfinite(v) for v in out.values()]))
+        time = next((f for f in TIME_FIELDS if f in known), None)
+        scan, point = np.repeat(rows, n), np.arange(len(cloud)) - np.repeat(n.cumsum() - n, n)
+        arrays = [*(batch.column(c).take(pa.array(scan[good])) for c in keep), pa.array(point[good]), *(pa.array(v[good]) for v in out.values())]
+        arrays.append(pa.array(cloud[time].astype(np.float64)[good]) if time else pa.nulls(len(good), pa.float64()))
+        return pa.RecordBatch.from_arrays(arrays, names=[*keep, "point", "x", "y", "z", "intensity", "time"])
+
+    return scans.select(*keep, data, F.col(step).cast("long").alias(step), F.to_json(fields).alias("_layout")).mapInArrow(explode, schema)
 
 
 def deskew(points_: DataFrame, poses: DataFrame, by: list[str], t: str = "t", start: str = "t0") -> DataFrame:

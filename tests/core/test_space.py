@@ -108,6 +108,29 @@ def test_points_from_packed_bytes(spark):
     assert got == [(1, 0, 1.0, 0.0, 10.0), (1, 2, 3.0, 0.0, 30.0)]
 
 
+def test_small_scans_are_decoded_together(spark, monkeypatch):
+    """Many scans of a few layouts take a few calls, in bounded pieces; broken ends and scans without bytes are left out."""
+    frame = np.frombuffer
+    calls = []
+    layouts = [[("x", 0, 7), ("y", 4, 2), ("z", 5, 2), *more] for more in ([], [("intensity", 6, 2)], [("t_us", 6, 4), ("odd", 7, 99)])]
+    rows = [(i, b"".join(np.float32(j).tobytes() + bytes([i % 200, j, 7, 1]) for j in range(i % 4)) + b"?" * (i % 3), 8, layouts[i % 3]) for i in range(300)]
+    rows += [(300, None, 8, layouts[0]), (301, rows[3][1], 0, layouts[0]), (302, rows[3][1], None, layouts[0]), (303, rows[3][1], 8, None)]
+    kind = "scan int, data binary, point_step int, fields array<struct<name:string,offset:int,datatype:int>>"
+    want = {(i, j, float(j), float(i % 200), float(j), 7.0 if i % 3 == 1 else 0.0, 7.0 + 256 if i % 3 == 2 else None) for i in range(300) for j in range(i % 4)}
+    df = spark.createDataFrame(rows, kind).coalesce(1)
+    got = {tuple(r[c] for c in ("scan", "point", "x", "y", "z", "intensity", "time")) for r in messages.points(df, ["scan"]).collect()}
+    assert got == want
+    assert messages.points(df, ["scan"]).select(F.spark_partition_id()).count() == len(want)
+    # the function of the tasks, called here on one batch
+    run = {}
+    scans = df.select("scan", "data", "point_step", "fields")
+    monkeypatch.setattr(type(scans), "mapInArrow", lambda self, f, schema: run.update(f=f, rows=self.toArrow()))
+    messages.points(scans, ["scan"])
+    batches = run["rows"].combine_chunks().to_batches()
+    monkeypatch.setattr(np, "frombuffer", lambda *a, **k: calls.append(1) or frame(*a, **k))
+    assert sum(b.num_rows for b in run["f"](iter(batches))) == len(want) and len(calls) < 10
+
+
 def encode_rle(runs):
     import base64
 
